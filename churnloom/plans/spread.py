@@ -1,0 +1,39 @@
+"""Joins of event rows to one-row-per-key tables that hold up under a hot key."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 32
+
+
+def broadcastable(table: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``table`` is below its broadcast threshold."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str | Column],
+    salts: int = SALTS,
+    how: str = "left",
+) -> DataFrame:
+    """Join of ``rows`` to ``table``, which is unique on ``on``.
+
+    A table that is small by Spark's estimate is left to the planner, which broadcasts it, so
+    hot keys do not matter. A larger one is shuffled with each key spread over ``salts`` tasks.
+    The salt comes from row content, so a re-run task lands every row in the same place.
+    """
+    if broadcastable(table):
+        return rows.join(table, list(on), how)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    copies = table.withColumn("_salt", F.explode(every))
+    return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
