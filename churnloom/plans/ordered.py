@@ -40,18 +40,24 @@ def running_totals(
     bucket: Column,
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``run_<c>``, the sum of ``c`` over the group's rows up to and including this one.
+    """Add ``run_<c>``, the sum of ``c`` over the group's rows up to and including this one, and ``all_<c>``, over all.
 
     ``df`` must hold one row per (keys, order), that is, ties are already added up. ``bucket``
     must be monotone in ``order``.
     """
     direction = F.desc if descending else F.asc
     cut = df.withColumn("_bucket", bucket)
-    before = Window.partitionBy(*keys).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*keys, "_bucket")
         .agg(*[F.sum(c).alias(f"_in_{c}") for c in sums])
-        .select(*keys, "_bucket", *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_pre_{c}") for c in sums])
+        .select(
+            *keys,
+            "_bucket",
+            *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_pre_{c}") for c in sums],
+            *[F.sum(f"_in_{c}").over(group).alias(f"all_{c}") for c in sums],
+        )
     )
     inside = (
         Window.partitionBy(*keys, "_bucket")
@@ -61,6 +67,7 @@ def running_totals(
     return cut.join(offsets, [*keys, "_bucket"]).select(
         *df.columns,
         *[(F.col(f"_pre_{c}") + F.sum(c).over(inside)).alias(f"run_{c}") for c in sums],
+        *[f"all_{c}" for c in sums],
     )
 
 

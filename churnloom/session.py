@@ -47,11 +47,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and continue from the stored rows.
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute ``df`` once into a table in the shared folder and continue from the stored rows.
 
-    For tables read by several jobs (model fits, folds): losing an executor costs a re-read,
-    not a recomputation from the raw log.
+    For tables read by several jobs or several branches of one plan: losing an executor costs a
+    re-read, not a recomputation from the raw log, and every branch reads only its own columns.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
