@@ -8,6 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,11 +65,14 @@ def grid_search(
     """Grid search by cross validation on the area under the ROC curve.
 
     The preparation is fitted once per fold, on the fold's training rows, and shared by all grid
-    points. Fits of all folds and points run ``parallelism`` at a time.
+    points. Fits of all folds and points run ``parallelism`` at a time. Points that differ only in
+    the iteration limit are fitted from the lowest limit up, until one converges within it: the
+    higher limits would give the same model.
     """
     maps = param_maps(estimator, axes)
     score = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=estimator.getRawPredictionCol())
     dealt = packed(with_folds(train, folds, by, key))
+    totals = [0.0] * len(maps)
 
     def prepared(fold: int) -> tuple[DataFrame, DataFrame]:
         inner = dealt.where(F.col("fold") != fold)
@@ -76,16 +80,25 @@ def grid_search(
         held_out = stages.transform(dealt.where(F.col("fold") == fold))
         return stages.transform(inner).persist(KEEP), held_out.persist(KEEP)
 
-    def area(at: tuple[int, int]) -> float:
-        fit_on, check_on = ready[at[0]]
-        return score.evaluate(estimator.fit(fit_on, maps[at[1]]).transform(check_on))
+    def areas(at: tuple[int, list[int]]) -> dict[int, float]:
+        (fit_on, check_on), out, model = ready[at[0]], {}, None
+        for k in at[1]:
+            if not _converged(model):
+                model = estimator.fit(fit_on, maps[k])
+                value = score.evaluate(model.transform(check_on))
+            out[k] = value
+        return out
 
     ready = _in_parallel(prepared, range(folds), parallelism)
-    areas = _in_parallel(area, [(f, k) for f in range(folds) for k in range(len(maps))], parallelism)
+    groups = _by_iterations(maps)
+    tasks = [(fold, group) for fold in range(folds) for group in groups]
+    for found in _in_parallel(areas, tasks, parallelism):
+        for k, value in found.items():
+            totals[k] += value
     for pair in ready:
         for table in pair:
             table.unpersist()
-    scores = [sum(areas[f * len(maps) + k] for f in range(folds)) / folds for k in range(len(maps))]
+    scores = [total / folds for total in totals]
     best = fit_prepared(prepare, {"best": estimator.copy(maps[scores.index(max(scores))])}, dealt.drop("fold"))
     dealt.unpersist()
     return Search(maps, scores, best)
@@ -158,6 +171,23 @@ def scored(predictions: DataFrame, name: str, key: str = KEY) -> DataFrame:
     return predictions.select(key, "label", "prediction", class_one_score(vector).alias("score"))
 
 
+def _by_iterations(maps: list[dict]) -> list[list[int]]:
+    """Indices of maps that agree in all but ``maxIter``, lowest limit first."""
+    groups: dict[tuple, list[int]] = {}
+    for k, m in enumerate(maps):
+        groups.setdefault(tuple(sorted((n, v) for n, v in _named(m).items() if n != "maxIter")), []).append(k)
+    return [sorted(g, key=lambda k: _named(maps[k]).get("maxIter", 0)) for g in groups.values()]
+
+
+def _converged(model: Model | None) -> bool:
+    """Whether a logistic regression stopped before its iteration limit."""
+    return (
+        isinstance(model, LogisticRegressionModel)
+        and model.hasSummary
+        and model.summary.totalIterations < model.getMaxIter()
+    )
+
+
 def _in_parallel(task, items: Sequence, parallelism: int) -> list:
     if len(items) == 1 or parallelism == 1:
         return [task(i) for i in items]
