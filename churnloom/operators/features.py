@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnloom.functions.scalars import calendar_days, elapsed_days, event_order, flag
+from churnloom.functions.scalars import calendar_days, elapsed_days, event_order
 from churnloom.schema import CHURN_PAGE, FLAGS_V1, FLAGS_V2, KEY, NUMERIC_FEATURES, PAGE_COUNTERS
 
 
@@ -23,7 +23,7 @@ def features_v2(clean: DataFrame, drop_missing: bool = True) -> DataFrame:
     per_session = _pre_aggregate(
         clean.withColumn("_order", event_order(ms, F.col("itemInSession"))), time="log_ts", reg="reg_ts"
     )
-    users = _per_user(per_session, hours=(F.col("_last") - F.col("_first")) / 3600)
+    users = _per_user(per_session, hours="(_last - _first) / 3600")
     features = users.select(
         KEY,
         *NUMERIC_FEATURES[:-3],
@@ -41,7 +41,7 @@ def features_v1(clean: DataFrame, drop_missing: bool = True) -> DataFrame:
         "_date", F.to_date("event_ts")
     )
     per_session = _pre_aggregate(events, time="ts", reg="registration", extra_distinct=["_date"])
-    users = _per_user(per_session, hours=(F.col("_last") - F.col("_first")) / (1000 * 3600))
+    users = _per_user(per_session, hours="(_last - _first) / (1000 * 3600)")
     date = lambda c: F.to_date(F.from_unixtime(F.floor(F.col(c) / 1000)))
     features = users.select(
         KEY,
@@ -65,56 +65,48 @@ def _pre_aggregate(events: DataFrame, time: str, reg: str, extra_distinct: Seque
     ``_set`` says which: 0 for session rows, 1.. for the distinct columns.
     """
     distinct = ["itemInSession", *extra_distinct]
-    page = F.col("page")
-    order = F.col("_order")
     keys = [KEY, "sessionId", *distinct]
-    sets = [[F.col(KEY), F.col(c)] for c in ["sessionId", *distinct]]
-    bits = [F.grouping(c) for c in keys[1:]]
-    counters = [F.count_if(page == p).alias(c) for c, p in PAGE_COUNTERS.items()]
+    sets = [[F.col(KEY), F.col(c)] for c in keys[1:]]
     grouped = events.groupingSets(sets, *[F.col(c) for c in keys]).agg(
-        *counters,
-        F.count(F.lit(1)).alias("_events"),
-        F.min(time).alias("_first"),
-        F.max(time).alias("_last"),
-        F.min(reg).alias("_reg"),
-        F.min(order).alias("_oldest"),
-        F.max(order).alias("_newest"),
-        F.min_by(flag(F.col("gender") == "F"), order).alias("_gender"),
-        F.max_by(flag(F.col("level") == "paid"), order).alias("_level"),
-        F.max_by(flag(page == "Downgrade"), order).alias("_downgrade"),
-        F.max(flag(page == CHURN_PAGE)).alias("_churn"),
-        *[b.alias(f"_not_{c}") for b, c in zip(bits, keys[1:])],
+        *[F.expr(f"count_if(page = '{p}') AS {c}") for c, p in PAGE_COUNTERS.items()],
+        F.expr("count(1) AS _events"),
+        F.expr(f"min({time}) AS _first"),
+        F.expr(f"max({time}) AS _last"),
+        F.expr(f"min({reg}) AS _reg"),
+        F.expr("min(_order) AS _oldest"),
+        F.expr("max(_order) AS _newest"),
+        F.expr("min_by(CASE WHEN gender = 'F' THEN 1 ELSE 0 END, _order) AS _gender"),
+        F.expr("max_by(CASE WHEN level = 'paid' THEN 1 ELSE 0 END, _order) AS _level"),
+        F.expr("max_by(CASE WHEN page = 'Downgrade' THEN 1 ELSE 0 END, _order) AS _downgrade"),
+        F.expr(f"max(CASE WHEN page = '{CHURN_PAGE}' THEN 1 ELSE 0 END) AS _churn"),
+        *[F.expr(f"grouping({c}) AS _not_{c}") for c in distinct],
+    )
+    cases = " ".join(f"WHEN _not_{c} = 0 THEN {i}" for i, c in enumerate(distinct, start=1))
+    return grouped.selectExpr(
+        "*", f"CASE {cases} ELSE 0 END AS _set", *[f"{c} IS NOT NULL AS _has_{c}" for c in ["sessionId", *distinct]]
     )
-    which = F.lit(0)
-    for i, c in enumerate(distinct, start=1):
-        which = F.when(F.col(f"_not_{c}") == 0, i).otherwise(which)
-    counted = {f"_has_{c}": F.col(c).isNotNull() for c in ["sessionId", *distinct]}
-    return grouped.withColumn("_set", which).withColumns(counted)
 
 
-def _per_user(grouped: DataFrame, hours: Column) -> DataFrame:
-    session = F.col("_set") == 0
-    in_session = lambda c: F.when(session, F.col(c))
+def _per_user(grouped: DataFrame, hours: str) -> DataFrame:
+    in_session = lambda c: f"CASE WHEN _set = 0 THEN {c} END"
     distinct = [c[len("_has_") :] for c in grouped.columns if c.startswith("_has_") and c != "_has_sessionId"]
     users = grouped.groupBy(KEY).agg(
-        *[F.sum(in_session(c)).alias(c) for c in PAGE_COUNTERS],
-        F.count_if(session & F.col("_has_sessionId")).alias("nr_sessions"),
-        *[F.count_if((F.col("_set") == i) & F.col(f"_has_{c}")).alias(f"_n_{c}") for i, c in enumerate(distinct, start=1)],
-        (F.sum(F.when(session, hours * F.col("_events"))) / F.sum(in_session("_events"))).alias("avg_sess_h"),
-        F.min("_first").alias("_user_first"),
-        F.max("_last").alias("_user_last"),
-        F.min("_reg").alias("_reg"),
-        F.min_by(in_session("_gender"), in_session("_oldest")).alias("gender"),
-        F.max_by(in_session("_level"), in_session("_newest")).alias("level"),
-        F.max_by(in_session("_downgrade"), in_session("_newest")).alias("downgrade"),
-        F.max("_churn").alias("churn"),
+        *[F.expr(f"sum({in_session(c)}) AS {c}") for c in PAGE_COUNTERS],
+        F.expr("count_if(_set = 0 AND _has_sessionId) AS nr_sessions"),
+        *[F.expr(f"count_if(_set = {i} AND _has_{c}) AS _n_{c}") for i, c in enumerate(distinct, start=1)],
+        F.expr(f"sum({in_session(f'{hours} * _events')}) / sum({in_session('_events')}) AS avg_sess_h"),
+        F.expr("min(_first) AS _user_first"),
+        F.expr("max(_last) AS _user_last"),
+        F.expr("min(_reg) AS _reg"),
+        F.expr(f"min_by({in_session('_gender')}, {in_session('_oldest')}) AS gender"),
+        F.expr(f"max_by({in_session('_level')}, {in_session('_newest')}) AS level"),
+        F.expr(f"max_by({in_session('_downgrade')}, {in_session('_newest')}) AS downgrade"),
+        F.expr("max(_churn) AS churn"),
     )
-    users = users.withColumnRenamed("_n_itemInSession", "n_acts")
-    per_session = lambda c: F.col(c) / F.col("nr_sessions")
-    return users.withColumns(
-        {
-            "acts_per_session": per_session("n_acts"),
-            "songs_per_session": per_session("nr_songs"),
-            "ads_per_session": per_session("nr_ads"),
-        }
+    return users.selectExpr(
+        "*",
+        "_n_itemInSession AS n_acts",
+        "_n_itemInSession / nr_sessions AS acts_per_session",
+        "nr_songs / nr_sessions AS songs_per_session",
+        "nr_ads / nr_sessions AS ads_per_session",
     )

@@ -37,3 +37,4 @@ def lookup(
     every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
     copies = table.withColumn("_salt", F.explode(every))
     return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+

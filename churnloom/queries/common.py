@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnloom.operators.clean import clean_v1, clean_v2
@@ -28,16 +27,16 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Whole numbers as long, fractions rounded, dates as text: the same in every engine."""
     out = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+        c = f"`{field.name}`"
         if isinstance(field.dataType, T.IntegralType):
-            c = c.cast("long")
-        elif isinstance(field.dataType, T.FractionalType):
-            # adding 0.0 turns a rounded -0.0 into 0.0
-            c = c if field.name in EXACT else F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = f"CAST({c} AS BIGINT)"
+        elif isinstance(field.dataType, T.FractionalType) and field.name not in EXACT:
+            # adding 0 turns a rounded -0.0 into 0.0
+            c = f"round(CAST({c} AS DOUBLE), {digits}) + 0D"
         elif isinstance(field.dataType, T.DateType):
-            c = c.cast("string")
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            c = f"CAST({c} AS STRING)"
+        out.append(f"{c} AS `{field.name}`")
+    return df.selectExpr(*out)
 
 
 def v2_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,11 +31,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary folder of its own.
+    Only a local session that names none (a test) gets a temporary folder of its own; on a
+    cluster a folder of one machine would be lost to the others, so there it must be named.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("name a folder shared by all executors in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="churnloom-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnloom.plans.spread import lookup
@@ -28,8 +28,10 @@ def activity_log(spark: SparkSession, sf_dir: str, columns: Sequence[str] = LOG_
     wanted = set(columns)
     events = (
         spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select("event_id", "user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-        .withColumn("blank", F.col("event_id") % 31 == 0)
+        .selectExpr(
+            "event_id", "user_id", "event_type", "value",
+            "unix_micros(CAST(ts AS TIMESTAMP)) AS us", "event_id % 31 = 0 AS blank",
+        )
     )
     if wanted & _FROM_PAGE:
         events = _mark_last_event(events)
@@ -37,9 +39,8 @@ def activity_log(spark: SparkSession, sf_dir: str, columns: Sequence[str] = LOG_
         events = _number_items(events)
     if wanted & _FROM_CUSTOMER:
         events = lookup(events, _customer_places(spark, sf_dir), ["user_id"], ["event_id"])
-    derived = events.withColumn("page", _page()) if wanted & _FROM_PAGE else events
-    exprs = _column_expressions()
-    return derived.select(*[exprs[c].alias(c) for c in columns])
+    derived = events.withColumn("page", F.expr(_PAGE)) if wanted & _FROM_PAGE else events
+    return derived.selectExpr(*[f"{_COLUMNS[c]} AS {c}" for c in columns])
 
 
 def _mark_last_event(events: DataFrame) -> DataFrame:
@@ -49,12 +50,12 @@ def _mark_last_event(events: DataFrame) -> DataFrame:
     hot user is never gathered in one place.
     """
     # microseconds and event id in one fixed-width key: largest key = latest event
-    newest = F.col("us").cast("decimal(38,0)") * F.lit(10**13).cast("decimal(14,0)") + F.col("event_id")
+    newest = f"CAST(us AS DECIMAL(38,0)) * {10**13}BD + event_id"
     last = (
-        events.where(~F.col("blank") & (F.col("user_id") % 4 == 1))
+        events.where("NOT blank AND user_id % 4 = 1")
         .groupBy("user_id")
-        .agg(F.max_by("event_id", newest).alias("event_id"))
-        .withColumn("cancels", F.lit(True))
+        .agg(F.expr(f"max_by(event_id, {newest}) AS event_id"))
+        .selectExpr("*", "true AS cancels")
     )
     return events.join(last, ["user_id", "event_id"], "left")
 
@@ -65,18 +66,20 @@ def _number_items(events: DataFrame) -> DataFrame:
     Counted per minute first; the running count over the minutes of one day (1440 at most) gives
     each minute its offset, and only the events of one minute are ordered together.
     """
-    timed = events.withColumn("minute", F.floor(F.col("us") / _MINUTE_US)).withColumn("day", F.floor(F.col("us") / _DAY_US))
-    before = Window.partitionBy("user_id", "day").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    timed = events.selectExpr("*", f"us div {_MINUTE_US} AS minute", f"us div {_DAY_US} AS day")
     offsets = (
         timed.groupBy("user_id", "day", "minute")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("user_id", "minute", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr(
+            "user_id",
+            "minute",
+            """coalesce(sum(n) OVER (PARTITION BY user_id, day ORDER BY minute
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier""",
+        )
     )
-    inside = Window.partitionBy("user_id", "minute").orderBy("us", "event_id")
-    return (
-        timed.join(offsets, ["user_id", "minute"])
-        .withColumn("item", F.col("offset") + F.row_number().over(inside) - 1)
-        .drop("minute", "day", "offset")
+    return timed.join(offsets, ["user_id", "minute"]).selectExpr(
+        *events.columns,
+        "earlier + row_number() OVER (PARTITION BY user_id, minute ORDER BY us, event_id) - 1 AS item",
     )
 
 
@@ -90,52 +93,40 @@ def _customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _page():
-    kind, turn = F.col("event_type"), F.col("event_id") % 4
-    pick = lambda *pages: F.element_at(F.array(*map(F.lit, pages)), (turn + 1).cast("int"))
-    return (
-        F.when(F.col("cancels"), F.lit("Cancellation Confirmation"))
-        .when(kind == "view", F.lit("NextSong"))
-        .when(kind == "click", pick("Thumbs Up", "Thumbs Down", "Add to Playlist", "Add Friend"))
-        .when(kind == "purchase", pick("Upgrade", "Downgrade", "Roll Advert", "Submit Upgrade"))
-        .when(kind == "error", pick("Error", "Help", "Settings", "Logout"))
-        .when(kind == "signup", pick("Home", "About", "NextSong", "Roll Advert"))
-    )
-
-
-def _column_expressions():
-    user, event, page = F.col("user_id"), F.col("event_id"), F.col("page")
-    known = lambda c: F.when(~F.col("blank"), c)
-    song = lambda c: F.when(page == "NextSong", c)
-    day_no = F.floor(F.col("us") / _DAY_US) - F.lit(19723)  # 2024-01-01 is day 19723 of the epoch
-    put_pages = ["NextSong", "Thumbs Up", "Thumbs Down", "Add to Playlist", "Add Friend", "Logout"]
-    return {
-        "userId": F.when(F.col("blank"), F.lit("")).otherwise(user.cast("string")),
-        "firstName": known(F.lit("Customer")),
-        "lastName": known(F.col("c_name")),
-        "gender": known(F.when(user % 3 == 0, "M").otherwise("F")),
-        "location": known(
-            F.when(user % 50 == 0, F.col("n_name")).otherwise(F.concat("n_name", F.lit(", "), "r_name"))
-        ),
-        "userAgent": known(F.concat(F.lit("Agent/"), (user % 7).cast("string"))),
-        "level": F.when(F.col("value") >= 50, "paid").otherwise("free"),
-        "registration": known(F.lit(1701388800000) + (user % 30) * 86400000 + user * 1000),
-        "artist": song(F.concat(F.lit("artist-"), (event % 13).cast("string"))),
-        "song": song(F.concat(F.lit("song-"), (event % 97).cast("string"))),
-        "length": song(F.col("value") * F.lit(5.0)),
-        "auth": F.when(F.col("blank"), F.when(event % 62 == 0, "Guest").otherwise("Logged Out"))
-        .when(page == "Cancellation Confirmation", "Cancelled")
-        .otherwise("Logged In"),
-        "itemInSession": F.col("item"),
-        "method": F.when(page.isin(put_pages), "PUT").otherwise("GET"),
-        "page": page,
-        "sessionId": day_no * 3 + user % 3,
-        "status": F.when(page == "Error", 404)
-        .when(page.isin("Logout", "Submit Upgrade", "Thumbs Up"), 307)
-        .otherwise(200)
-        .cast("long"),
-        "ts": F.floor(F.col("us") / 1000),
-    }
+# The mapping of FIXTURES.md.
+_PAGE = """
+CASE WHEN cancels THEN 'Cancellation Confirmation'
+     WHEN event_type = 'view' THEN 'NextSong'
+     WHEN event_type = 'click' THEN elt(event_id % 4 + 1, 'Thumbs Up', 'Thumbs Down', 'Add to Playlist', 'Add Friend')
+     WHEN event_type = 'purchase' THEN elt(event_id % 4 + 1, 'Upgrade', 'Downgrade', 'Roll Advert', 'Submit Upgrade')
+     WHEN event_type = 'error' THEN elt(event_id % 4 + 1, 'Error', 'Help', 'Settings', 'Logout')
+     WHEN event_type = 'signup' THEN elt(event_id % 4 + 1, 'Home', 'About', 'NextSong', 'Roll Advert')
+END"""
+
+_COLUMNS = {
+    "userId": "CASE WHEN blank THEN '' ELSE CAST(user_id AS STRING) END",
+    "firstName": "CASE WHEN NOT blank THEN 'Customer' END",
+    "lastName": "CASE WHEN NOT blank THEN c_name END",
+    "gender": "CASE WHEN NOT blank THEN CASE WHEN user_id % 3 = 0 THEN 'M' ELSE 'F' END END",
+    "location": "CASE WHEN NOT blank THEN CASE WHEN user_id % 50 = 0 THEN n_name ELSE concat(n_name, ', ', r_name) END END",
+    "userAgent": "CASE WHEN NOT blank THEN concat('Agent/', CAST(user_id % 7 AS STRING)) END",
+    "level": "CASE WHEN value >= 50 THEN 'paid' ELSE 'free' END",
+    "registration": "CASE WHEN NOT blank THEN 1701388800000 + (user_id % 30) * 86400000 + user_id * 1000 END",
+    "artist": "CASE WHEN page = 'NextSong' THEN concat('artist-', CAST(event_id % 13 AS STRING)) END",
+    "song": "CASE WHEN page = 'NextSong' THEN concat('song-', CAST(event_id % 97 AS STRING)) END",
+    "length": "CASE WHEN page = 'NextSong' THEN value * 5D END",
+    "auth": """CASE WHEN blank THEN CASE WHEN event_id % 62 = 0 THEN 'Guest' ELSE 'Logged Out' END
+        WHEN page = 'Cancellation Confirmation' THEN 'Cancelled' ELSE 'Logged In' END""",
+    "itemInSession": "item",
+    "method": """CASE WHEN page IN ('NextSong', 'Thumbs Up', 'Thumbs Down', 'Add to Playlist', 'Add Friend', 'Logout')
+        THEN 'PUT' ELSE 'GET' END""",
+    "page": "page",
+    # 2024-01-01 is day 19723 of the epoch
+    "sessionId": f"(us div {_DAY_US} - 19723) * 3 + user_id % 3",
+    "status": """CASE WHEN page = 'Error' THEN 404L WHEN page IN ('Logout', 'Submit Upgrade', 'Thumbs Up') THEN 307L
+        ELSE 200L END""",
+    "ts": "us div 1000",
+}
 
 
 # The same view in SQL, for side-by-side checks in another engine.
