@@ -49,6 +49,13 @@ TUNE_V1_SAMPLE = {
     "gbt": {"maxDepth": [10, 15, 25], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1]},
     "mlpc": {"stepSize": [0.01, 0.02, 0.05], "maxIter": [32, 64, 128, 256]},
 }
+TUNE_V1_FULL = {
+    "lr": {"regParam": [0.01, 0.1, 0.5], "elasticNetParam": [0.01, 0.5]},
+    "dt": {"maxDepth": [5, 10, 15, 25], "maxBins": [8, 16, 32]},
+    "rf": {"maxDepth": [15, 25], "maxBins": [8, 16, 32], "numTrees": [40, 60]},
+    "gbt": {"maxDepth": [15, 25], "maxIter": [10, 20], "stepSize": [0.05, 0.1]},
+    "mlpc": {"stepSize": [0.03, 0.05], "maxIter": [128, 256]},
+}
 META_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.01, 0.1], "maxIter": [50, 100, 200]}
 
 

@@ -37,7 +37,7 @@ from churnloom.sources.activity_log import activity_log
 from churnloom.sources.log_files import read_table, write_table
 
 HISTOGRAM_WIDTH = 5.0
-HISTOGRAM_FULL = [c for c in R.HISTOGRAM_SAMPLE if c != "nr_home"]
+HISTOGRAM_FULL = [c for c in R.HISTOGRAM_SAMPLE if c != "nr_error"]
 SCATTER_WIDTHS = {"avg_sess_h": 0.5, "nr_songs": 5.0}
 MATRIX_COLUMNS = [*NUMERIC_FEATURES, *FLAGS_V2]
 
@@ -50,6 +50,10 @@ def _stored(build):
     return lambda spark, sf_dir: tidy(build(stored_features(spark, sf_dir)))
 
 
+def _stored_v1(build):
+    return lambda spark, sf_dir: tidy(build(cut_lineage(v1_features(spark, sf_dir), "features")))
+
+
 def _train(features: DataFrame) -> DataFrame:
     return cut_lineage(S.part(S.stratified_split(features), "train"), "train")
 
@@ -86,7 +90,9 @@ QUERIES = {
     "features_reduced_sample": _features(lambda f: without(f, WEAK_COLUMNS_SAMPLE)),
     "features_reduced_full": _features(lambda f: without(f, WEAK_COLUMNS_FULL)),
     "feature_missing": _features(P.missing_counts),
+    "feature_missing_v1": lambda spark, sf_dir: tidy(P.missing_counts(v1_features(spark, sf_dir))),
     "feature_describe": _features(lambda f: P.describe(f, NUMERIC_FEATURES)),
+    "feature_describe_v1": lambda spark, sf_dir: tidy(P.describe(v1_features(spark, sf_dir), NUMERIC_FEATURES)),
     # churn by class
     "churn_counts": _features(lambda f: P.count_by(f, "churn")),
     "churn_rate": _features(R.churn_rate),
@@ -104,7 +110,7 @@ QUERIES = {
     "binned_scatter": _on_train(lambda f: R.binned_scatter(f, widths=SCATTER_WIDTHS)),
     # relevance
     "median_difference_v2": _on_train(lambda f: R.ranked(R.median_difference(f))),
-    "median_difference_v1": _stored(lambda f: R.ranked(R.median_difference(f, zero_minus_one=True))),
+    "median_difference_v1": _stored_v1(lambda f: R.ranked(R.median_difference(f, zero_minus_one=True))),
     "rank_correlation": _on_train(lambda f: K.kendall_matrix(f, MATRIX_COLUMNS, KEY)),
     "strong_pairs": _on_train(lambda f: K.strong_pairs(_pairs(f))),
     "churn_correlation": _on_train(lambda f: K.ranks_with(_pairs(f))),
@@ -132,23 +138,26 @@ _TRAIN = "train AS (SELECT * FROM split WHERE split = 'train')"
 _SPLIT = split_cte(S.TRAIN_TEST)
 
 
-def _describe_sql():
+def _missing_sql(build, columns):
+    return build(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS n_missing FROM feat" for c in columns
+        )
+    )
+
+
+def _describe_sql(build):
     parts = [
         f"""SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
         round(CAST(min({c}) AS DOUBLE), 6) AS "min", round(CAST(max({c}) AS DOUBLE), 6) AS "max" FROM feat"""
         for c in NUMERIC_FEATURES
     ]
-    return sql_features(" UNION ALL ".join(parts))
+    return build(" UNION ALL ".join(parts))
 
 
 def _histogram_sql(columns):
-    w = HISTOGRAM_WIDTH
-    return sql_features(
-        f"SELECT feature, churn, floor(value / {w}) * {w} AS bin, count(*) AS n FROM tall GROUP BY ALL".replace(
-            f"{w}) * {w}", f"CAST({w} AS DOUBLE)) * CAST({w} AS DOUBLE)"
-        ),
-        tall(columns),
-    )
+    w = f"CAST({HISTOGRAM_WIDTH} AS DOUBLE)"
+    return sql_features(f"SELECT feature, churn, floor(value / {w}) * {w} AS bin, count(*) AS n FROM tall GROUP BY ALL", tall(columns))
 
 
 _MEDIANS = "med AS (SELECT feature, churn, quantile_cont(value, 0.5) AS m FROM tall GROUP BY ALL)"
@@ -156,8 +165,8 @@ _BOTH = """both_m AS (SELECT feature, abs(max(m) FILTER (WHERE churn = 0)) AS m0
   FROM med GROUP BY feature)"""
 
 
-def _median_diff_sql(gap, source, *ctes):
-    return sql_features(
+def _median_diff_sql(build, gap, source, *ctes):
+    return build(
         f"""SELECT 'nd_' || feature AS "column",
           round(CASE WHEN greatest(m0, m1) <> 0 THEN ({gap}) / greatest(m0, m1) END, 6) AS normal_diff FROM both_m""",
         *ctes,
@@ -207,13 +216,10 @@ ORACLES = {
     "features_v1": sql_features_v1(f"SELECT {feature_select(FLAGS_V1, V2_DOUBLE_COLUMNS[:-3])} FROM feat"),
     "features_reduced_sample": sql_features(f"SELECT {feature_select(FLAGS_V2, drop=WEAK_COLUMNS_SAMPLE)} FROM feat"),
     "features_reduced_full": sql_features(f"SELECT {feature_select(FLAGS_V2, drop=WEAK_COLUMNS_FULL)} FROM feat"),
-    "feature_missing": sql_features(
-        " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS n_missing FROM feat"
-            for c in [KEY, *MATRIX_COLUMNS]
-        )
-    ),
-    "feature_describe": _describe_sql(),
+    "feature_missing": _missing_sql(sql_features, [KEY, *MATRIX_COLUMNS]),
+    "feature_missing_v1": _missing_sql(sql_features_v1, [KEY, *NUMERIC_FEATURES, *FLAGS_V1]),
+    "feature_describe": _describe_sql(sql_features),
+    "feature_describe_v1": _describe_sql(sql_features_v1),
     "churn_counts": sql_features("SELECT churn, count(*) AS n FROM feat GROUP BY churn"),
     "churn_rate": sql_features("SELECT round(avg(churn), 4) AS churn_rate FROM feat"),
     **{
@@ -246,8 +252,8 @@ ORACLES = {
         tall(R.BOX_FEATURES),
     ),
     "binned_scatter": _scatter_sql(),
-    "median_difference_v2": _median_diff_sql("m1 - m0", "train", _SPLIT, _TRAIN),
-    "median_difference_v1": _median_diff_sql("m0 - m1", "feat"),
+    "median_difference_v2": _median_diff_sql(sql_features, "m1 - m0", "train", _SPLIT, _TRAIN),
+    "median_difference_v1": _median_diff_sql(sql_features_v1, "m0 - m1", "feat"),
     "rank_correlation": sql_features(
         """SELECT feature_a, feature_b, round(tau, 6) AS tau FROM taus
         UNION ALL SELECT feature_b AS feature_a, feature_a AS feature_b, round(tau, 6) AS tau FROM taus
