@@ -19,7 +19,7 @@ META_PREDICTIONS = [f"pred_{n}" for n in BASE]
 META_PROBABILITIES = ["prob_lr", "prob_rf", "prob_mlpc"]
 
 
-def fit_base(train: DataFrame, names: Sequence[str] = BASE, inputs: str = "v2", parallelism: int = 4) -> PipelineModel:
+def fit_base(train: DataFrame, names: Sequence[str] = BASE, inputs: str = "v2", parallelism: int | None = None) -> PipelineModel:
     """All base learners, each with its own output columns, fitted on the same prepared rows."""
     return fit_prepared(preparation(inputs), {n: classifier(n, inputs, private=True) for n in names}, train, parallelism)
 

@@ -57,7 +57,7 @@ def grid_search(
     axes: dict[str, Sequence],
     train: DataFrame,
     folds: int = 5,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     label: str = "label",
     by: str = "churn",
     key: str = KEY,
@@ -65,13 +65,15 @@ def grid_search(
     """Grid search by cross validation on the area under the ROC curve.
 
     The preparation is fitted once per fold, on the fold's training rows, and shared by all grid
-    points. Fits of all folds and points run ``parallelism`` at a time. Points that differ only in
+    points. Fits of all folds and points run ``parallelism`` at a time; without a number, as many
+    (2 to 8) as it takes to keep all cores busy with tables of this size. Points that differ only in
     the iteration limit are fitted from the lowest limit up, until one converges within it: the
     higher limits would give the same model.
     """
     maps = param_maps(estimator, axes)
     score = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=estimator.getRawPredictionCol())
     dealt = packed(with_folds(train, folds, by, key))
+    parallelism = parallelism or _side_by_side(dealt)
     totals = [0.0] * len(maps)
 
     def prepared(fold: int) -> tuple[DataFrame, DataFrame]:
@@ -104,9 +106,10 @@ def grid_search(
     return Search(maps, scores, best)
 
 
-def fit_prepared(prepare: Pipeline, estimators: dict[str, Estimator], train: DataFrame, parallelism: int = 4) -> PipelineModel:
+def fit_prepared(prepare: Pipeline, estimators: dict[str, Estimator], train: DataFrame, parallelism: int | None = None) -> PipelineModel:
     """Fit the preparation, then all estimators side by side on the prepared rows; one model in sequence."""
     kept = packed(train)
+    parallelism = parallelism or _side_by_side(kept)
     stages = prepare.fit(kept)
     prepared = stages.transform(kept).persist(KEEP)
     models: list[Model] = _in_parallel(lambda e: e.fit(prepared), list(estimators.values()), parallelism)
@@ -171,6 +174,12 @@ def scored(predictions: DataFrame, name: str, key: str = KEY) -> DataFrame:
     return predictions.select(key, "label", "prediction", class_one_score(vector).alias("score"))
 
 
+def _side_by_side(df: DataFrame) -> int:
+    """Fits to run at once: cores over partitions, between 2 and 8."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(2, min(8, cores // max(1, df.rdd.getNumPartitions())))
+
+
 def _by_iterations(maps: list[dict]) -> list[list[int]]:
     """Indices of maps that agree in all but ``maxIter``, lowest limit first."""
     groups: dict[tuple, list[int]] = {}

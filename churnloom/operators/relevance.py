@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnloom.plans.ordered import exact_quantiles
+from churnloom.plans.ordered import exact_quantiles, tall
 from churnloom.schema import NUMERIC_FEATURES
 
 FIVE_NUMBERS = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -35,8 +35,7 @@ SCATTER_PAIRS = [
 
 def long_features(features: DataFrame, columns: Sequence[str], ids: Sequence[str] = ("churn",)) -> DataFrame:
     """One row per (row, feature): ids, ``feature``, ``value`` as double."""
-    doubles = features.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.unpivot(list(ids), list(columns), "feature", "value")
+    return tall(features, ids, columns)
 
 
 def churn_rate(features: DataFrame) -> DataFrame:
@@ -63,8 +62,8 @@ def crosstab(features: DataFrame, rows: str, columns: str, values: Sequence = (0
 def class_histograms(features: DataFrame, columns: Sequence[str], widths: dict[str, float] | float) -> DataFrame:
     """Users per (feature, churn, bin); ``bin`` is the lower edge of a bin of fixed width."""
     width = F.lit(float(widths)) if not isinstance(widths, dict) else _per_feature(widths)
-    tall = long_features(features, columns).withColumn("bin", F.floor(F.col("value") / width) * width)
-    return tall.groupBy("feature", "churn", "bin").agg(F.count(F.lit(1)).alias("n"))
+    binned = long_features(features, columns).withColumn("bin", F.floor(F.col("value") / width) * width)
+    return binned.groupBy("feature", "churn", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def five_numbers(features: DataFrame, columns: Sequence[str] = BOX_FEATURES, by: str = "churn") -> DataFrame:
@@ -77,10 +76,10 @@ def five_numbers(features: DataFrame, columns: Sequence[str] = BOX_FEATURES, by:
 
 def class_medians(features: DataFrame, columns: Sequence[str], by: str = "churn", approximate: bool = False) -> DataFrame:
     """Median per feature and class: exact, or by a fixed-size sketch."""
-    tall = long_features(features, columns, (by,))
+    values = long_features(features, columns, (by,))
     if approximate:
-        return tall.groupBy("feature", by).agg(F.percentile_approx("value", 0.5, 10000).alias("median"))
-    return exact_quantiles(tall, ["feature", by], "value", [0.5]).select("feature", by, F.col("quantile").alias("median"))
+        return values.groupBy("feature", by).agg(F.percentile_approx("value", 0.5, 10000).alias("median"))
+    return exact_quantiles(values, ["feature", by], "value", [0.5]).select("feature", by, F.col("quantile").alias("median"))
 
 
 def median_difference(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnloom.plans.ordered import dense_ranks
+from churnloom.plans.ordered import dense_ranks, tall
 from churnloom.plans.spread import lookup
 from churnloom.session import cut_lineage
 
@@ -106,12 +106,10 @@ def _coded(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     fractional = [c for c in columns if c not in whole]
     out = df.select(key, *columns)
     if fractional:
-        tall = df.select(key, *[F.col(c).cast("double").alias(c) for c in fractional]).unpivot(
-            [key], fractional, "feature", "value"
-        )
-        ranks = dense_ranks(tall, ["feature"], "value")
+        values = tall(df, [key], fractional)
+        ranks = dense_ranks(values, ["feature"], "value")
         ranked = (
-            lookup(tall, ranks, ["feature", "value"], [key])
+            lookup(values, ranks, ["feature", "value"], [key])
             .groupBy(key)
             .agg(*[F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(f"_rank_{c}") for c in fractional])
         )

@@ -27,6 +27,15 @@ def value_bucket(value: Column) -> Column:
     return F.floor(F.signum(v) * F.log1p(size) * F.lit(_STEPS)).cast("long")
 
 
+def tall(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per (row, column): ids, ``feature`` and ``value`` as double.
+
+    ``inline`` rather than ``unpivot``: Spark recognises two uses of it as the same and shuffles once.
+    """
+    rows = ", ".join(f"struct('{c}' AS feature, CAST({c} AS DOUBLE) AS value)" for c in columns)
+    return df.selectExpr(*ids, f"inline(array({rows}))")
+
+
 def hash_bucket(hex_text: Column) -> Column:
     """First three digits of a hex digest: 4096 buckets in digest order."""
     return F.substring(hex_text, 1, 3)
@@ -42,11 +51,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``run_<c>``, the sum of ``c`` over the group's rows up to and including this one, and ``all_<c>``, over all.
 
-    ``df`` must hold one row per (keys, order), that is, ties are already added up. ``bucket``
-    must be monotone in ``order``.
+    ``df`` must hold one row per (keys, order), that is, ties are already added up; neither may be
+    null. ``bucket`` must be monotone in ``order``.
     """
     direction = F.desc if descending else F.asc
-    cut = df.withColumn("_bucket", bucket)
+    # both sides of the join below carry the same filter, so that Spark computes the input once
+    cut = df.withColumn("_bucket", bucket).where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_bucket"]))
     group = Window.partitionBy(*keys)
     before = group.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -82,6 +92,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", value_bucket(F.col("_v")))
+        .where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_bucket"]))
     )
     group = Window.partitionBy(*keys)
     up_to = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

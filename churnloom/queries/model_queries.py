@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, meta_features, stack_and_score
-from churnloom.ml.stages import SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, preparation
+from churnloom.ml.stages import SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, preparation
 from churnloom.ml.tune import spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, parts, stratified_split
 from churnloom.queries.common import sql_features, sql_features_v1, stored_features, tidy, v1_features
@@ -100,6 +100,15 @@ def _tuned_report(spark, sf_dir):
     return tidy(M.metric_report(predictions.withColumn("model", F.lit("lr"))))
 
 
+def _tuned_v2(name):
+    def query(spark, sf_dir):
+        made = _train_test(spark, sf_dir)
+        _, predictions = tune(name, TUNE_V2_SAMPLE[name], made["train"], made["test"])
+        return tidy(M.metric_report(predictions.withColumn("model", F.lit(name))))
+
+    return query
+
+
 def _grid_points(spark, sf_dir):
     found, predictions = _tuned_v1(spark, sf_dir)
     return tidy(found.table(predictions))
@@ -151,6 +160,8 @@ QUERIES = {
     **{f"spot_check_{name}": _spot_check(name) for name in SHORT_NAMES},
     "tuned_lr_report": _tuned_report,
     "tuned_lr_grid": _grid_points,
+    "tuned_mlpc_report": _tuned_v2("mlpc"),
+    "tuned_gbt_report": _tuned_v2("gbt"),
     "base_predictions": _base_predictions,
     "meta_features": _meta_features,
     "stacked_scores": _stacked,
