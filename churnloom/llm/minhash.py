@@ -219,7 +219,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(docs: DataFrame, met: DataFrame) -> DataFrame:
     """Confirmed links (low, high) that join every group of similar classes."""
-    with_text = met.join(docs, "doc_id").select("list", "a", "b", "doc_id", "fp_a", "text")
+    # a shuffle at every size: what meets grows with the corpus
+    with_text = met.join(docs.hint("merge"), "doc_id").select("list", "a", "b", "doc_id", "fp_a", "text")
     gathered = with_text.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b")
     return gathered.mapInArrow(_links, "low bigint, high bigint").distinct()
 
