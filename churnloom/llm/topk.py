@@ -16,7 +16,8 @@ returns k rows for each query at most, and the best k of these partial lists are
 Vectors that are null, empty or hold a null or non-finite component take no part, nor do rows with a null
 id. Vectors of another dimension than the query's are not its candidates. Ties go to the smaller
 id. A repeated id is a candidate as often as it occurs, but never of a query with that id; a
-repeated query id asks once, with its smallest vector.
+repeated query id asks once, with its smallest vector. A product beyond the range of a long is
+returned as the end of that range.
 """
 
 from __future__ import annotations
@@ -102,7 +103,7 @@ def best_in_chunk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
                 alive = alive[(norms[i, alive] - far) / 2 + slack[i, alive] >= floor]
         scores = _exact(q[i], x[alive])
         top = np.lexsort((ids[alive], -scores))[:k] if scores.dtype != object else sorted(range(len(alive)), key=lambda j: (-scores[j], ids[alive[j]]))[:k]
-        out += [(int(name), int(ids[alive[j]]), int(scores[j])) for j in top]
+        out += [(int(name), int(ids[alive[j]]), max(min(int(scores[j]), 2**63 - 1), -(2**63))) for j in top]
     return out
 
 
