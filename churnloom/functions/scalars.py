@@ -57,18 +57,18 @@ def state(location: str | Column) -> Column:
     return F.get(F.split(_col(location), ","), F.lit(1))
 
 
-def flag(condition: Column) -> Column:
-    """1 where the condition holds, 0 where it does not or is unknown."""
-    return F.when(condition, 1).otherwise(0)
+def event_order(ms: str, item: str) -> str:
+    """SQL text of a number that orders a user's events by time, then by position in the session.
 
+    A decimal of 38 digits holds both in full and is a fixed-width aggregation buffer, so minima and maxima
+    of it stay inside hash aggregation. A missing item counts as 0.
+    """
+    return f"(CAST({ms} AS DECIMAL(20,0)) * {1 << 63}BD + coalesce({item}, 0L))"
 
-def event_order(ms: Column, item: Column) -> Column:
-    """Long key that orders a user's events by time, then by position in the session.
 
-    One fixed-width number keeps min_by / max_by inside hash aggregation.
-    """
-    width = 1 << 20
-    return ms * F.lit(width) + F.least(F.coalesce(item, F.lit(0)), F.lit(width - 1))
+def flagged(order: str, flag: str) -> str:
+    """SQL text of the order number with a 0/1 flag as its last binary digit."""
+    return f"CAST({order} * 2BD + CASE WHEN {flag} THEN 1 ELSE 0 END AS DECIMAL(38,0))"
 
 
 def missing(name: str, kind: T.DataType) -> Column:

@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnloom.plans.ordered import running_totals, value_bucket
+from churnloom.plans.ordered import running_totals
 
 METRICS = ["accuracy", "precision", "recall", "f1_score", "auc_roc", "auc_pr"]
 
@@ -123,15 +123,18 @@ def metrics_by_model(report: DataFrame, models: Sequence[str]) -> DataFrame:
 
 
 def _cumulative(predictions: DataFrame, label: str, score: str, keys: Sequence[str]) -> DataFrame:
-    """Per distinct score: positives, negatives, their running totals from the top and their totals."""
+    """Per distinct score: positives, negatives, their running totals from the top and their totals.
+
+    Rows without a score (null or NaN) take no part.
+    """
     group = list(keys) or ["_all"]
     rows = predictions if keys else predictions.withColumn("_all", F.lit(1))
     counts = (
-        rows.where(F.col(score).isNotNull())
+        rows.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
         .groupBy(*group, F.col(score).cast("double").alias("_score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
-    return running_totals(counts, group, "_score", ["pos", "neg"], value_bucket(F.col("_score")), descending=True)
+    return running_totals(counts, group, "_score", ["pos", "neg"], descending=True)
 
 
 def _from_origin(points: DataFrame, keys: Sequence[str], start: dict[str, float]) -> DataFrame:

@@ -107,13 +107,8 @@ def full_estimator(name: str, inputs: str = "v2") -> Pipeline:
 
 
 def param_maps(estimator: Estimator, axes: dict[str, Sequence]) -> list[dict[Param, object]]:
-    """All combinations of ``axes``.
-
-    The step size of a perceptron trained with l-bfgs has no effect on the fit, so only its first
-    value is used there instead of fitting the same model several times.
-    """
+    """All combinations of ``axes``."""
     grid = ParamGridBuilder()
-    inert = isinstance(estimator, MultilayerPerceptronClassifier) and estimator.getSolver() == "l-bfgs"
     for name, values in axes.items():
-        grid = grid.addGrid(estimator.getParam(name), list(values[:1]) if inert and name == "stepSize" else list(values))
+        grid = grid.addGrid(estimator.getParam(name), list(values))
     return grid.build()

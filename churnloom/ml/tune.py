@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from churnloom.ml.stages import SHORT_NAMES, SPOT_CHECK, WITH_PROBABILITY, class
 from churnloom.operators.split import class_ranks
 from churnloom.schema import KEY
 
-ROWS_PER_PARTITION = 20_000
+PARALLELISM = 4
 KEEP = StorageLevel.MEMORY_AND_DISK
 
 
@@ -51,91 +52,113 @@ def with_folds(df: DataFrame, folds: int = 5, by: str = "churn", key: str = KEY)
     return class_ranks(df, by, key).withColumn("fold", F.pmod(F.col("_rank"), F.lit(folds)).cast("int")).drop("_rank", "_size")
 
 
+@dataclass
+class PreparedFolds:
+    """Training rows with their fold, and (rows to fit on, held-out rows) of each fold, prepared and kept."""
+
+    dealt: DataFrame
+    ready: list[tuple[DataFrame, DataFrame]]
+
+
+@contextmanager
+def prepared_folds(
+    prepare: Pipeline,
+    train: DataFrame,
+    folds: int = 5,
+    by: str = "churn",
+    key: str = KEY,
+    partitions: int | None = None,
+    parallelism: int = PARALLELISM,
+) -> Iterator[PreparedFolds]:
+    """The preparation fitted on each fold's training rows, for any number of searches.
+
+    Tables are kept in memory or on disk until the block ends, however it ends. ``partitions`` sets
+    how many partitions the kept rows have; without it they have those of ``train``'s own plan. (Tree
+    models depend on the partitioning of their input.)
+    """
+    dealt = with_folds(train, folds, by, key)
+    dealt = (dealt.coalesce(partitions) if partitions else dealt).persist(KEEP)
+    kept = [dealt]
+
+    def prepared(fold: int) -> tuple[DataFrame, DataFrame]:
+        inner = dealt.where(F.col("fold") != fold)
+        stages = prepare.fit(inner)
+        pair = stages.transform(inner).persist(KEEP), stages.transform(dealt.where(F.col("fold") == fold)).persist(KEEP)
+        kept.extend(pair)
+        return pair
+
+    try:
+        yield PreparedFolds(dealt, _in_parallel(prepared, range(folds), parallelism))
+    finally:
+        for table in kept:
+            table.unpersist()
+
+
 def grid_search(
     prepare: Pipeline,
     estimator: Estimator,
     axes: dict[str, Sequence],
     train: DataFrame,
     folds: int = 5,
-    parallelism: int | None = None,
+    parallelism: int = PARALLELISM,
+    partitions: int | None = None,
     label: str = "label",
     by: str = "churn",
     key: str = KEY,
 ) -> Search:
-    """Grid search by cross validation on the area under the ROC curve.
+    """Grid search by cross validation on the exact area under the ROC curve.
 
     The preparation is fitted once per fold, on the fold's training rows, and shared by all grid
-    points. Fits of all folds and points run ``parallelism`` at a time; without a number, as many
-    (2 to 8) as it takes to keep all cores busy with tables of this size. Points that differ only in
-    the iteration limit are fitted from the lowest limit up, until one converges within it: the
-    higher limits would give the same model.
+    points. Fits of all folds and points run ``parallelism`` at a time.
+    """
+    with prepared_folds(prepare, train, folds, by, key, partitions, parallelism) as data:
+        return search_folds(data, prepare, estimator, axes, parallelism, label)
+
+
+def search_folds(
+    data: PreparedFolds, prepare: Pipeline, estimator: Estimator, axes: dict[str, Sequence], parallelism: int = PARALLELISM, label: str = "label"
+) -> Search:
+    """Grid search over folds that are prepared already.
+
+    Every point of the grid is scored. Points whose fits are equal by construction share one: those
+    that differ only in a step size the solver does not use, and, for a logistic regression that
+    has converged within its iteration limit, those with a higher limit.
     """
     maps = param_maps(estimator, axes)
-    score = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=estimator.getRawPredictionCol())
-    dealt = packed(with_folds(train, folds, by, key))
-    parallelism = parallelism or _side_by_side(dealt)
+    score = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=estimator.getRawPredictionCol(), numBins=0)
+    unused = {"stepSize"} if isinstance(estimator, MultilayerPerceptronClassifier) and estimator.getSolver() == "l-bfgs" else set()
     totals = [0.0] * len(maps)
 
-    def prepared(fold: int) -> tuple[DataFrame, DataFrame]:
-        inner = dealt.where(F.col("fold") != fold)
-        stages = prepare.fit(inner)
-        held_out = stages.transform(dealt.where(F.col("fold") == fold))
-        return stages.transform(inner).persist(KEEP), held_out.persist(KEEP)
-
     def areas(at: tuple[int, list[int]]) -> dict[int, float]:
-        (fit_on, check_on), out, model = ready[at[0]], {}, None
+        (fit_on, check_on), out, model, limit = data.ready[at[0]], {}, None, None
         for k in at[1]:
-            if not _converged(model):
-                model = estimator.fit(fit_on, maps[k])
+            mine = _named(maps[k]).get("maxIter")
+            if model is None or mine != limit and not _converged(model):
+                model, limit = estimator.fit(fit_on, maps[k]), mine
                 value = score.evaluate(model.transform(check_on))
             out[k] = value
         return out
 
-    ready = _in_parallel(prepared, range(folds), parallelism)
-    groups = _by_iterations(maps)
-    tasks = [(fold, group) for fold in range(folds) for group in groups]
+    tasks = [(fold, group) for fold in range(len(data.ready)) for group in _by_iterations(maps, unused)]
     for found in _in_parallel(areas, tasks, parallelism):
         for k, value in found.items():
             totals[k] += value
-    for pair in ready:
-        for table in pair:
-            table.unpersist()
-    scores = [total / folds for total in totals]
-    best = fit_prepared(prepare, {"best": estimator.copy(maps[scores.index(max(scores))])}, dealt.drop("fold"))
-    dealt.unpersist()
+    scores = [total / len(data.ready) for total in totals]
+    best = fit_prepared(prepare, {"best": estimator.copy(maps[scores.index(max(scores))])}, data.dealt.drop("fold"), parallelism)
     return Search(maps, scores, best)
 
 
-def fit_prepared(prepare: Pipeline, estimators: dict[str, Estimator], train: DataFrame, parallelism: int | None = None) -> PipelineModel:
+def fit_prepared(prepare: Pipeline, estimators: dict[str, Estimator], train: DataFrame, parallelism: int = PARALLELISM) -> PipelineModel:
     """Fit the preparation, then all estimators side by side on the prepared rows; one model in sequence."""
-    kept = packed(train)
-    parallelism = parallelism or _side_by_side(kept)
-    stages = prepare.fit(kept)
-    prepared = stages.transform(kept).persist(KEEP)
-    models: list[Model] = _in_parallel(lambda e: e.fit(prepared), list(estimators.values()), parallelism)
-    prepared.unpersist()
-    kept.unpersist()
+    stages = prepare.fit(train)
+    prepared = stages.transform(train).persist(KEEP)
+    try:
+        models: list[Model] = _in_parallel(lambda e: e.fit(prepared), list(estimators.values()), parallelism)
+    finally:
+        prepared.unpersist()
     return PipelineModel([*stages.stages, *models])
 
 
-def packed(df: DataFrame) -> DataFrame:
-    """``df`` kept in memory (or on disk) in as many partitions as its rows are worth.
-
-    Iterative fits run a job per step; on a small table most of that would be empty tasks. A large
-    table keeps the partitions it has.
-    """
-    kept = df.persist(KEEP)
-    needed = max(1, -(-kept.count() // ROWS_PER_PARTITION))
-    return kept if needed >= kept.rdd.getNumPartitions() else _repacked(kept, needed)
-
-
-def _repacked(kept: DataFrame, needed: int) -> DataFrame:
-    small = kept.coalesce(needed).persist(KEEP)
-    small.count()
-    kept.unpersist()
-    return small
-
-
 def tune(
     name: str, axes: dict[str, Sequence], train: DataFrame, test: DataFrame, inputs: str = "v2", **search
 ) -> tuple[Search, DataFrame]:
@@ -158,13 +181,15 @@ def spot_check(
     """
     found: dict[str, Search] = {}
     tables = {}
-    for name in names:
-        found[name] = grid_search(preparation(inputs), classifier(name, inputs), grids[name], train, **search)
-        both = [
-            scored(found[name].best.transform(rows), name).withColumn("split", F.lit(split))
-            for split, rows in (("train", train), ("test", test))
-        ]
-        tables[name] = both[0].unionByName(both[1])
+    prepare, parallelism = preparation(inputs), search.get("parallelism", PARALLELISM)
+    with prepared_folds(prepare, train, **search) as data:
+        for name in names:
+            found[name] = search_folds(data, prepare, classifier(name, inputs), grids[name], parallelism)
+            both = [
+                scored(found[name].best.transform(rows), name).withColumn("split", F.lit(split))
+                for split, rows in (("train", train), ("test", test))
+            ]
+            tables[name] = both[0].unionByName(both[1])
     return found, stack_models(tables)
 
 
@@ -174,17 +199,11 @@ def scored(predictions: DataFrame, name: str, key: str = KEY) -> DataFrame:
     return predictions.select(key, "label", "prediction", class_one_score(vector).alias("score"))
 
 
-def _side_by_side(df: DataFrame) -> int:
-    """Fits to run at once: cores over partitions, between 2 and 8."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(2, min(8, cores // max(1, df.rdd.getNumPartitions())))
-
-
-def _by_iterations(maps: list[dict]) -> list[list[int]]:
-    """Indices of maps that agree in all but ``maxIter``, lowest limit first."""
+def _by_iterations(maps: list[dict], unused: set[str]) -> list[list[int]]:
+    """Indices of maps that agree in all but ``maxIter`` and unused parameters, lowest limit first."""
     groups: dict[tuple, list[int]] = {}
     for k, m in enumerate(maps):
-        groups.setdefault(tuple(sorted((n, v) for n, v in _named(m).items() if n != "maxIter")), []).append(k)
+        groups.setdefault(tuple(sorted((n, v) for n, v in _named(m).items() if n not in {"maxIter", *unused})), []).append(k)
     return [sorted(g, key=lambda k: _named(maps[k]).get("maxIter", 0)) for g in groups.values()]
 
 

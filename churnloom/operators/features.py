@@ -1,9 +1,13 @@
 """One row of behavioural features per user.
 
-A single pass over the cleaned log: the events are aggregated by (user, session) and, in the same
-shuffle, by (user, item number) and, for V1, (user, date), using grouping sets. All buffers are
-fixed-width, so this stays hash aggregation. The second aggregation, by user, sees only the
-pre-aggregated rows, which also takes the weight off a very active user.
+One pass over the cleaned log aggregates the events by (user, session); the second aggregation, by
+user, sees only these rows, which also takes the weight off a very active user. All buffers are
+fixed-width, so this stays hash aggregation. Distinct items (and dates, in V1) are counted apart,
+from nothing but their keys, and joined on the user.
+
+Flags of the first or last event: events are ordered by time, then item number. Where several
+events of a user agree in both, in one session or in several, the last-event flags (level, downgrade) are 1
+if any of them has 1, and the first-event flag (gender) is 0 if any of them has 0.
 """
 
 from __future__ import annotations
@@ -13,18 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnloom.functions.scalars import calendar_days, elapsed_days, event_order
+from churnloom.functions.scalars import calendar_days, elapsed_days, event_order, flagged
 from churnloom.schema import CHURN_PAGE, FLAGS_V1, FLAGS_V2, KEY, NUMERIC_FEATURES, PAGE_COUNTERS
 
 
 def features_v2(clean: DataFrame, drop_missing: bool = True) -> DataFrame:
     """User features from the V2 cleaned log: elapsed-day intervals, flags gender, level, churn."""
-    ms = F.round(F.col("log_ts") * 1000).cast("long")
-    per_session = _pre_aggregate(
-        clean.withColumn("_order", event_order(ms, F.col("itemInSession"))), time="log_ts", reg="reg_ts"
-    )
-    users = _per_user(per_session, hours="(_last - _first) / 3600")
-    features = users.select(
+    order = event_order("round(log_ts * 1000)", "itemInSession")
+    users = _per_user(_per_session(clean, order, time="log_ts", reg="reg_ts"), hours="(_last - _first) / 3600")
+    users = users.join(_distinct(clean, "itemInSession", "n_acts"), KEY, "left")
+    features = _ratios(users).select(
         KEY,
         *NUMERIC_FEATURES[:-3],
         elapsed_days("_user_first", "_reg").alias("init_days_interv"),
@@ -37,18 +39,18 @@ def features_v2(clean: DataFrame, drop_missing: bool = True) -> DataFrame:
 
 def features_v1(clean: DataFrame, drop_missing: bool = True) -> DataFrame:
     """User features from the V1 cleaned log: whole-day intervals, distinct active dates, downgrade flag."""
-    events = clean.withColumn("_order", event_order(F.col("ts"), F.col("itemInSession"))).withColumn(
-        "_date", F.to_date("event_ts")
-    )
-    per_session = _pre_aggregate(events, time="ts", reg="registration", extra_distinct=["_date"])
-    users = _per_user(per_session, hours="(_last - _first) / (1000 * 3600)")
+    sessions = _per_session(clean, event_order("ts", "itemInSession"), time="ts", reg="registration")
+    users = _per_user(sessions, hours="(_last - _first) / (1000 * 3600)")
+    users = users.join(_distinct(clean, "itemInSession", "n_acts"), KEY, "left")
+    dates = clean.select(KEY, F.to_date("event_ts").alias("_date"))
+    users = users.join(_distinct(dates, "_date", "_dates"), KEY, "left")
     date = lambda c: F.to_date(F.from_unixtime(F.floor(F.col(c) / 1000)))
-    features = users.select(
+    features = _ratios(users).select(
         KEY,
         *NUMERIC_FEATURES[:-3],
         calendar_days(date("_user_first"), date("_reg")).alias("init_days_interv"),
         calendar_days(date("_user_last"), date("_reg")).alias("tenure_days_interv"),
-        F.col("_n__date").alias("active_days"),
+        F.col("_dates").alias("active_days"),
         *FLAGS_V1,
     )
     return features.na.drop("any") if drop_missing else features
@@ -59,54 +61,46 @@ def without(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     return features.drop(*columns)
 
 
-def _pre_aggregate(events: DataFrame, time: str, reg: str, extra_distinct: Sequence[str] = ()) -> DataFrame:
-    """One row per (user, session), and per (user, value) of each column to count distinctly.
-
-    ``_set`` says which: 0 for session rows, 1.. for the distinct columns.
-    """
-    distinct = ["itemInSession", *extra_distinct]
-    keys = [KEY, "sessionId", *distinct]
-    sets = [[F.col(KEY), F.col(c)] for c in keys[1:]]
-    grouped = events.groupingSets(sets, *[F.col(c) for c in keys]).agg(
+def _per_session(events: DataFrame, order: str, time: str, reg: str) -> DataFrame:
+    return events.groupBy(KEY, "sessionId").agg(
         *[F.expr(f"count_if(page = '{p}') AS {c}") for c, p in PAGE_COUNTERS.items()],
         F.expr("count(1) AS _events"),
         F.expr(f"min({time}) AS _first"),
         F.expr(f"max({time}) AS _last"),
         F.expr(f"min({reg}) AS _reg"),
-        F.expr("min(_order) AS _oldest"),
-        F.expr("max(_order) AS _newest"),
-        F.expr("min_by(CASE WHEN gender = 'F' THEN 1 ELSE 0 END, _order) AS _gender"),
-        F.expr("max_by(CASE WHEN level = 'paid' THEN 1 ELSE 0 END, _order) AS _level"),
-        F.expr("max_by(CASE WHEN page = 'Downgrade' THEN 1 ELSE 0 END, _order) AS _downgrade"),
+        F.expr(f"min({flagged(order, "gender = 'F'")}) AS _gender"),
+        F.expr(f"max({flagged(order, "level = 'paid'")}) AS _level"),
+        F.expr(f"max({flagged(order, "page = 'Downgrade'")}) AS _downgrade"),
         F.expr(f"max(CASE WHEN page = '{CHURN_PAGE}' THEN 1 ELSE 0 END) AS _churn"),
-        *[F.expr(f"grouping({c}) AS _not_{c}") for c in distinct],
-    )
-    cases = " ".join(f"WHEN _not_{c} = 0 THEN {i}" for i, c in enumerate(distinct, start=1))
-    return grouped.selectExpr(
-        "*", f"CASE {cases} ELSE 0 END AS _set", *[f"{c} IS NOT NULL AS _has_{c}" for c in ["sessionId", *distinct]]
     )
 
 
-def _per_user(grouped: DataFrame, hours: str) -> DataFrame:
-    in_session = lambda c: f"CASE WHEN _set = 0 THEN {c} END"
-    distinct = [c[len("_has_") :] for c in grouped.columns if c.startswith("_has_") and c != "_has_sessionId"]
-    users = grouped.groupBy(KEY).agg(
-        *[F.expr(f"sum({in_session(c)}) AS {c}") for c in PAGE_COUNTERS],
-        F.expr("count_if(_set = 0 AND _has_sessionId) AS nr_sessions"),
-        *[F.expr(f"count_if(_set = {i} AND _has_{c}) AS _n_{c}") for i, c in enumerate(distinct, start=1)],
-        F.expr(f"sum({in_session(f'{hours} * _events')}) / sum({in_session('_events')}) AS avg_sess_h"),
+def _per_user(sessions: DataFrame, hours: str) -> DataFrame:
+    last_digit = lambda c: F.expr(f"CAST(pmod({c}, 2BD) AS INT)")
+    users = sessions.groupBy(KEY).agg(
+        *[F.expr(f"sum({c}) AS {c}") for c in PAGE_COUNTERS],
+        F.expr("count(sessionId) AS nr_sessions"),
+        F.expr(f"sum({hours} * _events) / sum(_events) AS avg_sess_h"),
         F.expr("min(_first) AS _user_first"),
         F.expr("max(_last) AS _user_last"),
         F.expr("min(_reg) AS _reg"),
-        F.expr(f"min_by({in_session('_gender')}, {in_session('_oldest')}) AS gender"),
-        F.expr(f"max_by({in_session('_level')}, {in_session('_newest')}) AS level"),
-        F.expr(f"max_by({in_session('_downgrade')}, {in_session('_newest')}) AS downgrade"),
+        F.expr("min(_gender) AS _gender"),
+        F.expr("max(_level) AS _level"),
+        F.expr("max(_downgrade) AS _downgrade"),
         F.expr("max(_churn) AS churn"),
     )
+    return users.withColumns({"gender": last_digit("_gender"), "level": last_digit("_level"), "downgrade": last_digit("_downgrade")})
+
+
+def _distinct(events: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct values of one column per user."""
+    return events.select(KEY, column).distinct().groupBy(KEY).agg(F.count(column).alias(name))
+
+
+def _ratios(users: DataFrame) -> DataFrame:
     return users.selectExpr(
         "*",
-        "_n_itemInSession AS n_acts",
-        "_n_itemInSession / nr_sessions AS acts_per_session",
+        "n_acts / nr_sessions AS acts_per_session",
         "nr_songs / nr_sessions AS songs_per_session",
         "nr_ads / nr_sessions AS ads_per_session",
     )

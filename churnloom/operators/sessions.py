@@ -1,8 +1,10 @@
 """Per-user and per-session marks on event rows (the pre-processing step).
 
-First and last times over an unbounded frame are minima and maxima, so they come from a
-two-level aggregation (session, then user) that is joined back, instead of from a window that
-would pull every event of a user into one task.
+First and last times over an unbounded frame are minima and maxima, so they come from
+aggregations that are joined back, instead of from a window that would pull every event of a user
+into one task. The marks of a user are added to the session rows first, so the events are joined
+once; a very active user's side of that join is split at run time (skew join). A missing session
+id is a session of its own for each user.
 """
 
 from __future__ import annotations
@@ -11,13 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnloom.functions.scalars import calendar_days, cohort_text, elapsed_days
-from churnloom.plans.spread import lookup
 
 
 def preprocess_v2(clean: DataFrame) -> DataFrame:
     """V2 cleaned log with cohort, first/last event, day intervals and session hours; raw times dropped."""
-    marked = _with_marks(clean, "log_ts", ["log_ts", "itemInSession"])
-    return marked.select(
+    return _marked(clean, session_marks(clean, "log_ts")).select(
         *[c for c in clean.columns if c not in ("log_ts", "reg_ts")],
         cohort_text("reg_ts").alias("reg_date"),
         F.col("_user_first").alias("firstevent_ts"),
@@ -31,13 +31,7 @@ def preprocess_v2(clean: DataFrame) -> DataFrame:
 
 def preprocess_v1(clean: DataFrame) -> DataFrame:
     """V1 cleaned log with first/last event text, dates, whole-day intervals, active dates and session hours."""
-    dates = (
-        clean.select("userId", F.to_date("event_ts").alias("d"))
-        .distinct()
-        .groupBy("userId")
-        .agg(F.count("d").alias("_dates"))
-    )
-    marked = lookup(_with_marks(clean, "ts", ["ts", "itemInSession"]), dates, ["userId"], ["ts", "itemInSession"])
+    marked = _marked(clean, session_marks(clean, "ts", date="event_ts"))
     text = lambda ms: F.from_unixtime(F.floor(F.col(ms) / 1000))
     marked = marked.withColumns({"firstevent_ts": text("_user_first"), "lastevent_ts": text("_user_last")})
     return marked.select(
@@ -53,12 +47,23 @@ def preprocess_v1(clean: DataFrame) -> DataFrame:
     )
 
 
-def session_spans(log: DataFrame, time: str) -> DataFrame:
-    """First and last time per (user, session), and of the user over all sessions."""
-    spans = log.groupBy("userId", "sessionId").agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+def session_marks(log: DataFrame, time: str, date: str | None = None) -> DataFrame:
+    """One row per (user, session) with first and last time, also those of the user over all sessions.
+
+    With ``date``, the user's number of distinct dates as well, from the same aggregation of the events.
+    """
+    keys = ["userId", "sessionId"]
+    day = [F.to_date(date).alias("_date")] if date else []
+    base = log.groupBy(*keys, *day).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+    spans = base.groupBy(*keys).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")) if date else base
     users = spans.groupBy("userId").agg(F.min("_first").alias("_user_first"), F.max("_last").alias("_user_last"))
-    return lookup(spans, users, ["userId"], ["sessionId"])
+    marks = spans.join(users, "userId", "left")
+    if date:
+        dates = base.select("userId", "_date").distinct().groupBy("userId").agg(F.count("_date").alias("_dates"))
+        marks = marks.join(dates, "userId", "left")
+    return marks
 
 
-def _with_marks(log: DataFrame, time: str, spread_by: list[str]) -> DataFrame:
-    return lookup(log, session_spans(log, time), ["userId", "sessionId"], spread_by)
+def _marked(log: DataFrame, marks: DataFrame) -> DataFrame:
+    marks = marks.withColumnsRenamed({"userId": "_user", "sessionId": "_session"})
+    return log.join(marks, (F.col("userId") == F.col("_user")) & F.col("sessionId").eqNullSafe(F.col("_session")), "left")

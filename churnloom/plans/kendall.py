@@ -22,21 +22,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnloom.plans.ordered import dense_ranks, tall
-from churnloom.plans.spread import lookup
 from churnloom.session import cut_lineage
 
 _BITS = 4
 _DIGITS = 1 << _BITS
 
 
-def kendall_pairs(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def kendall_pairs(df: DataFrame, columns: Sequence[str], key: str, target: str | None = None) -> DataFrame:
     """``feature_a``, ``feature_b``, ``tau`` for every unordered pair, in column order.
 
+    With ``target``, only the pairs that this column is in are worked out.
+
     ``key`` is unique per row. ``tau`` is null where a column is constant. The codes are stored
     once in the shared folder, since several branches read them.
     """
     coded = cut_lineage(_coded(df, columns, key), "codes")
-    pairs = _concordance(coded, columns)
+    pairs = _concordance(coded, _pairs(columns, target), len(columns))
     ties = _ties(coded, columns)
     a, b = ties.alias("a"), ties.alias("b")
     free = lambda side: F.col(f"{side}.pairs") - F.col(f"{side}.tied")
@@ -66,11 +67,8 @@ def kendall_matrix(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame
         ).alias("r")
     ).select("r.*")
     names = F.explode(F.array(*[F.lit(c) for c in columns]))
-    diagonal = (
-        df.agg(F.count(F.lit(1)))
-        .select(names.alias("feature_a"))
-        .select("feature_a", F.col("feature_a").alias("feature_b"), F.lit(1.0).alias("tau"))
-    )
+    one = df.sparkSession.range(1).select(names.alias("feature_a"))
+    diagonal = one.select("feature_a", F.col("feature_a").alias("feature_b"), F.lit(1.0).alias("tau"))
     return both.unionByName(diagonal)
 
 
@@ -109,7 +107,7 @@ def _coded(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
         values = tall(df, [key], fractional)
         ranks = dense_ranks(values, ["feature"], "value")
         ranked = (
-            lookup(values, ranks, ["feature", "value"], [key])
+            values.join(ranks, ["feature", "value"], "left")
             .groupBy(key)
             .agg(*[F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(f"_rank_{c}") for c in fractional])
         )
@@ -121,12 +119,12 @@ def _coded(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     return out.select(F.array(*[code[c] for c in columns]).alias("codes"))
 
 
-def _concordance(coded: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _concordance(coded: DataFrame, wanted: list[tuple[int, int]], n: int) -> DataFrame:
     """Numbers of agreeing and disagreeing row pairs for each column pair (i, j)."""
     digits = range(_DIGITS)
-    levels = _levels(coded, len(columns))
+    levels = _levels(coded, n)
     pairs = F.array(
-        *[F.expr(f"named_struct('i', {i}, 'j', {j}, 'ni', {levels[i]}, 'nj', {levels[j]})") for i, j in _pairs(columns)]
+        *[F.expr(f"named_struct('i', {i}, 'j', {j}, 'ni', {levels[i]}, 'nj', {levels[j]})") for i, j in wanted]
     )
     cells = (
         coded.select("codes", F.explode(pairs).alias("p"))
@@ -151,9 +149,12 @@ def _concordance(coded: DataFrame, columns: Sequence[str]) -> DataFrame:
     below = [f"coalesce(sum(s{k}) OVER {frame}, 0) AS b{k}" for k in digits]
     smaller = counted.selectExpr("i", "j", *[f"s{k}" for k in digits], *below)
     plus = lambda terms: " + ".join(terms)
-    agree = plus(f"s{k} * ({plus(f'b{m}' for m in range(k))})" for k in digits[1:])
-    same_y = plus(f"s{k} * b{k}" for k in digits)
-    all_x = f"({plus(f's{k}' for k in digits)}) * ({plus(f'b{k}' for k in digits)})"
+    # products of counts pass 2^63 long before the counts do
+    wide = lambda terms: f"CAST({plus(terms)} AS DECIMAL(19,0))"
+    product = lambda s, b: f"CAST({wide(s)} * {wide(b)} AS DECIMAL(38,0))"
+    agree = plus(product([f"s{k}"], [f"b{m}" for m in range(k)]) for k in digits[1:])
+    same_y = plus(product([f"s{k}"], [f"b{k}"]) for k in digits)
+    all_x = product([f"s{k}" for k in digits], [f"b{k}" for k in digits])
     return (
         smaller.selectExpr("i", "j", f"{agree} AS agree", f"{same_y} AS same_y", f"{all_x} AS all_x")
         .groupBy("i", "j")
@@ -161,8 +162,9 @@ def _concordance(coded: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _pairs(columns: Sequence[str]) -> list[tuple[int, int]]:
-    return list(combinations(range(len(columns)), 2))
+def _pairs(columns: Sequence[str], target: str | None) -> list[tuple[int, int]]:
+    every = combinations(range(len(columns)), 2)
+    return [(i, j) for i, j in every if target is None or target in (columns[i], columns[j])]
 
 
 def _levels(coded: DataFrame, n: int) -> list[int]:
@@ -176,7 +178,7 @@ def _ties(coded: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = (
         coded.select(F.posexplode("codes").alias("col", "code")).groupBy("col", "code").agg(F.count(F.lit(1)).alias("n"))
     )
-    half = lambda c: F.expr(f"{c} * ({c} - 1) div 2")
+    half = lambda c: F.expr(f"CAST({c} AS DECIMAL(19,0)) * CAST({c} - 1 AS DECIMAL(19,0)) / 2BD")
     return counts.groupBy("col").agg(F.sum(half("n")).alias("tied"), F.sum("n").alias("rows")).select(
         "col", "tied", half("rows").alias("pairs")
     )

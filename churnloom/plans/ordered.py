@@ -1,7 +1,7 @@
 """Running totals, ranks and quantiles over a whole ordered group, without one task per group.
 
-The idea is the same everywhere: a fixed monotone function cuts the order column into buckets;
-totals per bucket are a plain aggregation; a running sum over those few bucket rows gives each
+The idea is the same everywhere: a monotone function, fixed or taken from a quantile sketch of the
+data, cuts the order column into buckets; totals per bucket are a plain aggregation; a running sum over those few bucket rows gives each
 bucket its starting offset; inside a bucket a window finishes the job. The number of buckets is
 limited by the bucket function and not by the data, so the only window that spans a group sees a
 bounded number of rows.
@@ -27,6 +27,26 @@ def value_bucket(value: Column) -> Column:
     return F.floor(F.signum(v) * F.log1p(size) * F.lit(_STEPS)).cast("long")
 
 
+#: cut points of a group's order column, and the rank error of the sketch they come from (1 / accuracy)
+_CUTS = 255
+_ACCURACY = 10_000
+
+
+def even_buckets(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Add ``_bucket``, monotone in ``order``, so that the rows of a group spread evenly over 256 buckets.
+
+    Cut points come from a quantile sketch of fixed size per group; results built on the buckets do
+    not depend on how accurate it is.
+    """
+    cuts = F.array(*[F.lit((k + 1) / (_CUTS + 1)) for k in range(_CUTS)])
+    edges = df.groupBy(*keys).agg(F.percentile_approx(order, cuts, F.lit(_ACCURACY)).alias("_edges"))
+    steps = F.array(*[F.lit(1 << k) for k in range((_CUTS + 1).bit_length() - 2, -1, -1)])
+    value = F.col(order)
+    # how many cut points lie below the value, by halving
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_edges", at + step - 1) < value, at + step).otherwise(at))
+    return df.join(edges, list(keys)).select(*df.columns, below.alias("_bucket"))
+
+
 def tall(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per (row, column): ids, ``feature`` and ``value`` as double.
 
@@ -46,17 +66,18 @@ def running_totals(
     keys: Sequence[str],
     order: str,
     sums: Sequence[str],
-    bucket: Column,
+    bucket: Column | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """Add ``run_<c>``, the sum of ``c`` over the group's rows up to and including this one, and ``all_<c>``, over all.
 
     ``df`` must hold one row per (keys, order), that is, ties are already added up; neither may be
-    null. ``bucket`` must be monotone in ``order``.
+    null. ``bucket`` must be monotone in ``order``; without it, ``order`` must be a number other than NaN and the buckets
+    follow its distribution.
     """
     direction = F.desc if descending else F.asc
     # both sides of the join below carry the same filter, so that Spark computes the input once
-    cut = df.withColumn("_bucket", bucket).where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_bucket"]))
+    cut = (even_buckets(df, keys, order) if bucket is None else df.withColumn("_bucket", bucket)).where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_bucket"]))
     group = Window.partitionBy(*keys)
     before = group.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -127,5 +148,5 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
 def dense_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per ``keys`` with their 0-based rank in column ``rank``."""
     distinct = df.select(*keys, value).distinct().withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_totals(distinct, keys, value, ["_one"], value_bucket(F.col(value)))
+    ranked = running_totals(distinct, keys, value, ["_one"])
     return ranked.select(*keys, value, (F.col("run__one") - 1).alias("rank"))

@@ -54,7 +54,7 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- SQL side -------------------------------------------------------------------------------
 
-ORDER_SQL = 'ts * 1048576 + "itemInSession"'
+ORDER_SQL = '(CAST(ts AS HUGEINT) * 9223372036854775808 + coalesce("itemInSession", 0)) * 2'
 
 CLEAN_SQL = """
 clean AS (
@@ -82,9 +82,9 @@ _SHARED_SQL = f"""
     CAST(count(DISTINCT "itemInSession") AS DOUBLE) / count(DISTINCT "sessionId") AS acts_per_session,
     CAST(count(*) FILTER (WHERE page = 'NextSong') AS DOUBLE) / count(DISTINCT "sessionId") AS songs_per_session,
     CAST(count(*) FILTER (WHERE page = 'Roll Advert') AS DOUBLE) / count(DISTINCT "sessionId") AS ads_per_session,
-    CAST(arg_min(CASE WHEN gender = 'F' THEN 1 ELSE 0 END, {ORDER_SQL}) AS BIGINT) AS gender,
-    CAST(arg_max(CASE WHEN level = 'paid' THEN 1 ELSE 0 END, {ORDER_SQL}) AS BIGINT) AS level,
-    CAST(arg_max(CASE WHEN page = 'Downgrade' THEN 1 ELSE 0 END, {ORDER_SQL}) AS BIGINT) AS downgrade,
+    CAST(min({ORDER_SQL} + CASE WHEN gender = 'F' THEN 1 ELSE 0 END) % 2 AS BIGINT) AS gender,
+    CAST(max({ORDER_SQL} + CASE WHEN level = 'paid' THEN 1 ELSE 0 END) % 2 AS BIGINT) AS level,
+    CAST(max({ORDER_SQL} + CASE WHEN page = 'Downgrade' THEN 1 ELSE 0 END) % 2 AS BIGINT) AS downgrade,
     CAST(max(CASE WHEN page = '{CHURN_PAGE}' THEN 1 ELSE 0 END) AS BIGINT) AS churn"""
 
 FEATURES_SQL = f"""

@@ -62,8 +62,12 @@ def _on_train(build):
     return lambda spark, sf_dir: tidy(build(_train(stored_features(spark, sf_dir))))
 
 
-def _pairs(train: DataFrame) -> DataFrame:
-    return K.kendall_pairs(train, MATRIX_COLUMNS, KEY)
+def _pairs(train: DataFrame, target: str | None = None) -> DataFrame:
+    return K.kendall_pairs(train, MATRIX_COLUMNS, KEY, target)
+
+
+def _with_churn(train: DataFrame) -> DataFrame:
+    return K.ranks_with(_pairs(train, "churn"))
 
 
 def _prepared_splits(shares):
@@ -113,9 +117,9 @@ QUERIES = {
     "median_difference_v1": _stored_v1(lambda f: R.ranked(R.median_difference(f, zero_minus_one=True))),
     "rank_correlation": _on_train(lambda f: K.kendall_matrix(f, MATRIX_COLUMNS, KEY)),
     "strong_pairs": _on_train(lambda f: K.strong_pairs(_pairs(f))),
-    "churn_correlation": _on_train(lambda f: K.ranks_with(_pairs(f))),
-    "weak_features_sample": _on_train(lambda f: K.weak_features(K.ranks_with(_pairs(f)), 0.04)),
-    "weak_features_full": _on_train(lambda f: K.weak_features(K.ranks_with(_pairs(f)), 0.01)),
+    "churn_correlation": _on_train(_with_churn),
+    "weak_features_sample": _on_train(lambda f: K.weak_features(_with_churn(f), 0.04)),
+    "weak_features_full": _on_train(lambda f: K.weak_features(_with_churn(f), 0.01)),
     # splits
     "split_random": _features(lambda f: S.random_split(f).select(KEY, "churn", "split")),
     "split_stratified": _stored(lambda f: S.stratified_split(f).select(KEY, "churn", "split")),

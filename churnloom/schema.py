@@ -46,7 +46,7 @@ PAGE_COUNTERS = {
 
 CHURN_PAGE = "Cancellation Confirmation"
 
-# The 20 numeric features, in table order; the flags gender, level, churn follow them.
+# The 20 numeric features, in table order; the flags gender, level, churn follow them.
 NUMERIC_FEATURES = [
     *PAGE_COUNTERS,
     "nr_sessions",
@@ -75,7 +75,12 @@ CONTINUOUS_V2 = [
     "active_days",
 ]
 BINARY_V1 = ["gender", "level", "downgrade"]
-CONTINUOUS_V1 = NUMERIC_FEATURES
+CONTINUOUS_V1 = [
+    "nr_songs", "nr_likes", "nr_dislikes", "nr_playlist", "nr_friends", "nr_downgrades",
+    "nr_upgrades", "nr_home", "nr_error", "nr_settings", "nr_ads", "nr_sessions",
+    "n_acts", "avg_sess_h", "acts_per_session", "songs_per_session", "ads_per_session",
+    "init_days_interv", "tenure_days_interv", "active_days",
+]
 
 KEY = "userId"
 SEED = 1234

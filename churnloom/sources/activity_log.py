@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnloom.plans.spread import lookup
 from churnloom.schema import LOG_COLUMNS
 from churnloom.session import pin_utc
 
@@ -38,7 +37,7 @@ def activity_log(spark: SparkSession, sf_dir: str, columns: Sequence[str] = LOG_
     if "itemInSession" in wanted:
         events = _number_items(events)
     if wanted & _FROM_CUSTOMER:
-        events = lookup(events, _customer_places(spark, sf_dir), ["user_id"], ["event_id"])
+        events = events.join(_customer_places(spark, sf_dir), "user_id", "left")
     derived = events.withColumn("page", F.expr(_PAGE)) if wanted & _FROM_PAGE else events
     return derived.selectExpr(*[f"{_COLUMNS[c]} AS {c}" for c in columns])
 
@@ -49,13 +48,14 @@ def _mark_last_event(events: DataFrame) -> DataFrame:
     The newest event comes from a partial aggregation and is matched back on its own id, so a
     hot user is never gathered in one place.
     """
-    # microseconds and event id in one fixed-width key: largest key = latest event
-    newest = f"CAST(us AS DECIMAL(38,0)) * {10**13}BD + event_id"
+    # microseconds and event id in one fixed-width number of 38 digits: the largest is the latest event
+    wide = 1 << 63
+    newest = f"CAST(us AS DECIMAL(19,0)) * {wide}BD + event_id"
     last = (
         events.where("NOT blank AND user_id % 4 = 1")
         .groupBy("user_id")
-        .agg(F.expr(f"max_by(event_id, {newest}) AS event_id"))
-        .selectExpr("*", "true AS cancels")
+        .agg(F.expr(f"max(CAST({newest} AS DECIMAL(38,0))) AS newest"))
+        .selectExpr("user_id", f"CAST(pmod(newest, {wide}BD) AS BIGINT) AS event_id", "true AS cancels")
     )
     return events.join(last, ["user_id", "event_id"], "left")
 
@@ -71,13 +71,14 @@ def _number_items(events: DataFrame) -> DataFrame:
         timed.groupBy("user_id", "day", "minute")
         .agg(F.expr("count(1) AS n"))
         .selectExpr(
-            "user_id",
-            "minute",
+            "user_id AS of_user",
+            "minute AS of_minute",
             """coalesce(sum(n) OVER (PARTITION BY user_id, day ORDER BY minute
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier""",
         )
     )
-    return timed.join(offsets, ["user_id", "minute"]).selectExpr(
+    # an event without a user keeps its row, as one more user
+    return timed.join(offsets, F.col("user_id").eqNullSafe(F.col("of_user")) & (F.col("minute") == F.col("of_minute"))).selectExpr(
         *events.columns,
         "earlier + row_number() OVER (PARTITION BY user_id, minute ORDER BY us, event_id) - 1 AS item",
     )

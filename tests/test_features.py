@@ -1,12 +1,11 @@
-"""User features on hand-made logs, and against the window form of the same definition."""
+"""User features on hand-made logs, and against their definitions in plain Python."""
 
 import pytest
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from churnloom.operators.clean import clean_profile, clean_v1, clean_v2, cleaning_report
 from churnloom.operators.features import features_v1, features_v2
-from churnloom.operators.sessions import preprocess_v2
+from churnloom.operators.sessions import preprocess_v1, preprocess_v2
 from churnloom.queries.common import V2_LOG
 from churnloom.schema import FLAGS_V2, NUMERIC_FEATURES, PAGE_COUNTERS
 from churnloom.sources.activity_log import activity_log
@@ -102,33 +101,96 @@ def test_v1_counts_dates_and_midnights(make_log):
     assert (r.init_days_interv, r.tenure_days_interv, r.active_days, r.downgrade) == (1, 3, 2, 1)
 
 
-def _window_form(pre, clean):
-    """Features by per-event windows and one aggregation, for comparison."""
-    by_time = W.partitionBy("userId").orderBy("log_ts", "itemInSession").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    paid = clean.withColumn("_paid", F.last((F.col("level") == "paid").cast("int")).over(by_time))
-    level = paid.groupBy("userId").agg(F.max("_paid").alias("level"))
-    features = pre.groupBy("userId").agg(
-        *[F.count(F.when(F.col("page") == p, True)).alias(c) for c, p in PAGE_COUNTERS.items()],
-        F.countDistinct("sessionId").alias("nr_sessions"),
-        F.countDistinct("itemInSession").alias("n_acts"),
-        F.avg("session_h").alias("avg_sess_h"),
-        (F.countDistinct("itemInSession") / F.countDistinct("sessionId")).alias("acts_per_session"),
-        (F.count(F.when(F.col("page") == "NextSong", True)) / F.countDistinct("sessionId")).alias("songs_per_session"),
-        (F.count(F.when(F.col("page") == "Roll Advert", True)) / F.countDistinct("sessionId")).alias("ads_per_session"),
-        *[F.max(c).alias(c) for c in NUMERIC_FEATURES[-3:]],
-        F.max(F.when(F.col("gender") == "F", 1).otherwise(0)).alias("gender"),
-        F.max(F.when(F.col("page") == "Cancellation Confirmation", 1).otherwise(0)).alias("churn"),
-    )
-    return features.join(level, "userId").select("userId", *NUMERIC_FEATURES, *FLAGS_V2)
-
-
-def test_window_form_gives_the_same_features(spark):
-    clean = clean_v2(activity_log(spark, f"{DATA}/sf0.01", V2_LOG))
-    a = {r.userId: r for r in features_v2(clean).collect()}
-    b = {r.userId: r for r in _window_form(preprocess_v2(clean), clean).collect()}
-    assert a.keys() == b.keys() and len(a) == 150
-    for user, row in a.items():
-        assert list(row[1:]) == pytest.approx(list(b[user][1:]), abs=1e-9)
+def _by_hand(log):
+    """Features from the definitions, user by user in plain Python. ``log``: raw rows, one per event."""
+    out = {}
+    for user in {e.userId for e in log}:
+        mine = [e for e in log if e.userId == user]
+        spans = {}
+        for e in mine:
+            low, high = spans.get(e.sessionId, (e.ts, e.ts))
+            spans[e.sessionId] = min(low, e.ts), max(high, e.ts)
+        hours = {s: (high - low) / H for s, (low, high) in spans.items()}
+        pages = {c: sum(e.page == p for e in mine) for c, p in PAGE_COUNTERS.items()}
+        items, sessions = len({e.itemInSession for e in mine}), len(spans)
+        first, last, joined = (int(t / 1000) for t in (min(e.ts for e in mine), max(e.ts for e in mine), mine[0].registration))
+        newest = max((e.ts, e.itemInSession) for e in mine)
+        oldest = min((e.ts, e.itemInSession) for e in mine)
+        at = lambda k: [e for e in mine if (e.ts, e.itemInSession) == k]  # noqa: B023, E731
+        out[user] = pages | {
+            "nr_sessions": sessions,
+            "n_acts": items,
+            "avg_sess_h": sum(hours[e.sessionId] for e in mine) / len(mine),
+            "acts_per_session": items / sessions,
+            "songs_per_session": pages["nr_songs"] / sessions,
+            "ads_per_session": pages["nr_ads"] / sessions,
+            "init_days_interv": (first - joined) / 86400,
+            "tenure_days_interv": (last - joined) / 86400,
+            "active_days": (last - first) / 86400,
+            "gender": int(all(e.gender == "F" for e in at(oldest))),
+            "level": int(any(e.level == "paid" for e in at(newest))),
+            "churn": int(any(e.page == "Cancellation Confirmation" for e in mine)),
+        }
+    return out
+
+
+def test_features_follow_their_definitions(spark):
+    log = activity_log(spark, f"{DATA}/sf0.01", V2_LOG)
+    got = {r.userId: r for r in features_v2(clean_v2(log)).collect()}
+    want = _by_hand([e for e in log.collect() if e.userId])
+    assert got.keys() == want.keys() and len(got) == 150
+    for user, row in got.items():
+        assert list(row[1:]) == pytest.approx([want[user][c] for c in (*NUMERIC_FEATURES, *FLAGS_V2)], abs=1e-9)
+
+
+def test_items_above_twenty_bits_are_told_apart(make_log):
+    rows = [{"itemInSession": 2**20 + 1, "level": "free"}, {"itemInSession": 2**20 + 5, "level": "paid"}]
+    for order in (rows, rows[::-1]):
+        assert one(features_v2(clean_v2(make_log(*order)))).level == 1
+        assert one(features_v1(clean_v1(make_log(*order)))).level == 1
+
+
+@pytest.mark.parametrize("session", [1, 2])
+def test_flags_of_events_that_agree_in_time_and_item(make_log, session):
+    rows = [{"level": "paid", "gender": "M", "page": "Downgrade"}, {"level": "free", "gender": "F", "sessionId": session}]
+    for order in (rows, rows[::-1]):
+        r = one(features_v1(clean_v1(make_log(*order))))
+        assert (r.level, r.downgrade, r.gender) == (1, 1, 0)
+
+
+def test_a_missing_session_keeps_its_marks(make_log):
+    t = 1_700_086_400_000
+    log = make_log({"sessionId": None, "ts": t}, {"sessionId": None, "ts": t + H, "itemInSession": 1}, {"sessionId": 4, "ts": t + 5 * H})
+    for r in preprocess_v2(clean_v2(log)).collect():
+        assert (r.firstevent_ts, r.lastevent_ts) == (t / 1000, (t + 5 * H) / 1000)
+        assert r.session_h == (1.0 if r.sessionId is None else 0.0)
+    v1 = preprocess_v1(clean_v1(log)).collect()
+    assert {r.session_h for r in v1} == {0.0, 1.0} and all(r.firstevent_ts and r.active_days == 2 for r in v1)
+
+
+def test_session_marks_are_joined_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = preprocess_v2(clean_v2(activity_log(spark, f"{DATA}/sf0.01", [c for c in V2_LOG if c != "itemInSession"])))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "_salt" not in plan and plan.count("Exchange hashpartitioning") <= 12
+
+
+def test_events_without_a_user_and_large_event_ids(spark, tmp_path):
+    import shutil
+
+    for name in ("customer", "nation", "region"):
+        shutil.copy(f"{DATA}/sf0.001/{name}.parquet", tmp_path)
+    big = 10**13
+    rows = [(big + 31, None, "view", 1.0, "2024-01-03 10:00:00"), (big + 2, 5, "view", 1.0, "2024-01-03 10:00:01"), (3, 5, "view", 1.0, "2024-01-03 10:00:02")]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, ts string").withColumn("ts", F.to_timestamp("ts"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    log = activity_log(spark, str(tmp_path), ["userId", "page", "itemInSession", "ts"]).collect()
+    assert len(log) == 3
+    # user 5 cancels with the last event in time, whatever the ids
+    assert [r.page for r in sorted(log, key=lambda r: r.ts)][1:] == ["NextSong", "Cancellation Confirmation"]
 
 
 def test_feature_plan_stays_hash_aggregation(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, stack_and_score
-from churnloom.ml.stages import TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
+from churnloom.ml.stages import TUNE_V1_FULL, TUNE_V1_SAMPLE, TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
 from churnloom.ml.tune import grid_search, scored, spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, parts, stratified_split
 
@@ -76,10 +76,23 @@ def test_feature_vector_widths(stored):
     assert (len(v2), len(v1)) == (18, 23)
 
 
-def test_inert_axis_is_not_refitted():
-    grid = TUNE_V2_FULL["mlpc"]
-    assert len(param_maps(classifier("mlpc"), grid)) == 6
-    assert len(param_maps(classifier("gbt"), TUNE_V2_FULL["gbt"])) == 4
+def test_every_grid_point_is_listed():
+    sizes = {n: len(param_maps(classifier(n), TUNE_V2_FULL[n])) for n in TUNE_V2_FULL}
+    assert sizes == {"gbt": 4, "mlpc": 18}
+    assert len(param_maps(classifier("mlpc"), TUNE_V1_SAMPLE["mlpc"])) == 12
+    assert len(param_maps(classifier("mlpc"), TUNE_V1_FULL["mlpc"])) == 4
+
+
+def test_step_sizes_a_solver_ignores_score_alike(train_test):
+    found = grid_search(preparation(), classifier("mlpc"), {"stepSize": [0.01, 0.5], "maxIter": [3]}, train_test["train"], folds=2)
+    assert len(found.scores) == 2 and found.scores[0] == found.scores[1]
+
+
+def test_kept_tables_go_when_a_fit_fails(spark, train_test):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with pytest.raises(Exception):
+        grid_search(preparation(), classifier("lr").setFeaturesCol("nowhere"), {"regParam": [0.1]}, train_test["train"], folds=2)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_folds_are_even_per_class(stored):

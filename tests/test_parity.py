@@ -40,6 +40,6 @@ def test_same_rows(spark, duck, name):
     got = QUERIES[name](spark, f"{DATA}/sf0.001")
     want = duck.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
-    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
     assert {c: kinds[t] for c, t in got.dtypes} == dict(zip(want.columns, map(str, want.types)))
     assert _rows(got.columns, got.collect()) == _rows(want.columns, want.fetchall())

@@ -7,8 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from churnloom.plans.kendall import kendall_matrix, kendall_pairs, ranks_with, strong_pairs, weak_features
-from churnloom.plans.ordered import dense_ranks, exact_quantiles, running_totals, value_bucket
-from churnloom.plans.spread import lookup
+from churnloom.plans.ordered import dense_ranks, even_buckets, exact_quantiles, running_totals, value_bucket
 
 PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -49,8 +48,8 @@ def test_running_totals_both_ways(spark):
     values = sorted({float(x) for x in rng.random(500)})
     weights = rng.integers(0, 9, len(values))
     df = spark.createDataFrame([("a", v, int(w)) for v, w in zip(values, weights)], "g string, v double, w long")
-    up = {r.v: (r.run_w, r.all_w) for r in running_totals(df, ["g"], "v", ["w"], value_bucket(F.col("v"))).collect()}
-    down = {r.v: r.run_w for r in running_totals(df, ["g"], "v", ["w"], value_bucket(F.col("v")), True).collect()}
+    up = {r.v: (r.run_w, r.all_w) for r in running_totals(df, ["g"], "v", ["w"]).collect()}
+    down = {r.v: r.run_w for r in running_totals(df, ["g"], "v", ["w"], descending=True).collect()}
     total, seen = int(weights.sum()), np.cumsum(weights)
     for v, w, s in zip(values, weights, seen):
         assert up[v] == (s, total)
@@ -106,23 +105,21 @@ def test_kendall_matrix_and_filters(study):
     assert [r.feature for r in weak_features(ranks, 0.2).collect()] == ["wide"]
 
 
-def test_spread_lookup_equals_plain_join(spark):
-    hot = [(1, k) for k in range(600)] + [(k, 0) for k in range(2, 300)]
-    rows = spark.createDataFrame(hot, "key long, n long")
-    table = spark.createDataFrame([(k, k * 10) for k in range(0, 200)], "key long, v long")
-    plain = sorted(map(tuple, rows.join(table, "key", "left").collect()), key=str)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        spread = lookup(rows, table, ["key"], ["n"])
-        assert "_salt" in spread._jdf.queryExecution().optimizedPlan().toString()
-        assert sorted(map(tuple, spread.collect()), key=str) == plain
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_pairs_of_one_column_are_the_same_and_the_only_ones(study):
+    df, _ = study
+    every = {(r.feature_a, r.feature_b): r.tau for r in kendall_pairs(df, ["x", "wide", "frac", "flag"], "id").collect()}
+    some = {(r.feature_a, r.feature_b): r.tau for r in kendall_pairs(df, ["x", "wide", "frac", "flag"], "id", "flag").collect()}
+    assert some == {k: v for k, v in every.items() if "flag" in k} and len(some) == 3
+
+
+def test_close_scores_are_spread_over_the_buckets(spark):
+    df = spark.range(200_000).select(F.lit("a").alias("g"), (0.9975 + 0.0025 / (1 + F.exp(-10 * F.rand(3)))).alias("v")).distinct()
+    sizes = [r["count"] for r in even_buckets(df, ["g"], "v").groupBy("_bucket").count().collect()]
+    assert len(sizes) == 256 and max(sizes) <= 2 * sum(sizes) / len(sizes)
 
 
 def test_large_data_paths_give_the_same_features(spark):
-    """With broadcasting off everything goes through the shuffled, salted joins."""
+    """With broadcasting off everything goes through shuffled joins."""
     from churnloom.queries.common import v2_features
     from churnloom.queries.log_queries import QUERIES
     from conftest import DATA
