@@ -38,6 +38,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
 #: steps of a walk; a walk leaves the rectangle's rim, which is under 1/sqrt(n) of it, long before
 WALK = 40
+ROUNDS = 3
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -87,14 +88,18 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
     a = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
     b = F.ceil(n / a).cast("bigint")
 
+    # half rounds, one side at a time: each step of the expression is small
+    def half(s: Column, k: Column) -> Column:
+        left, right = s["left"], s["right"]
+        h = F.xxhash64(F.lit(SEED), k, key, F.when(k % 2 == 0, right).otherwise(left))
+        return F.struct(F.when(k % 2 == 0, F.pmod(left + F.pmod(h, a), a)).otherwise(left).alias("left"), F.when(k % 2 == 1, F.pmod(right + F.pmod(h, b), b)).otherwise(right).alias("right"))
+
     def step(v: Column) -> Column:
-        left, right = F.floor(v / b), v % b
-        for r in range(3):
-            left = (left + F.pmod(F.xxhash64(F.lit(SEED + 2 * r), key, right), a)) % a
-            right = (right + F.pmod(F.xxhash64(F.lit(SEED + 2 * r + 1), key, left), b)) % b
-        return left * b + right
+        start = F.struct(F.floor(v / b).alias("left"), (v % b).alias("right"))
+        return F.aggregate(F.array(*[F.lit(k) for k in range(2 * ROUNDS)]), start, half, lambda s: s["left"] * b + s["right"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.lit(-1).cast("bigint"), lambda v, i: F.when((i > 1) & (v < n), v).otherwise(step(F.when(i == 1, x).otherwise(v))))
+    steps = F.array(*[F.lit(k) for k in range(WALK)])
+    return F.aggregate(steps, step(x), lambda v, _: F.when(v < n, v).otherwise(step(v)))
 
 
 def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
@@ -102,6 +107,10 @@ def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS)
 
     Made from the block numbers of each source: one row for each block and pass.
     """
+
+    def order_of(of_pass: str) -> Column:
+        return F.xxhash64("source", of_pass)
+
     goals = goals.where("source_size > 0").select(
         "source",
         F.col("source_size").alias("total"),
@@ -109,16 +118,18 @@ def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS)
         F.ceil(F.col("source_size") / block).alias("blocks"),
         F.ceil(F.sum("target").over(Window.partitionBy()) / (block * shard_slots)).alias("shards"),
     )
+    passes = F.floor((F.col("want") + F.col("total") - 1) / F.col("total"))
+    goals = goals.where("want > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), passes - 1)))
+    # where the last block, which is shorter, stands in the order of each pass
+    goals = goals.withColumn("end", permuted(F.col("blocks") - 1, F.col("blocks"), order_of("pass")))
     # ranges of at most 4096 numbers first, so that no row unfolds into a whole source
     runs = goals.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("blocks") - 1) / 4096))))
-    spread = runs.repartition("source", "run")
     last = F.least((F.col("run") + 1) * 4096, F.col("blocks")) - 1
-    every = spread.withColumn("block", F.explode(F.sequence(F.col("run") * 4096, last)))
-    passes = F.floor((F.col("want") + F.col("total") - 1) / F.col("total"))
-    every = every.where("want > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), passes - 1)))
-    key = F.xxhash64("source", "pass")
-    # where block and last block stand in the order of this pass: permuted() inverted is as random
-    every = every.withColumn("at", permuted(F.col("block"), F.col("blocks"), key)).withColumn("end", permuted(F.col("blocks") - 1, F.col("blocks"), key))
+    # few rows that become many: a fixed number of tasks, which their size would not ask for
+    tasks = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = runs.repartition(tasks, "source", "pass", "run").withColumn("block", F.explode(F.sequence(F.col("run") * 4096, last)))
+    # the inverse of a pseudorandom permutation is one, so the place of a block is drawn, not the block of a place
+    every = every.withColumn("at", permuted(F.col("block"), F.col("blocks"), order_of("pass")))
     length = F.least(F.lit(block), F.col("total") - F.col("block") * block)
     missing = F.col("blocks") * block - F.col("total")
     taken = F.col("pass") * F.col("total") + F.col("at") * block - F.when(F.col("at") > F.col("end"), missing).otherwise(0)
@@ -133,14 +144,14 @@ def placed(sizes: DataFrame, block: int = BLOCK, **options) -> tuple[DataFrame,
 
     Parts: (source, slot, shard, key, tie, start, low, high), words low .. high - 1 of a document.
     """
-    sizes = stored(sizes, "sizes")
     goals = stored(targets(sizes, **options), "targets")
     docs = offsets(sizes)
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     pieces = docs.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     pieces = pieces.withColumn("of", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()).drop("source")
     cut = slots(goals, block).withColumn("of", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
-    met = cut.join(pieces, ["of", "none", "block"])
+    # the planner takes the slots for as small as the sources they come from: shuffle them
+    met = cut.hint("merge").join(pieces, ["of", "none", "block"])
     low = F.greatest(F.col("block") * block, "start") - F.col("start")
     high = F.least(F.col("block") * block + F.col("words"), F.col("start") + F.col("size")) - F.col("start")
     parts = met.select("source", "slot", "shard", "key", "tie", "start", low.alias("low"), high.alias("high")).where("high > low")
@@ -167,7 +178,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
     A part is a run of whole words with the white space after each; the parts of a document that
     a slot takes in full put together again give its text. ``n_chars`` is counted anew where the column exists.
     """
-    parts, _ = placed(sized(docs, doc_id, text, source), **options)
+    parts, _ = placed(stored(sized(docs, doc_id, text, source), "sizes"), **options)
     key, tie, held, words = (fresh(x) for x in ("key", "tie", "parts", "words"))
     gathered = parts.groupBy(F.col("key").alias(key), F.col("tie").alias(tie)).agg(F.collect_list(F.struct("low", "high")).alias(held))
     own = dict(zip((key, tie), _keys(*[F.col(f"`{c}`") for c in (doc_id, text, source)]), strict=True))
