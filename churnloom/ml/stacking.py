@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from churnloom.functions.scalars import class_one_score
 from churnloom.ml.stages import META_GRID, classifier, label_stage, preparation, vector_stages
-from churnloom.ml.tune import Search, fit_prepared, grid_search
+from churnloom.ml.tune import PARALLELISM, Search, fit_prepared, grid_search
 from churnloom.schema import KEY
 
 BASE = ["lr", "rf", "gbt", "mlpc", "lsvc"]
@@ -19,7 +19,7 @@ META_PREDICTIONS = [f"pred_{n}" for n in BASE]
 META_PROBABILITIES = ["prob_lr", "prob_rf", "prob_mlpc"]
 
 
-def fit_base(train: DataFrame, names: Sequence[str] = BASE, inputs: str = "v2", parallelism: int | None = None) -> PipelineModel:
+def fit_base(train: DataFrame, names: Sequence[str] = BASE, inputs: str = "v2", parallelism: int = PARALLELISM) -> PipelineModel:
     """All base learners, each with its own output columns, fitted on the same prepared rows."""
     return fit_prepared(preparation(inputs), {n: classifier(n, inputs, private=True) for n in names}, train, parallelism)
 

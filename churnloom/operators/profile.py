@@ -1,14 +1,14 @@
 """Profiling of the raw log: counts, shares, distributions and coverage.
 
-Each function is one declarative aggregation; totals for shares come as scalar subqueries, so
-nothing is counted on the driver.
+Each function is one declarative aggregation; totals for shares come from the counted groups, so
+the rows are read once and nothing is counted on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnloom.functions.scalars import calendar_parts, city, datetime_text, missing, state
@@ -19,6 +19,14 @@ def size(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)).cast("long"))
 
 
+def column_types(df: DataFrame) -> DataFrame:
+    """Position, name and type of every column, and how many rows have a value in it."""
+    present = _long(df.agg(*[F.count(c).alias(c) for c in df.columns]), "n_present")
+    types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
+    place = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column")) - 1
+    return present.select(place.alias("position"), "column", types[F.col("column")].alias("type"), "n_present")
+
+
 def peek(df: DataFrame, n: int = 2) -> DataFrame:
     """Any ``n`` rows, for a look at the data."""
     return df.limit(n)
@@ -53,8 +61,9 @@ def share_by(df: DataFrame, column: str) -> DataFrame:
 
     The fraction is rounded to two places before it becomes a percentage.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
-    return value_frequency(df, column).withColumn("percentage", F.round(F.col("n") / total, 2) * 100)
+    counted = count_by(df, column).withColumn("_all", F.sum("n").over(Window.partitionBy()))
+    shares = counted.where(F.col(column).isNotNull()).withColumn("percentage", F.round(F.col("n") / F.col("_all"), 2) * 100)
+    return shares.drop("_all")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -71,7 +80,13 @@ def distinct_counts(df: DataFrame, approximate: bool = False, rsd: float = 0.05)
     """
     if approximate:
         return _long(df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in df.columns]), "n_distinct")
-    return _long(df.agg(*[F.countDistinct(c).alias(c) for c in df.columns]), "n_distinct")
+    names = F.array(*[F.lit(c) for c in df.columns])
+    values = F.array(*[F.col(c).cast("string") for c in df.columns])
+    tall = df.select(F.explode(F.arrays_zip(names.alias("column"), values.alias("value"))).alias("r")).select("r.*")
+    # narrow rows, equal ones merged before they are shuffled
+    counted = tall.distinct().groupBy("column").agg(F.count("value").alias("n_distinct"))
+    every = df.sparkSession.range(1).select(F.explode(names).alias("column"))
+    return every.join(counted, "column", "left").na.fill(0, ["n_distinct"])
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

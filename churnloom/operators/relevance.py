@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnloom.plans.ordered import exact_quantiles, tall
@@ -44,9 +44,8 @@ def churn_rate(features: DataFrame) -> DataFrame:
 
 def class_shares(features: DataFrame, *by: str) -> DataFrame:
     """Users per (churn[, by]) and their percentage of all users."""
-    total = features.select(F.count(F.lit(1))).scalar()
     counts = features.groupBy("churn", *by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("percentage", F.col("n") / total * 100)
+    return counts.withColumn("percentage", F.col("n") / F.sum("n").over(Window.partitionBy()) * 100)
 
 
 def crosstab(features: DataFrame, rows: str, columns: str, values: Sequence = (0, 1)) -> DataFrame:

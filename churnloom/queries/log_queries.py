@@ -23,20 +23,24 @@ def _calendar(log):
     return P.with_calendar(log)
 
 
+# Columns of the log summary, and to which decimal place means and deviations of times agree between engines.
+DESCRIBED = {"registration": -3, "ts": -3, "length": 6, "itemInSession": 6}
+
+
+def _to_digits(summary):
+    coarse = F.col("column").isin([c for c, digits in DESCRIBED.items() if digits < 0])
+    return summary.withColumns({c: F.when(coarse, F.round(c, -3)).otherwise(F.col(c)) for c in ("mean", "stddev")})
+
+
 QUERIES = {
     # size, schema, missing and distinct values
     "log_size": _on(LOG_COLUMNS, P.size),
     "log_peek": _on(LOG_COLUMNS, P.peek),
+    "log_types": _on(LOG_COLUMNS, P.column_types),
     "log_missing": _on(LOG_COLUMNS, P.missing_counts),
     "log_distinct": _on(LOG_COLUMNS, P.distinct_counts),
     "log_distinct_approx": _on(LOG_COLUMNS, lambda log: P.distinct_counts(log, approximate=True)),
-    "log_describe": _on(
-        ["registration", "ts", "length", "itemInSession"],
-        lambda log: P.describe(
-            log.withColumns({"registration": F.col("registration") / 86400000.0, "ts": F.col("ts") / 86400000.0}),
-            ["registration", "ts", "length", "itemInSession"],
-        ),
-    ),
+    "log_describe": _on(list(DESCRIBED), lambda log: _to_digits(P.describe(log, list(DESCRIBED)))),
     "cleaning_report": _on(["userId"], cleaning_report),
     "user_count": _on(["userId"], lambda log: log.agg(F.countDistinct("userId").alias("n_users"))),
     # counts per value
@@ -181,17 +185,29 @@ _PROFILE = (
 
 
 def _describe_sql():
-    scale = {"registration": "CAST(registration AS DOUBLE) / 86400000", "ts": "CAST(ts AS DOUBLE) / 86400000"}
     parts = []
-    for c in ("registration", "ts", "length", "itemInSession"):
-        x = scale.get(c, f'CAST("{c}" AS DOUBLE)')
+    for c, digits in DESCRIBED.items():
+        x = f'CAST("{c}" AS DOUBLE)'
         parts.append(
-            f"SELECT '{c}' AS \"column\", count({x}) AS n, round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS stddev, "
+            f"SELECT '{c}' AS \"column\", count({x}) AS n, round(avg({x}), {digits}) AS mean, round(stddev_samp({x}), {digits}) AS stddev, "
             f"round(min({x}), 6) AS \"min\", round(max({x}), 6) AS \"max\" FROM log"
         )
     return " UNION ALL ".join(parts)
 
 
+# The column types of the log, spelled out.
+_TYPES = """userId string, firstName string, lastName string, gender string, location string, userAgent string, level string,
+registration bigint, artist string, song string, length double, auth string, itemInSession bigint, method string, page string,
+sessionId bigint, status bigint, ts bigint"""
+
+
+def _types_sql():
+    parts = [x.split() for x in _TYPES.split(",")]
+    return " UNION ALL ".join(
+        f"SELECT CAST({k} AS BIGINT) AS position, '{c}' AS \"column\", '{t}' AS type, count(\"{c}\") AS n_present FROM log" for k, (c, t) in enumerate(parts)
+    )
+
+
 def _share_sql(c):
     return (
         f"SELECT {c}, count(*) AS n, round(round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM log), 2) * 100, 6) AS percentage "
@@ -206,6 +222,7 @@ ORACLES = {
     "log_missing": _long_sql(LOG_COLUMNS, _MISSING, "n_missing"),
     "log_distinct": _long_sql(LOG_COLUMNS, _DISTINCT, "n_distinct"),
     "log_describe": _describe_sql(),
+    "log_types": _types_sql(),
     "cleaning_report": """SELECT count(*) AS rows_before, count(*) FILTER (WHERE "userId" <> '') AS rows_after,
         count(*) - count(*) FILTER (WHERE "userId" <> '') AS rows_removed FROM log""",
     "user_count": 'SELECT count(DISTINCT "userId") AS n_users FROM log',

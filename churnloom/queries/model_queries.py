@@ -10,8 +10,8 @@ from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, meta_features, stack_and_score
 from churnloom.ml.stages import SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, preparation
 from churnloom.ml.tune import spot_check, tune, with_folds
-from churnloom.operators.split import THREE_WAY_SAMPLE, parts, stratified_split
-from churnloom.queries.common import sql_features, sql_features_v1, stored_features, tidy, v1_features
+from churnloom.operators.split import THREE_WAY_SAMPLE, TRAIN_TEST, parts, stratified_split
+from churnloom.queries.common import split_cte, sql_features, sql_features_v1, stored_features, tidy, v1_features
 from churnloom.schema import BINARY_V1, BINARY_V2, CONTINUOUS_V1, CONTINUOUS_V2, KEY
 from churnloom.session import cut_lineage
 
@@ -90,28 +90,75 @@ def _spot_check(name):
     return query
 
 
-def _tuned_v1(spark, sf_dir, name="lr"):
+def _all_models(spark, sf_dir):
+    """Scores of all six classifiers on both splits, stored."""
+    made = _train_test(spark, sf_dir)
+    _, predictions = spot_check(made["train"], made["test"])
+    return cut_lineage(predictions, "predictions")
+
+
+def _models_compared(spark, sf_dir):
+    """Metrics by model on the held-out rows, as trained."""
+    held_out = _all_models(spark, sf_dir).where(F.col("split") == "test")
+    return tidy(M.metrics_by_model(M.metric_report(held_out), SHORT_NAMES))
+
+
+def _checked(predictions, *keys):
+    """Per key and label: rows, and rows that no classifier may give.
+
+    Predictions other than 0 and 1, scores that are missing or (probabilities) outside [0, 1], and
+    predictions that contradict their score.
+    """
+    p, score = F.col("prediction"), F.col("score")
+    margin = F.col("model") == "lsvc" if "model" in predictions.columns else F.lit(False)
+    cut = F.when(margin, 0.0).otherwise(0.5)
+    return predictions.groupBy(*keys, "label").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(p.isNull() | ~p.isin(0.0, 1.0)).alias("bad_predictions"),
+        F.count_if(score.isNull() | F.isnan(score) | (~margin & ~score.between(0, 1))).alias("bad_scores"),
+        F.count_if((score != cut) & ((score > cut) != (p == 1))).alias("contradictions"),
+    )
+
+
+def _models_checked(spark, sf_dir):
+    return tidy(_checked(_all_models(spark, sf_dir), "model", "split"))
+
+
+def _tuned_v1(spark, sf_dir, name):
     made = _train_test(spark, sf_dir, lambda s, d: cut_lineage(v1_features(s, d), "features"))
     return tune(name, TUNE_V1_SAMPLE[name], made["train"], made["test"], "v1")
 
 
-def _tuned_report(spark, sf_dir):
-    _, predictions = _tuned_v1(spark, sf_dir)
-    return tidy(M.metric_report(predictions.withColumn("model", F.lit("lr"))))
+def _tuned_v2(spark, sf_dir, name):
+    made = _train_test(spark, sf_dir)
+    return tune(name, TUNE_V2_SAMPLE[name], made["train"], made["test"])
 
 
-def _tuned_v2(name):
+def _tuned_report(run, name):
     def query(spark, sf_dir):
-        made = _train_test(spark, sf_dir)
-        _, predictions = tune(name, TUNE_V2_SAMPLE[name], made["train"], made["test"])
+        _, predictions = run(spark, sf_dir, name)
         return tidy(M.metric_report(predictions.withColumn("model", F.lit(name))))
 
     return query
 
 
-def _grid_points(spark, sf_dir):
-    found, predictions = _tuned_v1(spark, sf_dir)
-    return tidy(found.table(predictions))
+def _tuned_grid(run, name):
+    def query(spark, sf_dir):
+        found, predictions = run(spark, sf_dir, name)
+        return tidy(found.table(predictions))
+
+    return query
+
+
+def _grid_checked(run, name):
+    """Every grid point and parameter, whether its score is an area, and whether it is the best one's."""
+
+    def query(spark, sf_dir):
+        found, predictions = run(spark, sf_dir, name)
+        table = found.table(predictions)
+        return tidy(table.groupBy("parameter", "value").agg(F.count(F.lit(1)).alias("points"), F.count_if(~F.col("score").between(0, 1)).alias("bad_scores")))
+
+    return query
 
 
 def _three_ways(spark, sf_dir):
@@ -131,10 +178,32 @@ def _meta_features(spark, sf_dir):
     return tidy(table.select(KEY, "label", *[c for c in table.columns if c.startswith("pred_")], *[vector_to_array(c)[1].alias(c) for c in vectors]))
 
 
+def _stacked_run(spark, sf_dir, name="meta"):
+    made = _three_ways(spark, sf_dir)
+    _, found, predictions = stack_and_score(made["train"], made["validation"], made["test"])
+    return found, predictions.withColumnsRenamed({"meta_label": "label", "meta_prediction": "prediction"})
+
+
 def _stacked(spark, sf_dir):
+    _, predictions = _stacked_run(spark, sf_dir)
+    return tidy(predictions.withColumnsRenamed({"label": "meta_label", "prediction": "meta_prediction"}))
+
+
+def _stacked_curves(spark, sf_dir):
+    _, predictions = _stacked_run(spark, sf_dir)
+    return tidy(M.curve_points(predictions))
+
+
+def _stacked_checked(spark, sf_dir):
+    _, predictions = _stacked_run(spark, sf_dir)
+    return tidy(_checked(predictions))
+
+
+def _base_checked(spark, sf_dir):
     made = _three_ways(spark, sf_dir)
-    _, _, predictions = stack_and_score(made["train"], made["validation"], made["test"])
-    return tidy(predictions)
+    rows = base_scores(fit_base(made["train"]), made["validation"])
+    bad = F.count_if(F.col("prediction").isNull() | ~F.col("prediction").isin(0.0, 1.0))
+    return tidy(rows.groupBy("model", "label").agg(F.count(F.lit(1)).alias("n"), bad.alias("bad_predictions")))
 
 
 QUERIES = {
@@ -158,10 +227,21 @@ QUERIES = {
     "metrics_by_model": _metric(lambda p: M.metrics_by_model(M.metric_report(p), ["dislikes", "errors"])),
     # trained models
     **{f"spot_check_{name}": _spot_check(name) for name in SHORT_NAMES},
-    "tuned_lr_report": _tuned_report,
-    "tuned_lr_grid": _grid_points,
-    "tuned_mlpc_report": _tuned_v2("mlpc"),
-    "tuned_gbt_report": _tuned_v2("gbt"),
+    "models_compared": _models_compared,
+    "models_checked": _models_checked,
+    **{f"tuned_v1_{name}_report": _tuned_report(_tuned_v1, name) for name in TUNE_V1_SAMPLE if name != "lr"},
+    "tuned_lr_report": _tuned_report(_tuned_v1, "lr"),
+    "tuned_lr_grid": _tuned_grid(_tuned_v1, "lr"),
+    "tuned_lr_checked": _grid_checked(_tuned_v1, "lr"),
+    **{f"tuned_{name}_report": _tuned_report(_tuned_v2, name) for name in ("mlpc", "gbt")},
+    **{f"tuned_{name}_grid": _tuned_grid(_tuned_v2, name) for name in ("mlpc", "gbt")},
+    "tuned_mlpc_checked": _grid_checked(_tuned_v2, "mlpc"),
+    "stacked_report": _tuned_report(_stacked_run, "meta"),
+    "stacked_grid": _tuned_grid(_stacked_run, "meta"),
+    "stacked_grid_checked": _grid_checked(_stacked_run, "meta"),
+    "stacked_curves": _stacked_curves,
+    "stacked_checked": _stacked_checked,
+    "base_checked": _base_checked,
     "base_predictions": _base_predictions,
     "meta_features": _meta_features,
     "stacked_scores": _stacked,
@@ -236,6 +316,15 @@ def _metric_sql(select):
     return sql_features(select, _SCORED)
 
 
+def _points_sql(*lines):
+    """Rows of (parameter, value, points); every axis meets all values of the others."""
+    rows = ", ".join(f"('{p}', CAST({v} AS DOUBLE), CAST({n} AS BIGINT))" for p, n, values in lines for v in values)
+    return f"SELECT parameter, value, points, CAST(0 AS BIGINT) AS bad_scores FROM (VALUES {rows}) g(parameter, value, points)"
+
+
+_ZEROS = "CAST(0 AS BIGINT) AS bad_predictions, CAST(0 AS BIGINT) AS bad_scores, CAST(0 AS BIGINT) AS contradictions"
+_LABELS = "CAST(churn AS DOUBLE) AS label, count(*) AS n"
+
 _POINT = f"round(score, {DIGITS}) AS threshold"
 
 ORACLES = {
@@ -278,4 +367,18 @@ ORACLES = {
         """SELECT metric, max(value) FILTER (WHERE model = 'dislikes') AS dislikes, max(value) FILTER (WHERE model = 'errors') AS errors
         FROM report GROUP BY metric"""
     ),
+    "models_checked": sql_features(
+        f"""SELECT model, split, {_LABELS}, {_ZEROS} FROM split, (SELECT unnest(['lr', 'dt', 'rf', 'gbt', 'mlpc', 'lsvc']) AS model)
+        GROUP BY model, split, churn""",
+        split_cte(TRAIN_TEST),
+    ),
+    "base_checked": sql_features(
+        f"""SELECT model, {_LABELS}, CAST(0 AS BIGINT) AS bad_predictions
+        FROM split, (SELECT unnest(['lr', 'rf', 'gbt', 'mlpc', 'lsvc']) AS model) WHERE split = 'validation' GROUP BY model, churn""",
+        split_cte(THREE_WAY_SAMPLE),
+    ),
+    "stacked_checked": sql_features(f"SELECT {_LABELS}, {_ZEROS} FROM split WHERE split = 'test' GROUP BY churn", split_cte(THREE_WAY_SAMPLE)),
+    "tuned_lr_checked": _points_sql(("regParam", 2, (0.1, 0.5, 2.0)), ("elasticNetParam", 3, (0.1, 1.0))),
+    "tuned_mlpc_checked": _points_sql(("maxIter", 2, (50, 100)), ("blockSize", 2, (16, 32)), ("stepSize", 4, (0.5,))),
+    "stacked_grid_checked": _points_sql(("regParam", 9, (0.0, 0.01, 0.1)), ("elasticNetParam", 9, (0.0, 0.01, 0.1)), ("maxIter", 9, (50, 100, 200))),
 }
