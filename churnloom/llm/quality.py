@@ -19,8 +19,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +29,7 @@ from churnloom.llm.store import fresh, only
 from churnloom.llm.text import NOT_LETTERS, WordHasher, by_size, mix64
 
 BUCKETS = 1 << 20
-SAMPLE = 20_000
+SAMPLE = 8_000
 EPOCHS = 4
 KEEP_FROM = 0.7
 
@@ -94,16 +94,22 @@ def _sparse(column: str):
     return run
 
 
-def _train(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    model, parts = Ftrl(), list(rows)
-    if parts:
-        held = pd.concat(parts, ignore_index=True)
-        held = held.assign(h=mix64(held["doc_id"].to_numpy().astype(np.int64).view(np.uint64))).sort_values("h")
-        y = held["y"].to_numpy(float)
-        for _ in range(EPOCHS):
-            for at, x, label in zip(held["at"], held["x"], y, strict=True):
-                model.update(np.asarray(at), np.asarray(x, float), label)
-    yield pd.DataFrame({"weights": [model.weights().tobytes()]})
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The updates, in one task, over the bounded sample."""
+    held = []
+    for batch in batches:
+        names, y = batch.column("doc_id").to_numpy(), batch.column("y").to_numpy()
+        order = mix64(names.astype(np.int64).view(np.uint64))
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("at")).to_numpy())])
+        at, x = (batch.column(c).flatten().to_numpy().copy() for c in ("at", "x"))
+        held += [(int(order[k]), int(names[k]), at[a:b], x[a:b], float(y[k])) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
+    # repeated ids: texts in the order of their features
+    held.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+    model = Ftrl()
+    for _ in range(EPOCHS if held else 0):
+        for _, _, at, x, y in held:
+            model.update(at, x.astype(float), y)
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights().tobytes()], pa.binary())], ["weights"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> np.ndarray:
@@ -116,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> np.ndarr
     few = F.broadcast(spark.createDataFrame(picked, "doc_id bigint, y double"))
     texts = docs.join(few, "doc_id").select("doc_id", "y", "text")
     sparse = texts.mapInArrow(_sparse("text"), "doc_id bigint, y double, at array<int>, x array<float>")
-    return np.frombuffer(sparse.repartition(1).mapInPandas(_train, "weights binary").first()["weights"], np.float32)
+    return np.frombuffer(sparse.repartition(1).mapInArrow(_train, "weights binary").first()["weights"], np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray, *, text: str = "text", into: str = "score") -> DataFrame:
