@@ -32,6 +32,8 @@ WINDOW = 10
 SHARD = 1 << 20
 #: text bytes of the benchmark held at once
 BLOCK_BYTES = 16 << 20
+#: text bytes of one round of shards
+SLICE = 3 << 20
 _KEY_BITS = np.uint64(20)
 _LOW = np.uint64(SHARD - 1)
 
@@ -237,7 +239,7 @@ def _pass(block, text: str, found: str):
             if name is not None:
                 by_window.setdefault(int(data.window[k]), []).append(name)
         for batch in batches:
-            for part in by_size(batch, text):
+            for part in by_size(batch, text, SLICE):
                 words, counts = hasher(part.column(text))
                 hits, seen, records = _mark(words, counts, data)
                 rows = part.column(found).to_pylist()

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnloom.llm.store import only, stored
-from churnloom.llm.text import by_size
+from churnloom.llm.text import by_size, give_back
 from churnloom.llm.tokens import SLICE, VOCABULARY, tokenizer
 from churnloom.session import scratch_path
 
@@ -130,7 +130,8 @@ def sequences(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", le
     counts = packed.groupBy("part").agg(F.count("*").alias("held"))
     ahead = F.sum("held").over(Window.orderBy("part")) - F.col("held")
     counts = counts.select("part", ahead.alias("ahead"), F.sum("held").over(Window.partitionBy()).alias("n"))
-    numbered = packed.join(counts, "part").withColumn("seq", F.col("ahead") + F.col("idx"))
+    # a few numbers for each scan task: small enough for every executor however large the corpus is
+    numbered = packed.join(F.broadcast(counts), "part").withColumn("seq", F.col("ahead") + F.col("idx"))
     slot = feistel(F.col("seq"), F.col("n"), key)
     return numbered.withColumn("slot", slot).withColumn("shard", F.floor(F.col("slot") / shard)).select("slot", "shard", "seq", "n_tokens", "doc_ids", "doc_at", "ids")
 
@@ -140,8 +141,12 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     expand = zstandard.ZstdDecompressor()
     for batch in batches:
-        raw = [expand.decompress(x) for x in batch.column("ids").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("slot"), pa.array(raw, pa.binary())], ["shard", "slot", "ids"])
+        # a few records at a time: they are many times the size of their compressed form
+        for low in range(0, batch.num_rows, 256):
+            part = batch.slice(low, 256)
+            raw = [expand.decompress(x) for x in part.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("shard"), part.column("slot"), pa.array(raw, pa.binary())], ["shard", "slot", "ids"])
+        give_back()
 
 
 def write_shards(ordered: DataFrame, path: str) -> None:

@@ -1,18 +1,19 @@
 """Whole-text word hashing for tasks that work on Arrow batches.
 
 Texts are read as UTF-8 bytes; every separator is ASCII, so words can be cut on bytes. Work is
-done in pieces of about one megabyte, cut between words, so memory does not depend on how long
+done in pieces of 256 kB, cut between words, so memory does not depend on how long
 one text is.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,7 +122,15 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - low
 
 
-def by_size(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system, so that idle workers do not hold what a batch once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def by_size(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``limit`` text bytes; a longer text is a slice of its own."""
     if not batch.num_rows:
         return
@@ -131,6 +140,7 @@ def by_size(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterato
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+    give_back()
 
 
 def windows(words: np.ndarray, n: int) -> np.ndarray:

@@ -36,8 +36,10 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 CHUNK = 64
 #: distinct pieces whose tokens a Python worker remembers
-TABLE = 1 << 21
-SLICE = 1 << 20  # text bytes worked on at once
+TABLE = 1 << 19
+#: pieces that gather before they are merged into the large table
+RECENT = 1 << 16
+SLICE = 1 << 18  # text bytes worked on at once
 
 # classes of characters
 LETTER, DIGIT, SPACE, GAP, OTHER, QUOTE, RESET = range(7)
@@ -167,28 +169,48 @@ class Tokenizer:
         self.special = {t.content: k for k, t in self.vocabulary.get_added_tokens_decoder().items() if t.special}
         self.merges = Merges(path)
         self.classes, self.ids = classes(), ids
-        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.starts, self.flat = np.empty(0, np.int64), np.empty(0, np.int32)
+        self._clear()
         self._powers(SLICE + 4096)
 
     def _powers(self, n: int) -> None:
         base = 0xD1342543DE82EF95
         self.powers = tuple(powers(np.uint64(b), n + 1) for b in (base, pow(base, -1, 1 << 64)))
 
-    def _annotate(self, keys: np.ndarray, pieces: Callable[[np.ndarray], list[str]]) -> np.ndarray:
-        """Places of the keys in the table, after the pieces it lacks have been added."""
-        if len(self.keys) > TABLE:
-            self.keys, self.counts, self.starts, self.flat = self.keys[:0], self.counts[:0], self.starts[:0], self.flat[:0]
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
-        new = np.flatnonzero(~known)
-        if not len(new):
-            return at
-        found = pieces(new)
-        data = np.frombuffer("".join(found).encode(), np.uint8)
-        lengths = np.fromiter((len(x.encode()) for x in found), np.int64, len(found))
+    def _clear(self) -> None:
+        none = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
+        # sorted keys with token counts and places of the ids; new pieces gather in the second table
+        self.tables = [none, none]
+        self.flat, self.used = np.empty(1 << 16 if self.ids else 0, np.int32), 0
+
+    def _add(self, k: int, rows: tuple[np.ndarray, ...]) -> None:
+        every = [np.concatenate(pair) for pair in zip(self.tables[k], rows, strict=True)]
+        order = np.argsort(every[0])
+        self.tables[k] = tuple(x[order] for x in every)
+
+    def _annotate(self, keys: np.ndarray, pieces: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts of pieces and where their ids begin, after the pieces not yet known have been added."""
+        if len(self.tables[0][0]) > TABLE:
+            self._clear()
+        elif len(self.tables[1][0]) > RECENT:
+            recent, self.tables[1] = self.tables[1], tuple(x[:0] for x in self.tables[1])
+            self._add(0, recent)
+        counts, starts = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        for known, n, begin in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                same = known[at] == keys
+                counts[same], starts[same] = n[at[same]], begin[at[same]]
+        new = np.flatnonzero(counts < 0)
+        if len(new):
+            counts[new], starts[new] = self._merge(pieces(new))
+            self._add(1, (keys[new], counts[new].astype(np.int32), starts[new].astype(np.int32)))
+        return counts, starts
+
+    def _merge(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts and places of the ids of new pieces."""
+        raw = [x.encode() for x in found]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         begins = np.cumsum(lengths) - lengths
         short = np.flatnonzero(lengths <= LONGEST)
         counts = np.zeros(len(found), np.int64)
@@ -196,20 +218,16 @@ class Tokenizer:
         long = {k: self.vocabulary.encode(found[k], add_special_tokens=False).ids for k in np.flatnonzero(lengths > LONGEST).tolist()}
         for k, ids in long.items():
             counts[k] = len(ids)
-        starts = len(self.flat) + np.cumsum(counts) - counts
+        starts = self.used + np.cumsum(counts) - counts
         if self.ids:
-            flat = np.empty(int(counts.sum()), np.int32)
+            self.used += int(counts.sum())
+            if self.used > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.empty(max(self.used - len(self.flat), len(self.flat) // 2), np.int32)])
             for row, ids in groups:
-                flat[(starts[short[row]] - len(self.flat))[:, None] + np.arange(ids.shape[1])] = ids
+                self.flat[starts[short[row]][:, None] + np.arange(ids.shape[1])] = ids
             for k, ids in long.items():
-                flat[starts[k] - len(self.flat) :][: len(ids)] = ids
-            self.flat = np.concatenate([self.flat, flat])
-        every = np.concatenate([self.keys, keys[new]])
-        order = np.argsort(every)
-        self.keys = every[order]
-        self.counts = np.concatenate([self.counts, counts])[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        return np.searchsorted(self.keys, keys)
+                self.flat[starts[k] : starts[k] + len(ids)] = ids
+        return counts, starts
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray | None]:
         """Tokens of each text, and all ids in order if asked for."""
@@ -237,8 +255,8 @@ class Tokenizer:
         starts = cuts[piece]
         keys = _hash_pieces(codes, starts, stops, self.powers)
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        at = self._annotate(distinct, lambda new: [joined[starts[k] : stops[k]] for k in first[new]])[inverse]
-        counts = self.counts[at]
+        n, from_ = self._annotate(distinct, lambda new: [joined[starts[k] : stops[k]] for k in first[new]])
+        counts, from_ = n[inverse], from_[inverse]
         where = starts
         if marks:
             where = np.concatenate([starts, [m[0] for m in marks]])
@@ -247,8 +265,7 @@ class Tokenizer:
         totals = np.bincount(text, weights=counts, minlength=len(rows)).astype(np.int64)
         if not self.ids:
             return totals, None
-        from_ = self.starts[at]
-        flat = self.flat
+        flat = self.flat[: self.used]
         if marks:
             from_ = np.concatenate([from_, len(flat) + np.arange(len(marks))])
             flat = np.concatenate([flat, np.array([m[2] for m in marks], np.int32)])
