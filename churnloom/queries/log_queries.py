@@ -23,13 +23,13 @@ def _calendar(log):
     return P.with_calendar(log)
 
 
-# Columns of the log summary, and to which decimal place means and deviations of times agree between engines.
+# Columns of the log summary, and to which decimal place its figures are given (times to the second).
 DESCRIBED = {"registration": -3, "ts": -3, "length": 6, "itemInSession": 6}
 
 
 def _to_digits(summary):
     coarse = F.col("column").isin([c for c, digits in DESCRIBED.items() if digits < 0])
-    return summary.withColumns({c: F.when(coarse, F.round(c, -3)).otherwise(F.col(c)) for c in ("mean", "stddev")})
+    return summary.withColumns({c: F.when(coarse, F.round(c, -3)).otherwise(F.col(c)) for c in ("mean", "stddev", "min", "max")})
 
 
 QUERIES = {
@@ -190,7 +190,7 @@ def _describe_sql():
         x = f'CAST("{c}" AS DOUBLE)'
         parts.append(
             f"SELECT '{c}' AS \"column\", count({x}) AS n, round(avg({x}), {digits}) AS mean, round(stddev_samp({x}), {digits}) AS stddev, "
-            f"round(min({x}), 6) AS \"min\", round(max({x}), 6) AS \"max\" FROM log"
+            f"round(min({x}), {digits}) AS \"min\", round(max({x}), {digits}) AS \"max\" FROM log"
         )
     return " UNION ALL ".join(parts)
 

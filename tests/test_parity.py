@@ -12,12 +12,22 @@ QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
+#: too few users at the smallest scale for three splits with both classes in each fold
+LARGER = {"stacked_checked", "stacked_grid_checked"}
+
+
 @pytest.fixture(scope="module")
 def duck():
-    con = duckdb.connect()
-    for t in TABLES.split():
-        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/sf0.001/{t}.parquet'")
-    return con
+    made = {}
+
+    def connect(sf):
+        if sf not in made:
+            made[sf] = duckdb.connect()
+            for t in TABLES.split():
+                made[sf].sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{sf}/{t}.parquet'")
+        return made[sf]
+
+    return connect
 
 
 def _plain(value):
@@ -37,8 +47,9 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, duck, name):
-    got = QUERIES[name](spark, f"{DATA}/sf0.001")
-    want = duck.sql(ORACLES[name])
+    sf = "sf0.01" if name in LARGER else "sf0.001"
+    got = QUERIES[name](spark, f"{DATA}/{sf}")
+    want = duck(sf).sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
     kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
     assert {c: kinds[t] for c, t in got.dtypes} == dict(zip(want.columns, map(str, want.types)))
