@@ -21,6 +21,7 @@ def blank_users(log: DataFrame, level: str | None = None) -> DataFrame:
 
 def clean_v2(log: DataFrame) -> DataFrame:
     """Known users, times in epoch seconds; personal, song and web columns dropped."""
+    # fixed values: the dropped columns
     timed = known_users(log).withColumns({"log_ts": seconds("ts"), "reg_ts": seconds("registration")})
     return timed.drop(
         "firstName", "lastName", "location", "artist", "song", "length", "userAgent", "method", "status", "ts", "registration"
@@ -29,6 +30,7 @@ def clean_v2(log: DataFrame) -> DataFrame:
 
 def clean_profile(log: DataFrame) -> DataFrame:
     """As V2, but with method and status kept and the times as text."""
+    # fixed values: the dropped columns
     timed = known_users(log).withColumns({"date_ts": datetime_text("ts"), "date_reg": datetime_text("registration")})
     return timed.drop("firstName", "lastName", "location", "artist", "song", "length", "userAgent", "registration", "ts")
 

@@ -18,7 +18,7 @@ def prepare_features(log: DataFrame) -> DataFrame:
 
 def prepare_splits(spark: SparkSession, path: str, shares: dict[str, float] = THREE_WAY_SAMPLE) -> dict[str, DataFrame]:
     """Read a log file and return its stratified feature splits."""
-    split = stratified_split(prepare_features(read_log(spark, path)), shares)
+    split = cut_lineage(stratified_split(prepare_features(read_log(spark, path)), shares), "split")
     return parts(split, list(shares))
 
 
@@ -27,5 +27,5 @@ def write_train_test(
 ) -> dict[str, str]:
     """The batch job: log file in, train and test files out."""
     features = without(prepare_features(read_log(spark, log_path)), drop)
-    split = parts(stratified_split(features), list(TRAIN_TEST))
+    split = parts(cut_lineage(stratified_split(features), "split"), list(TRAIN_TEST))
     return write_split(split, {"train": train_path, "test": test_path}, fmt)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Columns and types of the log.
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("userId", T.StringType()),

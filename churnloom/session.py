@@ -15,6 +15,8 @@ def build_session(app: str = "churnloom", conf: dict[str, str] | None = None) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # no call-site capture on every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
@@ -40,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("name a folder shared by all executors in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="churnloom-")
+    elif named.startswith("file:") and not sc.master.startswith("local"):
+        raise ValueError(f"{named} is a folder of one machine; name one that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
