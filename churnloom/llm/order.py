@@ -163,10 +163,14 @@ def read_shards(spark: SparkSession, path: str, *, length: int = LENGTH, shard:
     files = files.where(F.col("path").endswith(".txt"))
     stride = 2 * length + 1
     number = F.regexp_extract("path", r"shard=(\d+)/", 1).cast("bigint")
-    record = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("length") / stride) - 1),
-        lambda k: F.struct(k.alias("k"), F.sha2(F.substring("content", (k * stride + 1).cast("int"), F.lit(2 * length)), 256).alias("sha")),
-    )
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("length") / stride) - 1)
+
+    def records(content: Column) -> Column:
+        digest = lambda k: F.sha2(F.substring(content, (k * stride + 1).cast("int"), F.lit(2 * length)), 256)
+        return F.transform(numbers, lambda k: F.struct(k.alias("k"), digest(k).alias("sha")))
+
+    # the outer array of one hands the file's bytes to all records; read from the row, each would copy the file
+    record = F.flatten(F.transform(F.array("content"), records))
     one = files.where(F.col("length") >= stride).select(number.alias("shard"), F.explode(record).alias("r"))
     return one.select((F.col("shard") * shard + F.col("r.k")).alias("slot"), "shard", (F.col("r.k") * stride).alias("offset"), F.col("r.sha").alias("record_sha256"))
 
