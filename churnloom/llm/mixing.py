@@ -7,14 +7,18 @@
 2. The documents of a source, in the order of (id bucket, id, ...), are one stream of words, cut
    into blocks of ``BLOCK`` words (the last one shorter). Offsets are prefix sums in two steps,
    inside buckets of ids and over the buckets of a source.
-3. A source takes as many slots as its target needs; the last slot is cut, so that the words taken
-   are the target exactly (rounded down). Each slot is thrown to one of the output shards by hash,
-   so the counts of a source over the shards are a multinomial draw with its quota as the total.
-4. Slot j of a source is block P(j mod blocks) of pass j div blocks, P being a pseudorandom
-   permutation of the block numbers for each source and pass: a Feistel network on the smallest
-   rectangle a x b that holds the numbers, walked on until it falls inside.
+3. A source has as many slots as its target needs; its last slot is cut, so that the words taken
+   are the target exactly (rounded down). A shard has ``SHARD_SLOTS`` places (the last one fewer).
+   Every place draws its source with the chances of the quotas that remain: a Feistel permutation
+   deals the slots of all sources to all places. The source counts of a shard are so a
+   multinomial draw given what the quotas leave to it.
+4. The places of a source, in the order of (shard, place), take its slots one after another: counts
+   in cells of ``CELL`` places, prefix sums over the cells, ranks inside them. Slot j is block P(j mod
+   blocks) of pass j div blocks, P being a pseudorandom permutation of the block numbers for
+   each source and pass: a Feistel network on the smallest rectangle a x b that holds the
+   numbers, walked on until it falls inside. So a source is read through before it repeats.
 5. Blocks are joined to slots by (source, block number), which is spread evenly however large a
-   source is.
+   source is. The mix comes in the order of (shard, place), dealt to tasks by ranges of places.
 
 Null texts have size 0. A source without words has target 0. Rows that repeat an
 id are documents of their own.
@@ -33,6 +37,7 @@ MOST = 2
 BLOCK = 256
 BUCKET = 1024
 SHARD_SLOTS = 4096
+CELL = 256
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
@@ -83,8 +88,8 @@ def offsets(sizes: DataFrame) -> DataFrame:
     return joined.select("doc_id", "source", "size", "key", "tie", (F.col("ahead") + F.col("before")).alias("start"))
 
 
-def permuted(x: Column, n: Column, key: Column) -> Column:
-    """A pseudorandom permutation of 0 .. n-1, one for each key."""
+def permuted(x: Column, n: Column, key: Column, back: bool = False) -> Column:
+    """A pseudorandom permutation of 0 .. n-1, one for each key; ``back`` is its inverse."""
     a = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
     b = F.ceil(n / a).cast("bigint")
 
@@ -92,69 +97,76 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
     def half(s: Column, k: Column) -> Column:
         left, right = s["left"], s["right"]
         h = F.xxhash64(F.lit(SEED), k, key, F.when(k % 2 == 0, right).otherwise(left))
+        h = -F.pmod(h, F.when(k % 2 == 0, a).otherwise(b)) if back else h
         return F.struct(F.when(k % 2 == 0, F.pmod(left + F.pmod(h, a), a)).otherwise(left).alias("left"), F.when(k % 2 == 1, F.pmod(right + F.pmod(h, b), b)).otherwise(right).alias("right"))
 
     def step(v: Column) -> Column:
         start = F.struct(F.floor(v / b).alias("left"), (v % b).alias("right"))
-        return F.aggregate(F.array(*[F.lit(k) for k in range(2 * ROUNDS)]), start, half, lambda s: s["left"] * b + s["right"])
+        return F.aggregate(F.array(*[F.lit(k) for k in (reversed(range(2 * ROUNDS)) if back else range(2 * ROUNDS))]), start, half, lambda s: s["left"] * b + s["right"])
 
     steps = F.array(*[F.lit(k) for k in range(WALK)])
     return F.aggregate(steps, step(x), lambda v, _: F.when(v < n, v).otherwise(step(v)))
 
 
 def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(source, block, slot, shard, words): every slot of the mix and the words it takes.
+    """(source, block, words, turn, shard, slot, place, places): every place of the mix and what it takes.
 
-    Made from the block numbers of each source: one row for each block and pass.
+    ``slot`` is the place in its shard, ``place`` the one in the mix of ``places``, ``turn`` the number of the
+    slot in its source.
     """
 
-    def order_of(of_pass: str) -> Column:
-        return F.xxhash64("source", of_pass)
+    def end_of(of_pass: Column) -> Column:
+        return permuted(F.col("blocks") - 1, F.col("blocks"), F.xxhash64("source", of_pass))
 
     goals = goals.where("source_size > 0").select(
-        "source",
-        F.col("source_size").alias("total"),
-        F.floor("target").alias("want"),
-        F.ceil(F.col("source_size") / block).alias("blocks"),
-        F.ceil(F.sum("target").over(Window.partitionBy()) / (block * shard_slots)).alias("shards"),
+        "source", F.col("source_size").alias("total"), F.floor("target").alias("want"), F.ceil(F.col("source_size") / block).alias("blocks")
     )
-    passes = F.floor((F.col("want") + F.col("total") - 1) / F.col("total"))
-    goals = goals.where("want > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), passes - 1)))
+    goals = goals.where("want > 0").withColumn("last", F.floor((F.col("want") - 1) / F.col("total"))).withColumn("missing", F.col("blocks") * block - F.col("total"))
     # where the last block, which is shorter, stands in the order of each pass
-    goals = goals.withColumn("end", permuted(F.col("blocks") - 1, F.col("blocks"), order_of("pass")))
+    goals = goals.withColumn("ends", F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("last")), end_of))
+    rest = F.col("want") - F.col("last") * F.col("total")
+    few = F.ceil(rest / block)
+    few = F.when(few > F.element_at("ends", (F.col("last") + 1).cast("int")), F.ceil((rest + F.col("missing")) / block)).otherwise(few)
+    by_name = Window.orderBy(F.col("source").asc_nulls_last())
+    goals = goals.withColumn("own", F.col("last") * F.col("blocks") + few).withColumn("no", F.row_number().over(by_name))
+    goals = goals.withColumn("base", F.sum("own").over(by_name) - F.col("own")).withColumn("places", F.sum("own").over(Window.partitionBy()))
     # ranges of at most 4096 numbers first, so that no row unfolds into a whole source
-    runs = goals.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("blocks") - 1) / 4096))))
-    last = F.least((F.col("run") + 1) * 4096, F.col("blocks")) - 1
+    runs = goals.select("no", "base", "own", "places", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("own") - 1) / 4096))).alias("run"))
     # few rows that become many: a fixed number of tasks, which their size would not ask for
     tasks = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    every = runs.repartition(tasks, "source", "pass", "run").withColumn("block", F.explode(F.sequence(F.col("run") * 4096, last)))
-    # the inverse of a pseudorandom permutation is one, so the place of a block is drawn, not the block of a place
-    every = every.withColumn("at", permuted(F.col("block"), F.col("blocks"), order_of("pass")))
-    length = F.least(F.lit(block), F.col("total") - F.col("block") * block)
-    missing = F.col("blocks") * block - F.col("total")
-    taken = F.col("pass") * F.col("total") + F.col("at") * block - F.when(F.col("at") > F.col("end"), missing).otherwise(0)
-    every = every.withColumn("words", F.least(length, F.col("want") - taken)).where("words > 0")
-    slot = F.col("pass") * F.col("blocks") + F.col("at")
-    shard = F.pmod(F.xxhash64(F.lit(SEED), "source", slot), F.col("shards"))
-    return every.select("source", "block", slot.alias("slot"), shard.alias("shard"), "words")
-
-
-def placed(sizes: DataFrame, block: int = BLOCK, **options) -> tuple[DataFrame, DataFrame]:
+    every = runs.repartition(tasks, "no", "run").withColumn("j", F.explode(F.sequence(F.col("run") * 4096, F.least((F.col("run") + 1) * 4096, "own") - 1)))
+    drawn = stored(every.select("no", permuted(F.col("base") + F.col("j"), F.col("places"), F.lit(SEED).cast("bigint")).alias("place")), "places")
+    drawn = drawn.withColumn("cell", F.floor(F.col("place") / CELL))
+    counts = drawn.groupBy("cell", "no").agg(F.count("*").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("no").orderBy("cell")) - F.col("n")
+    counts = counts.select("cell", "no", ahead.alias("ahead")).join(goals, "no")
+    rank = F.row_number().over(Window.partitionBy("cell", "no").orderBy("place")) - 1
+    met = drawn.withColumn("rank", rank).join(counts, ["cell", "no"]).withColumn("turn", F.col("ahead") + F.col("rank"))
+    met = met.withColumn("pass", F.floor(F.col("turn") / F.col("blocks"))).withColumn("at", F.col("turn") % F.col("blocks"))
+    met = met.withColumn("end", F.element_at("ends", (F.col("pass") + 1).cast("int")))
+    taken = F.col("pass") * F.col("total") + F.col("at") * block - F.when(F.col("at") > F.col("end"), F.col("missing")).otherwise(0)
+    words = F.least(block - F.when(F.col("at") == F.col("end"), F.col("missing")).otherwise(0), F.col("want") - taken)
+    of_place = permuted(F.col("at"), F.col("blocks"), F.xxhash64("source", "pass"), back=True)
+    shard, slot = F.floor(F.col("place") / shard_slots), F.col("place") % shard_slots
+    return met.select("source", of_place.alias("block"), words.alias("words"), "turn", shard.alias("shard"), slot.alias("slot"), "place", "places")
+
+
+def placed(sizes: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, **options) -> tuple[DataFrame, DataFrame]:
     """The slots of the mix with the part of each document they take, and the targets.
 
-    Parts: (source, slot, shard, key, tie, start, low, high), words low .. high - 1 of a document.
+    Parts: (source, shard, slot, place, places, key, tie, start, low, high), words low .. high - 1 of a document.
     """
     goals = stored(targets(sizes, **options), "targets")
     docs = offsets(sizes)
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     pieces = docs.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     pieces = pieces.withColumn("of", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()).drop("source")
-    cut = slots(goals, block).withColumn("of", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
+    cut = slots(goals, block, shard_slots).withColumn("of", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
     # the planner takes the slots for as small as the sources they come from: shuffle them
     met = cut.hint("merge").join(pieces, ["of", "none", "block"])
     low = F.greatest(F.col("block") * block, "start") - F.col("start")
     high = F.least(F.col("block") * block + F.col("words"), F.col("start") + F.col("size")) - F.col("start")
-    parts = met.select("source", "slot", "shard", "key", "tie", "start", low.alias("low"), high.alias("high")).where("high > low")
+    parts = met.select("source", "shard", "slot", "place", "places", "key", "tie", "start", low.alias("low"), high.alias("high")).where("high > low")
     return parts, goals
 
 
@@ -172,15 +184,18 @@ def taken_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return every.join(goals, every["source"].eqNullSafe(goals["s"])).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars", **options) -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, one row for each part of a document in a slot.
+def mixed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars", shard: str = "shard", slot: str = "slot", **options) -> DataFrame:
+    """The mixed corpus with the shard and the slot in it of every row, in their order.
 
-    A part is a run of whole words with the white space after each; the parts of a document that
+    One row for each part of a document in a slot, the parts of a slot in the order of the source:
+    runs of whole words with the white space after each; the parts of a document that
     a slot takes in full put together again give its text. ``n_chars`` is counted anew where the column exists.
     """
     parts, _ = placed(stored(sized(docs, doc_id, text, source), "sizes"), **options)
-    key, tie, held, words = (fresh(x) for x in ("key", "tie", "parts", "words"))
-    gathered = parts.groupBy(F.col("key").alias(key), F.col("tie").alias(tie)).agg(F.collect_list(F.struct("low", "high")).alias(held))
+    key, tie, held, words, place, start, task = (fresh(x) for x in ("key", "tie", "parts", "words", "place", "start", "task"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_task = F.floor(F.col("place") * tasks / F.col("places")).cast("int")
+    gathered = parts.groupBy(F.col("key").alias(key), F.col("tie").alias(tie)).agg(F.collect_list(F.struct("low", "high", "shard", "slot", "place", "start", of_task.alias("task"))).alias(held))
     own = dict(zip((key, tie), _keys(*[F.col(f"`{c}`") for c in (doc_id, text, source)]), strict=True))
     # equal rows have their parts in common: one of them reads all
     once = docs.withColumns(own).dropDuplicates([key, tie])
@@ -189,4 +204,13 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
     low, high = F.col(f"{held}.low").cast("int"), F.col(f"{held}.high").cast("int")
     piece = F.array_join(F.slice(words, low + 1, high - low), "")
     columns = [piece.alias(c) if c == text else F.length(piece).cast("bigint").alias(c) if c == n_chars else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns)
+    order = {shard: "shard", slot: "slot", place: "place", start: "start", task: "task"}
+    rows = joined.select(*columns, *[F.col(f"{held}.{c}").alias(name) for name, c in order.items()])
+    # places are dealt evenly, so equal ranges of them need no sample
+    return rows.repartitionById(tasks, task).sortWithinPartitions(place, start).drop(place, start, task)
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The columns of ``docs`` for every row of :func:`mixed`, in the same order."""
+    shard, slot = fresh("shard"), fresh("slot")
+    return mixed(docs, shard=shard, slot=slot, **options).drop(shard, slot)

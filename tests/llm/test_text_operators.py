@@ -228,6 +228,47 @@ def test_parts_of_a_document_give_its_text(spark):
     assert all(r.text in text[r.doc_id] and r.n_chars == len(r.text) for r in mixed)
 
 
+def test_shards_of_fixed_size_draw_their_sources_by_weight(spark):
+    sizes = mixing.sized(spark.read.parquet(f"{DATA}/sf0.01/documents.parquet"))
+    goals = mixing.targets(sizes)
+    per = {r.source: r for r in goals.collect()}
+    rows = sorted(mixing.slots(goals, 32, 64).collect(), key=lambda r: (r.shard, r.slot))
+    assert [(r.shard, r.slot) for r in rows] == [(k // 64, k % 64) for k in range(len(rows))]
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r.source].append(r)
+    whole, spread = rows[: len(rows) // 64 * 64], 0
+    for source, own in by_source.items():
+        assert sum(r.words for r in own) == int(per[source].target) and min(r.words for r in own) > 0
+        # in the order of the mix the source is read through before it repeats
+        assert [r.turn for r in own] == list(range(len(own)))
+        blocks = -(-per[source].source_size // 32)
+        assert all(len({r.block for r in own[k : k + blocks]}) == len(own[k : k + blocks]) for k in range(0, len(own), blocks))
+        share = len(own) / len(rows)
+        assert abs(share - per[source].target / sum(p.target for p in per.values())) < 0.01
+        counts = Counter(r.shard for r in whole if r.source == source)
+        off = [(counts[k] - 64 * share) / (64 * share * (1 - share)) ** 0.5 for k in range(len(whole) // 64)]
+        assert max(map(abs, off)) < 6
+        spread += np.mean(np.square(off)) / len(by_source)
+    # drawn, neither dealt in turn nor in clumps
+    assert len(whole) > 64 * 50 and 0.8 < spread < 1.2
+
+
+def test_the_mix_comes_in_the_order_of_its_shards(spark):
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(600)), f"s{k % 2}", 0) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    got = mixing.mixed(docs, shard_slots=16).collect()
+    at = [(r.shard, r.slot) for r in got]
+    assert at == sorted(at) and len(set(at)) > 140 and max(s for _, s in at) == 15
+    assert [tuple(r) for r in mixing.mix(docs, shard_slots=16).collect()] == [tuple(r)[:4] for r in got]
+    names = [n for k, n in enumerate(r.doc_id for r in got) if not k or at[k] != at[k - 1]]
+    assert sum(a == b for a, b in zip(names[:-1], names[1:], strict=True)) < len(names) / 8
+    taken = Counter()
+    for r in got:
+        taken[r.doc_id] += len(r.text.split())
+    assert {r.doc_id: r.taken for r in mixing.taken_words(docs).collect() if r.taken} == dict(taken)
+
+
 def drain(docs, min_docs=5):
     """Line dedup, leaf by leaf, over plain Python."""
     leaves = defaultdict(set)
