@@ -13,8 +13,8 @@
    joined group leaves the task, never all pairs.
 4. Components of these links by repeated label hooking, tables cut in the shared folder.
 
-A pair of similarity 0.85 shares fewer than 10 of 24 coordinates with probability 2e-7; nothing
-else is approximate. Null or empty texts have no shingles and are linked with nothing. Rows
+A pair of similarity 0.85 shares fewer than 10 of 24 coordinates with probability 2e-7, one of
+0.80 with 7e-6; nothing else is approximate. Null or empty texts have no shingles and are linked with nothing. Rows
 that repeat an id are one document; the row of the smallest set fingerprint speaks for it. Rows
 with a null id are linked with nothing, too; each keeps a row of its own.
 """
@@ -35,6 +35,8 @@ WORDS = 5
 COORDINATES = 24
 THRESHOLD = 10
 SIMILARITY = 85  # percent
+#: percent from which a stage drops copies
+STAGE_SIMILARITY = 80
 #: shingles and members that one side of a block pair holds, about
 BLOCK_SHINGLES = 1 << 20
 BLOCK_MEMBERS = 2048
@@ -136,7 +138,7 @@ def meetings(posted: DataFrame) -> DataFrame:
     return other.select("list", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "doc_id", "fp_a")
 
 
-def join_sets(ids: np.ndarray, values: np.ndarray, counts: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def join_sets(ids: np.ndarray, values: np.ndarray, counts: np.ndarray, sig: np.ndarray, similarity: int = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """Star edges (smallest id, id) of the groups that links between these sets join.
 
     From each set in turn, all sets not reached yet are compared: first their sizes, then the
@@ -154,7 +156,7 @@ def join_sets(ids: np.ndarray, values: np.ndarray, counts: np.ndarray, sig: np.n
         while todo and len(waiting):
             x = todo.pop()
             small, large = np.minimum(counts[waiting], counts[x]), np.maximum(counts[waiting], counts[x])
-            near = 100 * small >= SIMILARITY * large
+            near = 100 * small >= similarity * large
             near[near] = (sig[waiting[near]] == sig[x]).sum(1) >= THRESHOLD
             maybe = waiting[near]
             if not len(maybe):
@@ -166,7 +168,7 @@ def join_sets(ids: np.ndarray, values: np.ndarray, counts: np.ndarray, sig: np.n
             at = np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(starts[maybe], size)
             both = np.add.reduceat(marked[code[at]].astype(np.int64), ends - size)
             marked[mine] = False
-            linked = 100 * both >= SIMILARITY * (size + counts[x] - both)
+            linked = 100 * both >= similarity * (size + counts[x] - both)
             reached = maybe[linked]
             todo += reached.tolist()
             left.append(np.full(len(reached), ids[root]))
@@ -177,52 +179,56 @@ def join_sets(ids: np.ndarray, values: np.ndarray, counts: np.ndarray, sig: np.n
     return np.concatenate(left) if left else none, np.concatenate(right) if right else none
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(similarity: int):
     """Links of block pairs; the rows of a block pair follow each other."""
-    hasher = WordHasher(SPACES)
-
-    def joined(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.concatenate([h[0] for h in held])
-        counts = np.concatenate([h[2] for h in held])
-        values = np.concatenate([h[1] for h in held])
-        return join_sets(ids, values, counts, signatures(values, counts))
 
-    key, held, left, right = None, [], [], []
-    for batch in batches:
-        for part in by_size(batch, "text"):
-            values, counts = shingle_sets(part.column("text"), hasher)
-            # another text under the same id does not speak for it
-            own = fingerprints(values, counts)[0] == part.column("fp_a").to_numpy()
-            if not own.all():
-                part = part.filter(pa.array(own))
-                values, counts = values[np.repeat(own, counts)], counts[own]
-            starts = np.concatenate([[0], np.cumsum(counts)])
-            ids = part.column("doc_id").to_numpy()
-            keys = np.stack([part.column(c).to_numpy() for c in ("list", "a", "b")], 1)
-            cuts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-            for low, high in zip([0, *cuts], [*cuts, len(ids)], strict=True):
-                now = tuple(keys[low])
-                if now != key and held:
-                    x, y = joined(held)
-                    left.append(x)
-                    right.append(y)
-                    held = []
-                key = now
-                held.append((ids[low:high], values[starts[low] : starts[high]], counts[low:high]))
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left), pa.int64()), pa.array(np.concatenate(right), pa.int64())], ["low", "high"])
-            left, right = [], []
-    if held:
-        x, y = joined(held)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["low", "high"])
-
-
-def links(docs: DataFrame, met: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(SPACES)
+
+        def joined(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+            ids = np.concatenate([h[0] for h in held])
+            counts = np.concatenate([h[2] for h in held])
+            values = np.concatenate([h[1] for h in held])
+            return join_sets(ids, values, counts, signatures(values, counts), similarity)
+
+        key, held, left, right = None, [], [], []
+        for batch in batches:
+            for part in by_size(batch, "text"):
+                values, counts = shingle_sets(part.column("text"), hasher)
+                # another text under the same id does not speak for it
+                own = fingerprints(values, counts)[0] == part.column("fp_a").to_numpy()
+                if not own.all():
+                    part = part.filter(pa.array(own))
+                    values, counts = values[np.repeat(own, counts)], counts[own]
+                starts = np.concatenate([[0], np.cumsum(counts)])
+                ids = part.column("doc_id").to_numpy()
+                keys = np.stack([part.column(c).to_numpy() for c in ("list", "a", "b")], 1)
+                cuts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+                for low, high in zip([0, *cuts], [*cuts, len(ids)], strict=True):
+                    now = tuple(keys[low])
+                    if now != key and held:
+                        x, y = joined(held)
+                        left.append(x)
+                        right.append(y)
+                        held = []
+                    key = now
+                    held.append((ids[low:high], values[starts[low] : starts[high]], counts[low:high]))
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left), pa.int64()), pa.array(np.concatenate(right), pa.int64())], ["low", "high"])
+                left, right = [], []
+        if held:
+            x, y = joined(held)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["low", "high"])
+
+    return run
+
+
+def links(docs: DataFrame, met: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Confirmed links (low, high) that join every group of similar classes."""
     # a shuffle at every size: what meets grows with the corpus
     with_text = met.join(docs.hint("merge"), "doc_id").select("list", "a", "b", "doc_id", "fp_a", "text")
     gathered = with_text.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b")
-    return gathered.mapInArrow(_links, "low bigint, high bigint").distinct()
+    return gathered.mapInArrow(_links(similarity), "low bigint, high bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -250,8 +256,11 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("high").alias("doc_id"), F.col("low").alias("component_id"))
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept."""
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: int = SIMILARITY) -> DataFrame:
+    """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept.
+
+    Sets are linked from ``similarity`` percent on; below 80 the signatures would miss links.
+    """
     own = only(docs, **{doc_id: "doc_id", text: "text"}).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     rows = features(own)
     best = F.min(F.struct("fp_a", "fp_b", "n_shingles", "sig")).alias("c")
@@ -261,7 +270,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     first = F.min(F.struct("doc_id", "n_shingles", "sig")).alias("c")
     classes = stored(full.groupBy("fp_a", "fp_b").agg(first).select("fp_a", "fp_b", "c.*"), "classes")
     met = stored(meetings(postings(classes)), "meetings")
-    reached = components(links(own, met)).withColumnRenamed("doc_id", "rep")
+    reached = components(links(own, met, similarity)).withColumnRenamed("doc_id", "rep")
     of_class = members.join(classes.select("fp_a", "fp_b", F.col("doc_id").alias("rep")), ["fp_a", "fp_b"])
     ends = of_class.join(reached, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
     alone = seen.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -269,8 +278,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return ends.union(alone).union(unnamed).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """One row of each group of near-duplicates stays: that of the smallest id."""
     mark = fresh("gone")
-    gone = near_duplicates(docs, doc_id=doc_id, text=text).where("NOT kept").select(F.col("doc_id").alias(mark)).distinct()
+    gone = near_duplicates(docs, doc_id=doc_id, text=text, similarity=similarity).where("NOT kept").select(F.col("doc_id").alias(mark)).distinct()
     return docs.join(gone, F.col(f"`{doc_id}`").cast("bigint") == F.col(mark), "left_anti")

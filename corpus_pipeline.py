@@ -16,7 +16,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, similarity=minhash.STAGE_SIMILARITY)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

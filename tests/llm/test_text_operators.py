@@ -119,6 +119,23 @@ def test_chains_of_near_copies_over_many_blocks(spark, chained, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, (_, c) in want.items() if d == c)
 
 
+def test_the_stage_drops_copies_from_four_fifths_on(spark):
+    rng = random.Random(7)
+    rows, want = [], {80: set(), 85: set()}
+    for k, shingles in enumerate(range(36, 66)):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(shingles + 4)]
+        copy = words[:20] + ["other"] + words[21:]
+        rows += [(2 * k, " ".join(words), "en", "s", 0), (2 * k + 1, " ".join(copy), "en", "s", 0)]
+        for least, gone in want.items():
+            if 100 * (shingles - 5) >= least * (shingles + 5):
+                gone.add(2 * k + 1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert len(want[80] - want[85]) > 10
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SMALL).collect()}
+    assert {d for d, *_ in rows} - kept == want[80]
+    assert {r.doc_id for r in minhash.near_duplicates(docs).collect() if not r.kept} == want[85]
+
+
 def test_components_of_any_links(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(1000, 1040)]
