@@ -4,32 +4,38 @@ Features are the runs of letters and digits and the runs of punctuation of the w
 lower-cased), and pairs of neighbours, hashed to ``BUCKETS`` places; a text is the vector of
 square roots of its counts, scaled to length 1. Scoring is a sparse dot product in every task.
 
-The model is fitted on at most ``SAMPLE`` labelled rows, those with the smallest hashes of
-their id (a documented bound: sample ids, features and weights are small whatever the corpus is).
-Texts are featurised by Spark; the updates run in one task over the bounded sample, in the order
-of that hash, so reruns agree.
+The model is fitted on at most ``SAMPLE`` labelled rows (a documented bound: sample ids, features and
+weights are small whatever the corpus is): of each class those with the smallest hashes of their id, as
+many as its share of the labels, but a tenth of the sample if the class has them. Only ids that
+have a document are sampled. Texts are featurised by Spark; the updates run in one task over
+the bounded sample, in the order of that hash, so reruns agree.
 
 Null and empty texts are scored by the bias alone. Without a label of either class the model
-is all zeros (score 0.5). Labels of rows with null quality or null ids are not used; a repeated
-label row counts once, conflicting labels of an id count as 0.
+is all zeros (score 0.5), and ``keep_good`` keeps every document and warns. Labels of rows with null
+quality or null ids are not used; a repeated label row counts once, conflicting labels of an id count as 0;
+of the rows that repeat a labelled id the one with the smallest hash of its text is learnt.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnloom.llm.store import fresh, only
+from churnloom.llm.store import fresh, only, stored
 from churnloom.llm.text import NOT_LETTERS, WordHasher, by_size, mix64
 
 BUCKETS = 1 << 20
-SAMPLE = 8_000
+SAMPLE = 20_000
+#: a class has one of so many places of the sample at least, if it has as many labels
+LEAST = 10
 EPOCHS = 4
 KEEP_FROM = 0.7
 
@@ -103,8 +109,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("at")).to_numpy())])
         at, x = (batch.column(c).flatten().to_numpy().copy() for c in ("at", "x"))
         held += [(int(order[k]), int(names[k]), at[a:b], x[a:b], float(y[k])) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
-    # repeated ids: texts in the order of their features
-    held.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+    held.sort(key=lambda r: r[:2])
     model = Ftrl()
     for _ in range(EPOCHS if held else 0):
         for _, _, at, x, y in held:
@@ -112,15 +117,30 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([model.weights().tobytes()], pa.binary())], ["weights"])
 
 
+def shares(counts: dict[float, int], sample: int) -> dict[float, int]:
+    """Labels of each class in the sample: by its share, a rare class ``sample / LEAST`` if it has them."""
+    total = sum(counts.values())
+    if total <= sample:
+        return dict(counts)
+    least = {y: min(n, sample // LEAST) for y, n in counts.items()}
+    raised = {y for y, n in counts.items() if n * sample // total < least[y]}
+    rest = sample - sum(least[y] for y in raised)
+    common = sum(n for y, n in counts.items() if y not in raised)
+    return {y: least[y] if y in raised else n * rest // common for y, n in counts.items()}
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> np.ndarray:
     """Weights (the bias last) from (doc_id, text) and (doc_id, quality)."""
     spark = docs.sparkSession
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("double").alias("y"))
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
-    if picked["y"].nunique() < 2:
+    known = stored(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 2:
         return np.zeros(BUCKETS + 1, np.float32)
-    few = F.broadcast(spark.createDataFrame(picked, "doc_id bigint, y double"))
-    texts = docs.join(few, "doc_id").select("doc_id", "y", "text")
+    picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).toPandas() for y, n in sorted(shares(counts, sample).items())]
+    few = F.broadcast(spark.createDataFrame(pd.concat(picked), "doc_id bigint, y double"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"), "text")).alias("text")
+    texts = docs.join(few, "doc_id").groupBy("doc_id", "y").agg(one)
     sparse = texts.mapInArrow(_sparse("text"), "doc_id bigint, y double, at array<int>, x array<float>")
     return np.frombuffer(sparse.repartition(1).mapInArrow(_train, "weights binary").first()["weights"], np.float32)
 
@@ -144,7 +164,11 @@ def score(docs: DataFrame, weights: np.ndarray, *, text: str = "text", into: str
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = KEEP_FROM) -> DataFrame:
-    """The documents scored ``threshold`` or more, with the columns they came with."""
+    """The documents scored ``threshold`` or more, with the columns they came with; all if nothing could be learnt."""
     own = only(docs, **{doc_id: "doc_id", text: "text"}).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     mark = fresh("score")
-    return score(docs, fit(own, labels), text=text, into=mark).where(F.col(mark) >= threshold).drop(mark)
+    weights = fit(own, labels)
+    if not weights.any():
+        warnings.warn("no labels of two classes for these documents: all are kept", stacklevel=2)
+        return docs
+    return score(docs, weights, text=text, into=mark).where(F.col(mark) >= threshold).drop(mark)

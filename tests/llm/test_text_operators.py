@@ -188,6 +188,22 @@ def test_a_document_is_scored_by_its_text_alone(spark):
     assert np.array_equal(weights, again)
 
 
+def test_quality_sample_holds_a_rare_class(spark):
+    rows = [(k, f"good words that read well {k}" if k % 50 == 0 else f"bad junk spam noise {k}") for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # labels of documents that are not there come first and take no place
+    labels = spark.createDataFrame([(k, int(k % 50 == 0)) for k in range(1000)] + [(k, 0) for k in range(5000, 9000)], "doc_id bigint, quality int")
+    weights = quality.fit(docs, labels, sample=20)
+    got = {r.doc_id: r.score for r in quality.score(docs, weights).collect()}
+    assert weights.any() and min(got[k] for k in range(0, 1000, 50)) > max(s for k, s in got.items() if k % 50)
+    # rows that repeat an id are learnt once
+    assert np.array_equal(weights, quality.fit(docs.union(docs).union(docs), labels, sample=20))
+    assert quality.shares({0.0: 10**6, 1.0: 1000}, 20_000) == {0.0: 19_000, 1.0: 1000}
+    assert quality.shares({0.0: 10**6, 1.0: 10**4}, 20_000) == {0.0: 18_000, 1.0: 2000}
+    with pytest.warns(UserWarning):
+        assert quality.keep_good(docs, labels.where("quality = 0")).count() == 1000
+
+
 def check_mix(rows, got):
     sizes = Counter()
     for _, text, source in rows:
