@@ -3,13 +3,14 @@
 A page is read into blocks (text between block-level tags, inline tags pass), each with its path of
 open tags from the root. Per path: text length, punctuation and number of blocks. The ratios length / blocks
 and punctuation / blocks of a path, laid out over the blocks in page order, are smoothed with
-their neighbours and fused (multiplied); a path's value is the mean over its blocks. Paths inside
-<article> or <main> are content by the page's own markup and carry that as a factor; links weigh
-against a path. Paths whose value reaches ``THRESHOLD`` of the largest are content, and all their
-blocks are the text.
+their neighbours and fused (multiplied); a path's value is the mean over its blocks. The page's own
+markup only weighs: a path inside <article> or <main> counts ``MARKED`` times, one inside an
+element whose class or id has a word such as "ad" or "comments" ``WORDED`` times; links weigh against a path.
+Paths whose value reaches ``THRESHOLD`` of the largest are content, and all their blocks are the
+text. A heading goes with the content it stands before in the same element.
 
-Elements that are never main text (scripts, styles, menus, headers, footers, sidebars, notices,
-adverts, forms, reader comments; by tag, role, or a word of class or id) are left out before.
+Elements that are never main text by tag, role or as hidden (scripts, styles, menus, headers, footers,
+asides, forms) are left out before.
 
 A null or empty page has an empty text. Each page is handled by itself, whole, in its own task.
 """
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 THRESHOLD = 0.25
-MARKED = 1000.0
+MARKED = 2.0
+WORDED = 0.1
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea noscript iframe noembed noframes xmp template".split())
@@ -45,6 +47,7 @@ WORDS = set(
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 ENDS_AT = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 PLAIN_ARTICLE = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: classes of these say nothing about a part of the page
 WHOLE_PAGE = {"html", "body", "main"}
 
@@ -61,6 +64,7 @@ class Node:
     block: str
     path: str
     marked: bool
+    worded: bool
     linked: int
 
 
@@ -82,17 +86,25 @@ def _never_content(name: str, attributes: str) -> bool:
         key, value = key.lower(), entities.unescape(a or b or c)
         if key == "role" and value.strip().lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
-        if key in ("class", "id") and name not in WHOLE_PAGE and WORDS.intersection(_SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower())):
-            return True
         if key == "style" and "display:none" in value.replace(" ", "").lower():
             return True
     return False
 
 
+def _worded(name: str, attributes: str) -> bool:
+    """Whether a word of class or id speaks against an element."""
+    if name in WHOLE_PAGE or not attributes or attributes.isspace():
+        return False
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        if key.lower() in ("class", "id") and WORDS.intersection(_SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", entities.unescape(a or b or c)).lower())):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Node]:
     """The text blocks of a page in order, without what is never content."""
     out: list[Node] = []
-    stack: list[tuple[str, bool]] = []  # open tags; left out or not
+    stack: list[tuple[str, bool, bool]] = []  # open tags; left out or not; worded or not
     texts: list[str] = []
     linked = 0
     path_of: list[str] = []
@@ -102,14 +114,16 @@ def blocks(page: str) -> list[Node]:
         if texts:
             words = _SPACE.sub(" ", "".join(texts)).strip()
             if words:
-                tags = [t for t, _ in stack if t not in INLINE]
-                out.append(Node(words, ">".join(tags), any(t in PLAIN_ARTICLE for t in tags), linked))
+                tags = [t for t, *_ in stack if t not in INLINE]
+                worded = stack[-1][2] if stack else False
+                # the same tags with and without such words are paths of their own
+                out.append(Node(words, ("!" if worded else "") + ">".join(tags), any(t in PLAIN_ARTICLE for t in tags), worded, linked))
             texts.clear()
         linked = 0
 
     def close(k: int) -> None:
         """End the open tags from the k-th on."""
-        if any(t not in INLINE for t, _ in stack[k:]):
+        if any(t not in INLINE for t, *_ in stack[k:]):
             flush()
         del stack[k:]
 
@@ -121,7 +135,7 @@ def blocks(page: str) -> list[Node]:
         if tag > at and not (stack and stack[-1][1]):
             words = entities.unescape(page[at:tag])
             texts.append(words)
-            if any(t == "a" for t, _ in stack):
+            if any(t == "a" for t, *_ in stack):
                 linked += len(words)
         if tag == n:
             break
@@ -180,10 +194,11 @@ def blocks(page: str) -> list[Node]:
             close_at = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, end)
             at = n if not close_at else _tag_end(page, close_at.end())
             continue
-        if name == "body" and any(t == "head" for t, _ in stack):
-            close(next(k for k, (t, _) in enumerate(stack) if t == "head"))
+        if name == "body" and any(t == "head" for t, *_ in stack):
+            close(next(k for k, (t, *_) in enumerate(stack) if t == "head"))
         out_here = bool(stack and stack[-1][1]) or _never_content(name, attributes)
-        stack.append((name, out_here))
+        worded_here = bool(stack and stack[-1][2]) or _worded(name, attributes)
+        stack.append((name, out_here, worded_here))
     flush()
     return out
 
@@ -213,14 +228,23 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     for x, a, b in zip(nodes, by_length, by_marks, strict=True):
         text_share = max(0.0, 1 - links[x.path] / max(length[x.path], 1))
         value[x.path] += a * (1 + b) * text_share / count[x.path]
-    # what the page marks as its article is content, whatever its ratios
-    top = max(value.values())
-    marked = {x.path for x in nodes if x.marked}
-    for path in marked:
-        value[path] = max(value[path], top) * MARKED
-    most = max(value.values())
-    bar = threshold * (min(value[p] for p in marked) if marked else most)
-    return "\n\n".join(x.block for x in nodes if value[x.path] >= bar)
+    for path in {x.path for x in nodes if x.marked}:
+        value[path] *= MARKED
+    for path in {x.path for x in nodes if x.worded}:
+        value[path] *= WORDED
+    bar = threshold * max(value.values())
+    kept = [value[x.path] >= bar for x in nodes]
+    ahead: int | None = None  # the next block that is neither heading nor worded
+    for k in range(len(nodes) - 1, -1, -1):
+        x = nodes[k]
+        if x.worded:
+            continue
+        inside, _, tag = x.path.rpartition(">")
+        if tag not in HEADINGS:
+            ahead = k
+        elif ahead is not None and kept[ahead] and (not inside or nodes[ahead].path.startswith(inside + ">")):
+            kept[k] = True
+    return "\n\n".join(x.block for x, own in zip(nodes, kept, strict=True) if own)
 
 
 def extract(pages: DataFrame, *, html: str = "html", into: str = "text") -> DataFrame:

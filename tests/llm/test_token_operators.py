@@ -247,3 +247,21 @@ def test_main_text_of_the_pages_is_their_article(spark):
         inner = r.html.split("<article>")[1].split("</article>")[0]
         parts = [re.sub(r"\s+", " ", unescape(re.sub(r"</?b>", "", x).replace("<br>", " "))).strip() for x in re.split(r"</?(?:p|h1)>", inner)]
         assert html.main_text(r.html) == "\n\n".join(p for p in parts if p)
+
+
+def test_ratios_find_the_text_without_the_article_tags(spark):
+    import re
+
+    for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
+        assert html.main_text(re.sub("</?article>", "", r.html)) == html.main_text(r.html)
+
+
+def test_marks_and_class_words_only_weigh():
+    long = "A long sentence, with commas, and more of it. Then another one, longer still. " * 3
+    story = f"<p>{long}</p><p>{long}</p>"
+    text = f"{long.strip()}\n\n{long.strip()}"
+    # an article that is a teaser card, and the text in a div
+    assert html.main_text(f"<body><article><p>Read more here</p></article><div class='story'>{story}</div></body>") == text
+    # all the text of the page stands in an element with such a word
+    assert text in html.main_text(f"<body><div class='social-story'>{story}</div><div><p>About us</p></div></body>")
+    assert html.main_text(f"<body><div>{story}</div><div class='comments'>{story}</div></body>") == text
