@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnloom.llm import chat, decontaminate, html, lines, minhash, mixing, order, quality, tokens, topk
+from churnloom.llm import chat, decontaminate, html, lines, minhash, mixing, nearest, order, quality, spelling, tokens, topk, whiten
 from churnloom.llm.store import table
 
 
@@ -82,6 +82,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+#: of all runs, one in so many loses a code point
+DROP_EVERY = 199
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), DROP_EVERY))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +111,9 @@ QUERIES = {
         op8_chat_windows,
         op9_main_text,
         op10_line_dedup,
+        op11_nearest,
+        op12_whitening,
+        op13_spelling_variants,
     )
 }
 
