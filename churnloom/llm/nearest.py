@@ -13,7 +13,9 @@ entry, sqrt(M^2 - |x|^2) with M the chunk's largest norm, and the query a 0 ther
 3. A vector at distance R is in a window with probability 2 * Phi(WIDTH) - 1, so it reaches the threshold
    at radius R with probability 1 - MISS at least; nearer ones more surely. Once R is the distance of the k-th best
    verified vector, no other vector can be nearer but with probability MISS, and the chunk is done.
-   Later chunks of a task start from the best found so far, so their windows end sooner.
+4. One chunk, a sample of SAMPLE_ENTRIES entries at most, is searched first, from small windows on. The k-th best score
+   found there is a floor for each query: in all other chunks the windows open at the floor's distance at
+   once, and later chunks of a task start from the best found so far.
 
 Queries are cut into blocks of bounded size; a block is broadcast, meets all vectors where they lie, and its
 partial lists are stored before the next block is read. Vectors are never shuffled. Each task gives at most k
@@ -36,6 +38,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +55,7 @@ FINER = 1.25
 #: entries of one chunk of vectors, and of one block of queries
 CHUNK_ENTRIES = 1 << 19
 BLOCK_ENTRIES = 1 << 22
+SAMPLE_ENTRIES = 1 << 19
 
 RESULT = "query_id bigint, vec_id bigint, score double"
 
@@ -149,17 +153,18 @@ class Chunk:
 
 
 class Best:
-    """The k best of every query of a block, over all chunks of a task."""
+    """The k best of every query of a block, over all chunks of a task; ``floors`` are scores that k others reach."""
 
-    def __init__(self, names: np.ndarray, vectors: np.ndarray, k: int):
+    def __init__(self, names: np.ndarray, vectors: np.ndarray, k: int, floors: np.ndarray | None = None):
         self.names, self.vectors, self.k = names, vectors, k
+        self.floors = np.full(len(names), -np.inf) if floors is None else floors
         self.ids: list[np.ndarray] = [np.empty(0, np.int64)] * len(names)
         self.scores: list[np.ndarray] = [np.empty(0)] * len(names)
 
     def add(self, chunk: Chunk) -> None:
         for i, (name, q) in enumerate(zip(self.names.tolist(), self.vectors, strict=True)):
-            full = len(self.scores[i]) == self.k
-            ids, scores = chunk.search(name, q, self.k, self.scores[i][-1] if full else -np.inf)
+            own = self.scores[i][-1] if len(self.scores[i]) == self.k else -np.inf
+            ids, scores = chunk.search(name, q, self.k, max(own, self.floors[i]))
             ids, scores = np.concatenate([self.ids[i], ids]), np.concatenate([self.scores[i], scores])
             top = np.lexsort((ids, -scores))[: self.k]
             self.ids[i], self.scores[i] = ids[top], scores[top]
@@ -178,7 +183,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[Chunk]:
         for k in range(0, batch.num_rows, size):
             part = batch.slice(k, size)
             ids.append(part.column("vec_id").to_numpy())
-            vectors.append(np.asarray(part.column("v").flatten()).reshape(-1, dim))
+            vectors.append(_entries(part.column("v"), dim))
             held += part.num_rows
             if held >= size:
                 yield Chunk(np.concatenate(ids), np.concatenate(vectors))
@@ -201,30 +206,61 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, vec_id: str =
     ``is_query`` is a condition on the column ``vec_id`` (a bigint).
     """
     spark = vectors.sparkSession
-    own = stored(taking_part(vectors, vec_id, embedding), "vectors")
+    numbered = taking_part(vectors, vec_id, embedding).withColumn("draw", F.xxhash64(F.monotonically_increasing_id()))
+    own = stored(numbered, "vectors")
     asked = own.where(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "dim")).alias("q")).select("vec_id", "q.*")
     sizes = asked.groupBy("dim").agg(F.count("*").alias("n"))
     parts = sizes.select("dim", F.ceil(F.col("n") * F.col("dim") / BLOCK_ENTRIES).cast("int").alias("parts"))
     block = F.pmod(F.xxhash64("vec_id"), F.col("parts").cast("bigint")).cast("int")
-    queries = stored(asked.join(parts, "dim").withColumn("block", block).repartition("dim", "block"), "queries")
+    queries = stored(asked.join(parts, "dim").withColumn("block", block), "queries")
     out = spark.createDataFrame([], RESULT)
-    for row in queries.select("dim", "block").distinct().orderBy("dim", "block").collect():
-        mine = queries.where((F.col("dim") == row.dim) & (F.col("block") == row.block)).select("vec_id", "v").toArrow()
-        names, flat = mine.column("vec_id").to_numpy(), mine.column("v").combine_chunks().flatten().to_numpy()
-        sent = spark.sparkContext.broadcast((names, flat.reshape(-1, row.dim)))
-        out = out.unionByName(_against(own, row.dim, sent, k))
-        sent.unpersist()
+    blocks = queries.select("dim", "block").distinct().orderBy("dim", "block").collect()
+    for dim in sorted({b.dim for b in blocks}):
+        alike = own.where(F.col("dim") == dim)
+        drawn = alike.orderBy("draw").limit(max(1, SAMPLE_ENTRIES // dim)).toArrow()
+        last = pc.max(drawn["draw"]).as_py()
+        sample = spark.sparkContext.broadcast((drawn["vec_id"].to_numpy(), _entries(drawn["v"], dim)))
+        for b in blocks:
+            if b.dim == dim:
+                mine = queries.where((F.col("dim") == dim) & (F.col("block") == b.block)).select("vec_id", "v")
+                near = _in_sample(mine, dim, sample, k)
+                out = out.unionByName(near).unionByName(_in_the_rest(alike.where(F.col("draw") > last), dim, mine, near, k))
+        sample.unpersist()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _against(own: DataFrame, dim: int, queries, k: int) -> DataFrame:
-    """Stored partial lists of one block of queries against all vectors of its length."""
+def _entries(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([np.asarray(c.flatten()) for c in chunks] or [np.empty(0)]).reshape(-1, dim)
+
+
+def _in_sample(mine: DataFrame, dim: int, sample, k: int) -> DataFrame:
+    """Stored neighbours of a block of queries in the sampled chunk; the queries are dealt over the tasks."""
+
+    def run(batches):
+        chunk = Chunk(*sample.value)
+        for batch in batches:
+            best = Best(batch.column("vec_id").to_numpy(), _entries(batch.column("v"), dim), k)
+            best.add(chunk)
+            yield best.batch()
+
+    tasks = mine.sparkSession.sparkContext.defaultParallelism
+    return stored(mine.repartition(tasks).mapInArrow(run, RESULT), "sample")
+
+
+def _in_the_rest(rest: DataFrame, dim: int, mine: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """Stored partial lists of a block of queries against all vectors that are not in the sample."""
+    floors = near.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("floor"))
+    asked = mine.join(floors, mine["vec_id"] == floors["query_id"], "left").select("vec_id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")).toArrow()
+    sent = mine.sparkSession.sparkContext.broadcast((asked["vec_id"].to_numpy(), _entries(asked["v"], dim), k, asked["floor"].to_numpy()))
 
     def run(batches):
-        best = Best(*queries.value, k)
+        best = Best(*sent.value)
         for chunk in _chunks(batches, dim):
             best.add(chunk)
         yield best.batch()
 
-    return stored(own.where(F.col("dim") == dim).select("vec_id", "v").mapInArrow(run, RESULT), "partial")
+    found = stored(rest.select("vec_id", "v").mapInArrow(run, RESULT), "partial")
+    sent.unpersist()
+    return found
