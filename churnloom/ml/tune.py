@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassifier
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import (
+    DecisionTreeClassifier,
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassifier,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -18,11 +29,14 @@ from pyspark.storagelevel import StorageLevel
 from churnloom.functions.scalars import class_one_score
 from churnloom.ml.metrics import stack_models
 from churnloom.ml.stages import SHORT_NAMES, SPOT_CHECK, WITH_PROBABILITY, classifier, param_maps, preparation
+from churnloom.ml.trees import TREE_MODELS, fully_grown, prefix
 from churnloom.operators.split import class_ranks
 from churnloom.schema import KEY
 
-PARALLELISM = 4
+PARALLELISM = 8
 KEEP = StorageLevel.MEMORY_AND_DISK
+#: a kept table has at most one partition for so many rows: fits of small tables are all task overhead otherwise
+ROWS_PER_PARTITION = 20_000
 
 
 @dataclass
@@ -37,6 +51,19 @@ class Search:
     def best_params(self) -> dict[str, object]:
         return _named(self.maps[self.scores.index(max(self.scores))])
 
+    def fitted_params(self) -> dict[str, object]:
+        """The grid's parameters as the refitted model holds them."""
+        model = self.best.stages[-1]
+        return {name: model.getOrDefault(name) for name in self.best_params}
+
+    def chosen(self, like: DataFrame) -> DataFrame:
+        """The best point: parameter, value, score, and the number of points that score higher."""
+        grid = self.table(like)
+        best = grid.where(F.col("point") == self.scores.index(max(self.scores)))
+        above = grid.groupBy("point").agg(F.first("score").alias("other"))
+        higher = best.join(above, F.col("other") > F.col("score"), "left").groupBy("parameter", "value", best["score"])
+        return higher.agg(F.count("other").alias("higher"))
+
     def table(self, like: DataFrame) -> DataFrame:
         """Grid points and their scores, long form (one row per point and parameter)."""
         rows = [
@@ -54,10 +81,26 @@ def with_folds(df: DataFrame, folds: int = 5, by: str = "churn", key: str = KEY)
 
 @dataclass
 class PreparedFolds:
-    """Training rows with their fold, and (rows to fit on, held-out rows) of each fold, prepared and kept."""
+    """Training rows with their fold and unscaled inputs, kept once, and the scale of "all but this fold" for each fold."""
+
+    train: DataFrame
+    kept: DataFrame
+    folds: int
+    scaler: StandardScaler
+    after: list[Transformer]
+    scales: list[list[tuple[float, float]]]
+
+    def pair(self, fold: int) -> tuple[DataFrame, DataFrame]:
+        """(rows to fit on, held-out rows) of a fold, both scaled as the rows to fit on are."""
+        entries = [(F.col(_CONT)[i] - mean) * scale for i, (mean, scale) in enumerate(self.scales[fold])]
+        rows = self.kept.withColumn(self.scaler.getOutputCol(), array_to_vector(F.array(*entries)))
+        for stage in self.after:
+            rows = stage.transform(rows)
+        rows = rows.drop(_CONT)
+        return rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
 
-    dealt: DataFrame
-    ready: list[tuple[DataFrame, DataFrame]]
+
+_CONT = "_unscaled"
 
 
 @contextmanager
@@ -68,30 +111,52 @@ def prepared_folds(
     by: str = "churn",
     key: str = KEY,
     partitions: int | None = None,
-    parallelism: int = PARALLELISM,
 ) -> Iterator[PreparedFolds]:
-    """The preparation fitted on each fold's training rows, for any number of searches.
-
-    Tables are kept in memory or on disk until the block ends, however it ends. ``partitions`` sets
-    how many partitions the kept rows have; without it they have those of ``train``'s own plan. (Tree
-    models depend on the partitioning of their input.)
-    """
-    dealt = with_folds(train, folds, by, key)
-    dealt = (dealt.coalesce(partitions) if partitions else dealt).persist(KEEP)
-    kept = [dealt]
+    """The preparation of every fold from one kept table, for any number of searches.
 
-    def prepared(fold: int) -> tuple[DataFrame, DataFrame]:
-        inner = dealt.where(F.col("fold") != fold)
-        stages = prepare.fit(inner)
-        pair = stages.transform(inner).persist(KEEP), stages.transform(dealt.where(F.col("fold") == fold)).persist(KEEP)
-        kept.extend(pair)
-        return pair
+    Only scaling depends on which rows are left out. Count, mean and squared deviations of each fold come from one
+    aggregation; those of "all but fold k" are the other folds' put together, and scaling is an expression over the kept
+    table. Labels are indexed over all training rows.
 
+    The table is kept in memory or on disk until the block ends, however it ends. ``partitions`` sets
+    how many partitions the kept rows have at most; without it they have those of ``train``'s own plan, but one for
+    ROWS_PER_PARTITION rows at most. (Tree models depend on the partitioning of their input.)
+    """
+    stages = prepare.getStages()
+    at = next(k for k, stage in enumerate(stages) if isinstance(stage, StandardScaler))
+    scaler = stages[at]
+    unscaled = Pipeline(stages=stages[:at]).fit(train).transform(with_folds(train, folds, by, key))
+    unscaled = unscaled.withColumn(_CONT, vector_to_array(scaler.getInputCol()))
+    kept = unscaled.coalesce(partitions or math.ceil(train.count() / ROWS_PER_PARTITION) or 1).persist(KEEP)
     try:
-        yield PreparedFolds(dealt, _in_parallel(prepared, range(folds), parallelism))
+        yield PreparedFolds(train, kept, folds, scaler, stages[at + 1 :], _scales(kept, folds))
     finally:
-        for table in kept:
-            table.unpersist()
+        kept.unpersist()
+
+
+def _scales(kept: DataFrame, folds: int) -> list[list[tuple[float, float]]]:
+    """For each fold, (mean, 1 / sample deviation) of every input over the other folds; 0 for an input that does not vary."""
+    first = kept.select(F.size(_CONT)).first()
+    width = first[0] if first else 0
+    columns = [f(F.col(_CONT)[i]) for i in range(width) for f in (F.avg, F.var_pop)]
+    moments = {r[0]: (r[1], r[2::2], r[3::2]) for r in kept.groupBy("fold").agg(F.count(F.lit(1)), *columns).collect()}
+    out = []
+    for fold in range(folds):
+        others = [m for k, m in sorted(moments.items()) if k != fold]
+        out.append([_scale([(n, means[i], variances[i]) for n, means, variances in others]) for i in range(width)])
+    return out
+
+
+def _scale(parts: list[tuple[int, float, float]]) -> tuple[float, float]:
+    """(mean, 1 / sample deviation) of several groups, each given as (n, mean, variance)."""
+    total, mean, squares = 0, 0.0, 0.0
+    for n, m, v in parts:
+        shift = m - mean
+        squares += n * v + shift * shift * n * total / (n + total)
+        mean += shift * n / (n + total)
+        total += n
+    deviation = math.sqrt(squares / (total - 1)) if total > 1 else 0.0
+    return mean, 1 / deviation if deviation else 0.0
 
 
 def grid_search(
@@ -108,10 +173,10 @@ def grid_search(
 ) -> Search:
     """Grid search by cross validation on the exact area under the ROC curve.
 
-    The preparation is fitted once per fold, on the fold's training rows, and shared by all grid
+    The preparation of all folds comes from one kept table and is shared by all grid
     points. Fits of all folds and points run ``parallelism`` at a time.
     """
-    with prepared_folds(prepare, train, folds, by, key, partitions, parallelism) as data:
+    with prepared_folds(prepare, train, folds, by, key, partitions) as data:
         return search_folds(data, prepare, estimator, axes, parallelism, label)
 
 
@@ -120,31 +185,40 @@ def search_folds(
 ) -> Search:
     """Grid search over folds that are prepared already.
 
-    Every point of the grid is scored. Points whose fits are equal by construction share one: those
-    that differ only in a step size the solver does not use, and, for a logistic regression that
-    has converged within its iteration limit, those with a higher limit.
+    Every point of the grid is scored. Points whose fits are equal by construction share one:
+
+    * those that differ only in a step size the solver does not use;
+    * for a logistic regression that has converged within its iteration limit, those with a higher limit;
+    * for boosted trees, those that differ in the number of steps: the first trees of the longest
+      ensemble are the shorter one;
+    * for trees that are fully grown within their depth limit, those with a higher limit.
     """
     maps = param_maps(estimator, axes)
     score = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=estimator.getRawPredictionCol(), numBins=0)
-    unused = {"stepSize"} if isinstance(estimator, MultilayerPerceptronClassifier) and estimator.getSolver() == "l-bfgs" else set()
     totals = [0.0] * len(maps)
 
     def areas(at: tuple[int, list[int]]) -> dict[int, float]:
-        (fit_on, check_on), out, model, limit = data.ready[at[0]], {}, None, None
-        for k in at[1]:
-            mine = _named(maps[k]).get("maxIter")
-            if model is None or mine != limit and not _converged(model):
-                model, limit = estimator.fit(fit_on, maps[k]), mine
-                value = score.evaluate(model.transform(check_on))
-            out[k] = value
+        (fit_on, check_on), out = data.pair(at[0]), {}
+        model, limit, known = None, None, {}
+        for level in _levels(estimator, maps, at[1]):
+            longest = level[-1]
+            mine = _named(maps[longest])
+            if model is None or not _same_when_raised(model, limit, mine):
+                model, limit, known = estimator.fit(fit_on, maps[longest]), mine, {}
+            for k in level:
+                steps = _named(maps[k]).get("maxIter")
+                if steps not in known:
+                    shorter = prefix(model, steps) if isinstance(model, GBTClassificationModel) else model
+                    known[steps] = score.evaluate(shorter.transform(check_on))
+                out[k] = known[steps]
         return out
 
-    tasks = [(fold, group) for fold in range(len(data.ready)) for group in _by_iterations(maps, unused)]
+    tasks = [(fold, group) for fold in range(data.folds) for group in _alike(estimator, maps)]
     for found in _in_parallel(areas, tasks, parallelism):
         for k, value in found.items():
             totals[k] += value
-    scores = [total / len(data.ready) for total in totals]
-    best = fit_prepared(prepare, {"best": estimator.copy(maps[scores.index(max(scores))])}, data.dealt.drop("fold"), parallelism)
+    scores = [total / data.folds for total in totals]
+    best = fit_prepared(prepare, {"best": estimator.copy(maps[scores.index(max(scores))])}, data.train, parallelism)
     return Search(maps, scores, best)
 
 
@@ -181,7 +255,7 @@ def spot_check(
     """
     found: dict[str, Search] = {}
     tables = {}
-    prepare, parallelism = preparation(inputs), search.get("parallelism", PARALLELISM)
+    prepare, parallelism = preparation(inputs), search.pop("parallelism", PARALLELISM)
     with prepared_folds(prepare, train, **search) as data:
         for name in names:
             found[name] = search_folds(data, prepare, classifier(name, inputs), grids[name], parallelism)
@@ -199,21 +273,47 @@ def scored(predictions: DataFrame, name: str, key: str = KEY) -> DataFrame:
     return predictions.select(key, "label", "prediction", class_one_score(vector).alias("score"))
 
 
-def _by_iterations(maps: list[dict], unused: set[str]) -> list[list[int]]:
-    """Indices of maps that agree in all but ``maxIter`` and unused parameters, lowest limit first."""
-    groups: dict[tuple, list[int]] = {}
-    for k, m in enumerate(maps):
-        groups.setdefault(tuple(sorted((n, v) for n, v in _named(m).items() if n not in {"maxIter", *unused})), []).append(k)
-    return [sorted(g, key=lambda k: _named(maps[k]).get("maxIter", 0)) for g in groups.values()]
+def _limits(estimator: Estimator) -> tuple[str, ...]:
+    """Parameters that only end a fit: raising them may leave it as it is."""
+    return {
+        LogisticRegression: ("maxIter",),
+        DecisionTreeClassifier: ("maxDepth",),
+        RandomForestClassifier: ("maxDepth",),
+        GBTClassifier: ("maxDepth", "maxIter"),
+    }.get(type(estimator), ())
 
 
-def _converged(model: Model | None) -> bool:
-    """Whether a logistic regression stopped before its iteration limit."""
-    return (
-        isinstance(model, LogisticRegressionModel)
-        and model.hasSummary
-        and model.summary.totalIterations < model.getMaxIter()
-    )
+def _unused(estimator: Estimator) -> set[str]:
+    return {"stepSize"} if isinstance(estimator, MultilayerPerceptronClassifier) and estimator.getSolver() == "l-bfgs" else set()
+
+
+def _alike(estimator: Estimator, maps: list[dict]) -> list[list[int]]:
+    """Indices of maps that agree in all but limits and unused parameters."""
+    apart = {*_limits(estimator), *_unused(estimator)}
+    groups: dict[tuple, list[int]] = {}
+    for k, m in enumerate(maps):
+        groups.setdefault(tuple(sorted((n, v) for n, v in _named(m).items() if n not in apart)), []).append(k)
+    return list(groups.values())
+
+
+def _levels(estimator: Estimator, maps: list[dict], group: list[int]) -> list[list[int]]:
+    """Maps of a group that one fit may serve, the one to fit last; levels from the lowest limit up."""
+    shared = "maxIter" if isinstance(estimator, GBTClassifier) else None
+    names = [n for n in _limits(estimator) if n != shared]
+    levels: dict[tuple, list[int]] = {}
+    for k in group:
+        levels.setdefault(tuple(_named(maps[k]).get(n, 0) for n in names), []).append(k)
+    return [sorted(levels[v], key=lambda k: _named(maps[k]).get(shared, 0)) for v in sorted(levels)]
+
+
+def _same_when_raised(model: Model, limit: dict, mine: dict) -> bool:
+    """Whether a fit that ended within ``limit`` is also the fit for the higher limits ``mine``."""
+    if isinstance(model, LogisticRegressionModel):
+        same = limit.get("maxIter") == mine.get("maxIter")
+        return same or model.hasSummary and model.summary.totalIterations < model.getMaxIter()
+    if isinstance(model, TREE_MODELS):
+        return limit.get("maxDepth") == mine.get("maxDepth") or fully_grown(model, limit["maxDepth"])
+    return True
 
 
 def _in_parallel(task, items: Sequence, parallelism: int) -> list:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, meta_features, stack_and_score
-from churnloom.ml.stages import SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, preparation
+from churnloom.ml.stages import META_GRID, SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, preparation
 from churnloom.ml.tune import spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, TRAIN_TEST, parts, stratified_split
 from churnloom.queries.common import split_cte, sql_features, sql_features_v1, stored_features, tidy, v1_features
@@ -124,11 +126,31 @@ def _models_checked(spark, sf_dir):
     return tidy(_checked(_all_models(spark, sf_dir), "model", "split"))
 
 
+def once_per_session(run):
+    """Outcome of ``run(spark, sf_dir, name)``, worked out by the first row that asks for it.
+
+    Report, grid, check and best-point rows of a model describe one training run. Kept are the grid with its scores,
+    the fitted model, and a stored table of scored rows.
+    """
+    kept = {}
+
+    def found(spark, sf_dir, name):
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in kept:
+            search, predictions = run(spark, sf_dir, name)
+            kept[key] = search, cut_lineage(predictions, "scored")
+        return kept[key]
+
+    return found
+
+
+@once_per_session
 def _tuned_v1(spark, sf_dir, name):
     made = _train_test(spark, sf_dir, lambda s, d: cut_lineage(v1_features(s, d), "features"))
     return tune(name, TUNE_V1_SAMPLE[name], made["train"], made["test"], "v1")
 
 
+@once_per_session
 def _tuned_v2(spark, sf_dir, name):
     made = _train_test(spark, sf_dir)
     return tune(name, TUNE_V2_SAMPLE[name], made["train"], made["test"])
@@ -151,7 +173,7 @@ def _tuned_grid(run, name):
 
 
 def _grid_checked(run, name):
-    """Every grid point and parameter, whether its score is an area, and whether it is the best one's."""
+    """How many points of the grid have each value of a parameter, and how many of their scores are no areas."""
 
     def query(spark, sf_dir):
         found, predictions = run(spark, sf_dir, name)
@@ -161,6 +183,37 @@ def _grid_checked(run, name):
     return query
 
 
+def _tuned_best(run, name):
+    """The chosen point of the grid: its parameters, its mean score, and how many points score higher."""
+
+    def query(spark, sf_dir):
+        found, predictions = run(spark, sf_dir, name)
+        return tidy(found.chosen(predictions))
+
+    return query
+
+
+def _best_checked(run, name):
+    """Per chosen parameter: whether the grid has its value, and whether another point beats the chosen one."""
+
+    def query(spark, sf_dir):
+        found, predictions = run(spark, sf_dir, name)
+        grid, best = found.table(predictions), found.chosen(predictions)
+        listed = grid.select("parameter", "value").distinct().withColumn("listed", F.lit(1))
+        fitted = spark.createDataFrame([(n, float(v)) for n, v in found.fitted_params().items()], "parameter string, fitted double")
+        joined = best.join(listed, ["parameter", "value"], "left").join(fitted, "parameter", "left")
+        return tidy(
+            joined.select(
+                "parameter",
+                F.coalesce("listed", F.lit(0)).alias("listed"),
+                F.col("higher").cast("bigint").alias("higher"),
+                F.coalesce(F.col("fitted") == F.col("value"), F.lit(False)).alias("fitted"),
+            )
+        )
+
+    return query
+
+
 def _three_ways(spark, sf_dir):
     split = cut_lineage(stratified_split(stored_features(spark, sf_dir), THREE_WAY_SAMPLE), "split")
     return parts(split, list(THREE_WAY_SAMPLE))
@@ -178,12 +231,17 @@ def _meta_features(spark, sf_dir):
     return tidy(table.select(KEY, "label", *[c for c in table.columns if c.startswith("pred_")], *[vector_to_array(c)[1].alias(c) for c in vectors]))
 
 
-def _stacked_run(spark, sf_dir, name="meta"):
+@once_per_session
+def _stacked_search(spark, sf_dir, name):
     made = _three_ways(spark, sf_dir)
     _, found, predictions = stack_and_score(made["train"], made["validation"], made["test"])
     return found, predictions.withColumnsRenamed({"meta_label": "label", "meta_prediction": "prediction"})
 
 
+def _stacked_run(spark, sf_dir, name="meta"):
+    return _stacked_search(spark, sf_dir, name)
+
+
 def _stacked(spark, sf_dir):
     _, predictions = _stacked_run(spark, sf_dir)
     return tidy(predictions.withColumnsRenamed({"label": "meta_label", "prediction": "meta_prediction"}))
@@ -206,6 +264,8 @@ def _base_checked(spark, sf_dir):
     return tidy(rows.groupBy("model", "label").agg(F.count(F.lit(1)).alias("n"), bad.alias("bad_predictions")))
 
 
+_KINDS = {"report": _tuned_report, "grid": _tuned_grid, "checked": _grid_checked, "best": _tuned_best, "best_checked": _best_checked}
+
 QUERIES = {
     # inputs
     "label_index": _inputs("v2", lambda p: p.select(KEY, "churn", "label")),
@@ -229,7 +289,12 @@ QUERIES = {
     **{f"spot_check_{name}": _spot_check(name) for name in SHORT_NAMES},
     "models_compared": _models_compared,
     "models_checked": _models_checked,
-    **{f"tuned_v1_{name}_report": _tuned_report(_tuned_v1, name) for name in TUNE_V1_SAMPLE if name != "lr"},
+    **{f"tuned_v1_{name}_{kind}": make(_tuned_v1, name) for name in TUNE_V1_SAMPLE if name != "lr" for kind, make in _KINDS.items()},
+    **{f"tuned_{name}_{kind}": _KINDS[kind](_tuned_v2, name) for name in ("mlpc", "gbt") for kind in ("best", "best_checked")},
+    **{f"tuned_lr_{kind}": _KINDS[kind](_tuned_v1, "lr") for kind in ("best", "best_checked")},
+    "tuned_gbt_checked": _grid_checked(_tuned_v2, "gbt"),
+    "stacked_best": _tuned_best(_stacked_run, "meta"),
+    "stacked_best_checked": _best_checked(_stacked_run, "meta"),
     "tuned_lr_report": _tuned_report(_tuned_v1, "lr"),
     "tuned_lr_grid": _tuned_grid(_tuned_v1, "lr"),
     "tuned_lr_checked": _grid_checked(_tuned_v1, "lr"),
@@ -316,8 +381,20 @@ def _metric_sql(select):
     return sql_features(select, _SCORED)
 
 
+def _grid_sql(axes):
+    """What ``checked`` gives for a whole grid: every axis meets all values of the others."""
+    size = math.prod(len(values) for values in axes.values())
+    return _points_sql(*[(name, size // len(values), values) for name, values in axes.items()])
+
+
+def _best_sql(axes):
+    """One row per parameter of the grid: a listed value, the one of the fitted model, and no point that scores higher."""
+    rows = ", ".join(f"('{name}')" for name in axes)
+    return f"SELECT parameter, 1 AS listed, CAST(0 AS BIGINT) AS higher, true AS fitted FROM (VALUES {rows}) g(parameter)"
+
+
 def _points_sql(*lines):
-    """Rows of (parameter, value, points); every axis meets all values of the others."""
+    """Rows of (parameter, value, points)."""
     rows = ", ".join(f"('{p}', CAST({v} AS DOUBLE), CAST({n} AS BIGINT))" for p, n, values in lines for v in values)
     return f"SELECT parameter, value, points, CAST(0 AS BIGINT) AS bad_scores FROM (VALUES {rows}) g(parameter, value, points)"
 
@@ -378,7 +455,12 @@ ORACLES = {
         split_cte(THREE_WAY_SAMPLE),
     ),
     "stacked_checked": sql_features(f"SELECT {_LABELS}, {_ZEROS} FROM split WHERE split = 'test' GROUP BY churn", split_cte(THREE_WAY_SAMPLE)),
-    "tuned_lr_checked": _points_sql(("regParam", 2, (0.1, 0.5, 2.0)), ("elasticNetParam", 3, (0.1, 1.0))),
-    "tuned_mlpc_checked": _points_sql(("maxIter", 2, (50, 100)), ("blockSize", 2, (16, 32)), ("stepSize", 4, (0.5,))),
-    "stacked_grid_checked": _points_sql(("regParam", 9, (0.0, 0.01, 0.1)), ("elasticNetParam", 9, (0.0, 0.01, 0.1)), ("maxIter", 9, (50, 100, 200))),
+    "tuned_lr_checked": _grid_sql(TUNE_V1_SAMPLE["lr"]),
+    **{f"tuned_v1_{name}_checked": _grid_sql(axes) for name, axes in TUNE_V1_SAMPLE.items() if name != "lr"},
+    **{f"tuned_{name}_checked": _grid_sql(axes) for name, axes in TUNE_V2_SAMPLE.items()},
+    "stacked_grid_checked": _grid_sql(META_GRID),
+    "tuned_lr_best_checked": _best_sql(TUNE_V1_SAMPLE["lr"]),
+    **{f"tuned_v1_{name}_best_checked": _best_sql(axes) for name, axes in TUNE_V1_SAMPLE.items() if name != "lr"},
+    **{f"tuned_{name}_best_checked": _best_sql(axes) for name, axes in TUNE_V2_SAMPLE.items()},
+    "stacked_best_checked": _best_sql(META_GRID),
 }

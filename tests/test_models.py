@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, stack_and_score
 from churnloom.ml.stages import TUNE_V1_FULL, TUNE_V1_SAMPLE, TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
-from churnloom.ml.tune import grid_search, scored, spot_check, tune, with_folds
+from churnloom.ml.trees import prefix
+from churnloom.ml.tune import grid_search, prepared_folds, scored, spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, parts, stratified_split
 
 
@@ -125,6 +126,67 @@ def test_shared_fits_score_as_separate_ones(train_test):
     assert together == pytest.approx(apart)
 
 
+def _separate_scores(train, estimator, axes, folds):
+    """Mean area of every point, each fold prepared and fitted apart."""
+    dealt = with_folds(train, folds).coalesce(1).persist()
+    out = []
+    for m in param_maps(estimator, axes):
+        areas = []
+        for k in range(folds):
+            inner = dealt.where(F.col("fold") != k)
+            stages = preparation().fit(inner)
+            model = estimator.fit(stages.transform(inner), m)
+            areas.append(M.evaluator_area(model.transform(stages.transform(dealt.where(F.col("fold") == k))), "areaUnderROC"))
+        out.append(sum(areas) / folds)
+    dealt.unpersist()
+    return out
+
+
+@pytest.mark.parametrize(
+    ("name", "axes"),
+    [
+        ("lr", {"regParam": [0.1, 0.5], "maxIter": [3, 40]}),
+        ("dt", {"maxDepth": [2, 5, 15]}),
+        ("gbt", {"maxDepth": [2, 12, 15], "maxIter": [2, 4], "stepSize": [0.1]}),
+    ],
+)
+def test_searches_score_as_separate_fits(train_test, name, axes):
+    estimator = classifier(name)
+    found = grid_search(preparation(), estimator, axes, train_test["train"], folds=2)
+    assert found.scores == pytest.approx(_separate_scores(train_test["train"], estimator, axes, 2), abs=1e-12)
+
+
+def test_one_table_is_kept_for_all_folds(spark, train_test):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with prepared_folds(preparation(), train_test["train"], 5) as data:
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == before + 1
+        for k in range(5):
+            fit_on, check_on = data.pair(k)
+            want = preparation().fit(fit_on.select(train_test["train"].columns))
+            got = {r[0]: r[1].toArray() for r in check_on.select("userId", "features").collect()}
+            for r in want.transform(check_on.select(train_test["train"].columns)).select("userId", "features").collect():
+                assert np.abs(got[r[0]] - r[1].toArray()).max() < 1e-12
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_prefix_of_an_ensemble_is_its_own_fit(train_test):
+    rows = preparation().fit(train_test["train"]).transform(train_test["train"]).coalesce(1).persist()
+    long = classifier("gbt").setMaxIter(7).fit(rows)
+    for steps in (1, 4, 7):
+        own, part = classifier("gbt").setMaxIter(steps).fit(rows), prefix(long, steps)
+        a, b = ([tuple(r) for r in m.transform(rows).select("userId", "rawPrediction", "probability", "prediction").orderBy("userId").collect()] for m in (own, part))
+        assert a == b
+    rows.unpersist()
+
+
+def test_chosen_point_is_the_best_one(train_test):
+    found, predictions = tune("dt", {"maxDepth": [1, 3], "maxBins": [8, 16]}, **train_test, folds=2)
+    best = {r.parameter: r for r in found.chosen(predictions).collect()}
+    assert {n: r.value for n, r in best.items()} == {n: float(v) for n, v in found.best_params.items()}
+    assert all(r.higher == 0 and r.score == max(found.scores) for r in best.values())
+    assert found.fitted_params() == found.best_params
+
+
 def test_spot_check_scores_both_splits(train_test):
     _, table = spot_check(**train_test, names=["dt", "rf"], folds=2)
     sizes = {(r.model, r.split): r["count"] for r in table.groupBy("model", "split").count().collect()}
