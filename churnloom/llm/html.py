@@ -6,13 +6,20 @@ and punctuation / blocks of a path, laid out over the blocks in page order, are
 their neighbours and fused (multiplied); a path's value is the mean over its blocks. The page's own
 markup only weighs: a path inside <article> or <main> counts ``MARKED`` times, one inside an
 element whose class or id has a word such as "ad" or "comments" ``WORDED`` times; links weigh against a path.
-Paths whose value reaches ``THRESHOLD`` of the largest are content, and all their blocks are the
-text. A heading goes with the content it stands before in the same element.
+Paths whose value reaches ``THRESHOLD`` of the largest are content. A heading goes with the content it stands before
+in the same element.
+
+The container of the content is the deepest element that holds ``MOST`` of its text. Inside it, no block is lost
+for being short: list items, table cells, quotes, captions and headings stay wherever they stand, but for those that a
+class word speaks against and, outside <article> and <main>, those that are mostly links. The page as a whole
+(<html>, <body>) is no container; there the paths alone decide.
 
 Elements that are never main text by tag, role or as hidden (scripts, styles, menus, headers, footers,
-asides, forms) are left out before.
+asides, forms) are left out before; the <header> of an <article> belongs to it. Of the classes of an <article>, only
+those that name reader comments count.
 
-A null or empty page has an empty text. Each page is handled by itself, whole, in its own task.
+A null or empty page has an empty text, an empty table no rows; repeated rows are extracted one by one. Other columns
+stay as they are, but one with the name of the new column is replaced. Each page is handled by itself, whole, in its own task.
 """
 
 from __future__ import annotations
@@ -30,6 +37,7 @@ from pyspark.sql import types as T
 THRESHOLD = 0.25
 MARKED = 2.0
 WORDED = 0.1
+MOST = 0.9
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea noscript iframe noembed noframes xmp template".split())
@@ -38,6 +46,7 @@ LEFT_OUT = set(
     "script style title textarea noscript iframe noembed noframes xmp template head nav header footer aside form button select option fieldset dialog menu svg canvas object audio video math map".split()
 )
 ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar status".split())
+COMMENTS = set("comment comments commentlist disqus respond reply replies".split())
 WORDS = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay "
     "sidebar aside nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager header masthead footer copyright comment comments commentlist disqus respond reply replies "
@@ -66,6 +75,7 @@ class Node:
     marked: bool
     worded: bool
     linked: int
+    inside: tuple[tuple[int, str], ...]  # the elements around it: number, tag
 
 
 def _tag_end(page: str, at: int) -> int:
@@ -95,8 +105,9 @@ def _worded(name: str, attributes: str) -> bool:
     """Whether a word of class or id speaks against an element."""
     if name in WHOLE_PAGE or not attributes or attributes.isspace():
         return False
+    against = COMMENTS if name == "article" else WORDS
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
-        if key.lower() in ("class", "id") and WORDS.intersection(_SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", entities.unescape(a or b or c)).lower())):
+        if key.lower() in ("class", "id") and against.intersection(_SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", entities.unescape(a or b or c)).lower())):
             return True
     return False
 
@@ -104,7 +115,8 @@ def _worded(name: str, attributes: str) -> bool:
 def blocks(page: str) -> list[Node]:
     """The text blocks of a page in order, without what is never content."""
     out: list[Node] = []
-    stack: list[tuple[str, bool, bool]] = []  # open tags; left out or not; worded or not
+    stack: list[tuple[str, bool, bool, int]] = []  # open tags; left out or not; worded or not; number
+    opened = 0
     texts: list[str] = []
     linked = 0
     path_of: list[str] = []
@@ -117,7 +129,7 @@ def blocks(page: str) -> list[Node]:
                 tags = [t for t, *_ in stack if t not in INLINE]
                 worded = stack[-1][2] if stack else False
                 # the same tags with and without such words are paths of their own
-                out.append(Node(words, ("!" if worded else "") + ">".join(tags), any(t in PLAIN_ARTICLE for t in tags), worded, linked))
+                out.append(Node(words, ("!" if worded else "") + ">".join(tags), any(t in PLAIN_ARTICLE for t in tags), worded, linked, tuple((k, t) for t, _, _, k in stack if t not in INLINE)))
             texts.clear()
         linked = 0
 
@@ -196,9 +208,11 @@ def blocks(page: str) -> list[Node]:
             continue
         if name == "body" and any(t == "head" for t, *_ in stack):
             close(next(k for k, (t, *_) in enumerate(stack) if t == "head"))
-        out_here = bool(stack and stack[-1][1]) or _never_content(name, attributes)
+        own_header = name == "header" and any(t == "article" for t, *_ in stack)
+        out_here = bool(stack and stack[-1][1]) or _never_content("div" if own_header else name, attributes)
         worded_here = bool(stack and stack[-1][2]) or _worded(name, attributes)
-        stack.append((name, out_here, worded_here))
+        opened += 1
+        stack.append((name, out_here, worded_here, opened))
     flush()
     return out
 
@@ -244,9 +258,25 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
             ahead = k
         elif ahead is not None and kept[ahead] and (not inside or nodes[ahead].path.startswith(inside + ">")):
             kept[k] = True
+    held = _container([x for x, own in zip(nodes, kept, strict=True) if own and not x.worded])
+    for k, x in enumerate(nodes):
+        if held in x.inside and not x.worded and (x.marked or 2 * x.linked < len(x.block)):
+            kept[k] = True
     return "\n\n".join(x.block for x, own in zip(nodes, kept, strict=True) if own)
 
 
+def _container(content: list[Node]) -> tuple[int, str] | None:
+    """The deepest element that holds MOST of the content's text, if that is not the page itself."""
+    total, size, depth = 0, {}, {}
+    for x in content:
+        total += len(x.block)
+        for k, element in enumerate(x.inside):
+            size[element] = size.get(element, 0) + len(x.block)
+            depth[element] = k
+    found = max((e for e in size if size[e] >= MOST * total), key=lambda e: depth[e], default=None)
+    return None if found is None or found[1] in ("html", "body") else found
+
+
 def extract(pages: DataFrame, *, html: str = "html", into: str = "text") -> DataFrame:
     """All columns but ``html``, with the main text in ``into``."""
     out = pages.withColumn(into, F.col(f"`{html}`")) if into != html else pages

@@ -265,3 +265,38 @@ def test_marks_and_class_words_only_weigh():
     # all the text of the page stands in an element with such a word
     assert text in html.main_text(f"<body><div class='social-story'>{story}</div><div><p>About us</p></div></body>")
     assert html.main_text(f"<body><div>{story}</div><div class='comments'>{story}</div></body>") == text
+
+
+LONG = "A long sentence, with commas, and more of it. Then another one, longer still. " * 3
+SHAPES = [
+    ("<ul><li>short one</li><li>two</li></ul>", ["short one", "two"]),
+    ("<table><tr><td>a</td><td>b</td></tr></table>", ["a", "b"]),
+    ("<dl><dt>term</dt><dd>meaning</dd></dl>", ["term", "meaning"]),
+    ("<header><h1>Title</h1></header>", ["Title"]),
+    ("<blockquote>said so</blockquote>", ["said so"]),
+    ("<pre>code</pre>", ["code"]),
+    ("<figure><figcaption>a caption</figcaption></figure>", ["a caption"]),
+    ("<div><p>boxed</p></div>", ["boxed"]),
+    ("<section><p>part</p></section>", ["part"]),
+    ("<h2>Heading</h2>", ["Heading"]),
+]
+
+
+@pytest.mark.parametrize(("shape", "want"), SHAPES)
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main>{}</main>", "<div class='story'>{}</div>"])
+def test_no_block_of_the_article_is_lost_for_being_short(shape, want, around):
+    if "<header>" in shape and "article" not in around:
+        return
+    page = "<body><nav><a href=1>Home</a></nav>" + around + "<div><ul><li><a href=2>About us</a></li></ul></div><footer>imprint</footer></body>"
+    p, long = f"<p>{LONG}</p>", LONG.strip()
+    assert html.main_text(page.format(shape + p + p)) == "\n\n".join([*want, long, long])
+    assert html.main_text(page.format(p + shape + p)) == "\n\n".join([long, *want, long])
+    assert html.main_text(page.format(p + p + shape)) == "\n\n".join([long, long, *want])
+
+
+@pytest.mark.parametrize("name", ["social-network-history", "sponsored-post"])
+def test_an_article_is_not_lost_for_its_own_class(name):
+    page = f"<body><div class='teaser'><p>Read this, and that, and more of it.</p></div><article class='{name}'><h1>T</h1><p>{LONG}</p></article></body>"
+    assert html.main_text(page) == f"T\n\n{LONG.strip()}"
+    with_reply = f"<body><article><p>{LONG}</p></article><article class='comment'><p>First! So good, so true, thank you all.</p></article></body>"
+    assert html.main_text(with_reply) == LONG.strip()
