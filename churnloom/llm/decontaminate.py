@@ -1,15 +1,21 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
 Every task cuts its documents into shards of at most ``SHARD`` words and sorts all suffixes of a
-shard (by word hashes, prefix doubling up to the longest benchmark item). Every suffix of every
-benchmark item is then located by binary search, one word deeper at a time: the depth at which
-its range empties is the length of its longest verbatim match, the last range holds the places.
-Documents are never shuffled. The benchmark is read in blocks of bounded size, one broadcast
-block at a time; the columns found so far travel with the documents to the next block.
+shard (by word hashes, prefix doubling). Benchmark suffixes are then located by binary search, one word deeper at a
+time: the depth at which a range empties is the length of the longest verbatim match, the last range holds the
+places. Hits need no more than the words of a window, so that is how deep the search goes and how far shards
+overlap; each distinct window is searched once. Where ``matches`` are wanted, all suffixes are searched, ``DEPTH`` words
+deep, and matches that reach that depth or the end of a shard are followed word by word in the document
+itself, so neither items nor documents are bounded in length.
+
+Documents are never shuffled. Items of equal text are one. The benchmark is cut into blocks of about ``BLOCK_BYTES`` by
+hash on Spark; one block is collected and broadcast at a time, and between blocks the documents with the
+columns found so far are written to the shared folder.
 
 Defined results: a null text has no words and no hits. An item without words is ignored; an item
 shorter than the window counts as one window. An item with a null id marks words but is not
-listed. Repeated rows are judged one by one. Columns of the input keep their names; those that
+listed. Repeated rows are judged one by one, repeated item ids listed once. Empty tables give no rows, or no hits. Very
+long texts and items are searched whole. Columns of the input keep their names; those that
 this operator adds replace columns of the same name.
 """
 
@@ -24,12 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnloom.llm.store import fresh, only
+from churnloom.llm.store import fresh, only, stored
 from churnloom.llm.text import NOT_LETTERS, WordHasher, by_size, windows
 
 WINDOW = 10
 #: words of a shard; positions and ranks of a shard fit in 20 bits
 SHARD = 1 << 20
+#: words that the search for longest matches goes down; longer ones are followed in the text
+DEPTH = 256
+#: words compared at a time there, and places looked at together
+FOLLOWED = 64
+TOGETHER = 1 << 20
 #: text bytes of the benchmark held at once
 BLOCK_BYTES = 16 << 20
 #: text bytes of one round of shards
@@ -51,7 +62,7 @@ class Block:
     window: np.ndarray  # number of that window, equal windows have one number
     item: np.ndarray  # item of each suffix
     place: np.ndarray  # its place in the item
-    ids: list  # ids of the items
+    ids: list  # ids of the items, a list for each distinct text
 
 
 def make_block(rows: list[tuple], window: int) -> Block:
@@ -119,22 +130,21 @@ def _bound(keys: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndarra
         high[busy[~go]] = mid[~go]
 
 
-def search(words: np.ndarray, block: Block) -> tuple[np.ndarray, ...]:
-    """Longest match of every suffix in one shard.
+def search(words: np.ndarray, block: Block, wanted: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
+    """Longest match of the ``wanted`` suffixes in one shard, up to ``longest`` words.
 
     Returns, for each suffix of the block, the match length and its range in the suffix array,
     the range at window depth, and the suffix array. Word 0 ends a document and matches nothing.
     """
     keys = words >> _KEY_BITS
     query = block.words >> _KEY_BITS
-    longest = int(block.left.max(initial=1))
     order = suffix_array(keys, longest)
     q = len(block.suffix)
     length = np.zeros(q, np.int64)
     low, high = np.zeros(q, np.int64), np.full(q, len(keys))
     range_at = np.zeros((q, 2), np.int64)
     window_at = np.zeros((q, 2), np.int64)
-    busy = np.arange(q)
+    busy = wanted
     sorted_first = keys[order]
     for d in range(longest):
         busy = busy[block.left[busy] > d]
@@ -191,18 +201,17 @@ def shards(words: np.ndarray, counts: np.ndarray, overlap: int, size: int = SHAR
         yield np.concatenate(parts), np.concatenate(docs), np.concatenate(places)
 
 
-def _mark(words: np.ndarray, counts: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hit words (document, place), window occurrences (document, suffix) and match records."""
+def _mark(words: np.ndarray, counts: np.ndarray, block: Block, window: int, with_matches: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hit words (document, place), window occurrences (document, window) and match records (document, suffix, place, length)."""
     hits, seen, records = [np.empty((0, 2), np.int64)], [np.empty((0, 2), np.int64)], [np.empty((0, 4), np.int64)]
-    overlap = int(block.left.max(initial=1)) - 1
-    size = max(SHARD // 2, 1)
-    if overlap >= size - 1:
-        raise ValueError("a benchmark item is longer than a shard")
-    one = np.zeros(len(block.suffix), bool)  # one suffix for each distinct window
     used = np.flatnonzero(block.depth)
+    one = np.zeros(len(block.suffix), bool)  # one suffix for each distinct window
     one[used[np.unique(block.window[used], return_index=True)[1]]] = True
-    for shard, doc, place in shards(words, counts, overlap, size):
-        length, range_at, window_at, order = search(shard, block)
+    wanted = used if with_matches else np.flatnonzero(one)
+    longest = min(DEPTH, int(block.left.max(initial=1))) if with_matches else window
+    begin = np.cumsum(counts) - counts
+    for shard, doc, place in shards(words, counts, window - 1, max(SHARD // 2, 2 * window)):
+        length, range_at, window_at, order = search(shard, block, wanted, max(longest, window))
         pick = np.flatnonzero(one & (window_at[:, 1] > window_at[:, 0]))
         row, at = _spread(window_at[pick, 0], window_at[pick, 1])
         begins, query = order[at], pick[row]
@@ -215,33 +224,57 @@ def _mark(words: np.ndarray, counts: np.ndarray, block: Block) -> tuple[np.ndarr
         hit = np.unique(hit[good[step]])
         hits.append(np.stack([doc[hit], place[hit]], 1))
         seen.append(np.unique(np.stack([doc[begins[good]], block.window[query[good]]], 1), axis=0))
-        # longest matches, only those that do not merely continue one from the word before
+        if not with_matches:
+            continue
         pick = np.flatnonzero((length >= block.depth) & (block.depth > 0) & (range_at[:, 1] > range_at[:, 0]))
-        row, at = _spread(range_at[pick, 0], range_at[pick, 1])
-        begins, query = order[at], pick[row]
-        before = np.maximum(begins - 1, 0)
-        goes_on = (begins > 0) & (block.suffix[query] > 0) & (shard[before] == block.words[block.suffix[query] - 1])
-        goes_on &= block.item[query - 1] == block.item[query]
-        begins, query = begins[~goes_on], query[~goes_on]
-        records.append(np.stack([doc[begins], query, place[begins], length[query]], 1))
+        for some in _portions(pick, range_at[pick, 1] - range_at[pick, 0]):
+            row, at = _spread(range_at[some, 0], range_at[some, 1])
+            begins, query = order[at], some[row]
+            # only those that do not merely continue a match from the word before, in the whole document
+            where = begin[doc[begins]] + place[begins]
+            goes_on = (place[begins] > 0) & (block.place[query] > 0)
+            goes_on &= words[np.maximum(where - 1, 0)] == block.words[block.suffix[query] - 1]
+            begins, query, where = begins[~goes_on], query[~goes_on], where[~goes_on]
+            size = _followed(words, where, begin[doc[begins]] + counts[doc[begins]], block, query)
+            whole = size >= block.depth[query]
+            records.append(np.stack([doc[begins], query, place[begins], size], 1)[whole])
     return tuple(np.unique(np.concatenate(x), axis=0) for x in (hits, seen, records))
 
 
-def _pass(block, text: str, found: str):
+def _portions(rows: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows in runs of about TOGETHER places."""
+    if len(rows):
+        yield from np.split(rows, np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // TOGETHER)) + 1)
+
+
+def _followed(words: np.ndarray, where: np.ndarray, ends: np.ndarray, block: Block, query: np.ndarray) -> np.ndarray:
+    """How many words from ``where`` on (up to the document's end) agree with each item from its suffix on."""
+    room = np.minimum(ends - where, block.left[query])
+    size, busy = np.zeros(len(where), np.int64), np.arange(len(where))
+    while len(busy):
+        at = size[busy, None] + np.arange(FOLLOWED)
+        inside = at < room[busy, None]
+        mine = words[np.minimum(where[busy, None] + at, len(words) - 1)]
+        theirs = block.words[np.minimum(block.suffix[query[busy], None] + at, len(block.words) - 1)]
+        run = np.cumprod(inside & (mine == theirs), axis=1).sum(1)
+        size[busy] += run
+        busy = busy[run == FOLLOWED]
+    return size
+
+
+def _pass(block, text: str, found: str, window: int, with_matches: bool):
     """One pass over Arrow batches against one broadcast block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(NOT_LETTERS)
         data: Block = block.value
-        by_window: dict[int, list] = {}
+        by_window: dict[int, set] = {}
         for k in np.flatnonzero(data.depth):
-            name = data.ids[data.item[k]]
-            if name is not None:
-                by_window.setdefault(int(data.window[k]), []).append(name)
+            by_window.setdefault(int(data.window[k]), set()).update(data.ids[data.item[k]])
         for batch in batches:
             for part in by_size(batch, text, SLICE):
                 words, counts = hasher(part.column(text))
-                hits, seen, records = _mark(words, counts, data)
+                hits, seen, records = _mark(words, counts, data, window, with_matches)
                 rows = part.column(found).to_pylist()
                 out = [{"n_words": int(n), "hit": [], "items": [], "matches": []} if old is None else old for n, old in zip(counts, rows, strict=True)]
                 for doc in np.unique(hits[:, 0]):
@@ -250,51 +283,67 @@ def _pass(block, text: str, found: str):
                 for doc, w in seen.tolist():
                     out[doc]["items"] = sorted(set(out[doc]["items"]) | set(by_window.get(w, ())))
                 for doc, k, at, n in records.tolist():
-                    out[doc]["matches"].append({"item_id": data.ids[data.item[k]], "item_pos": int(data.place[k]), "doc_pos": at, "length": n})
+                    names = data.ids[data.item[k]] or [None]
+                    out[doc]["matches"] += [{"item_id": name, "item_pos": int(data.place[k]), "doc_pos": at, "length": n} for name in names]
                 column = pa.array(out, part.schema.field(found).type)
                 yield part.set_column(part.schema.get_field_index(found), part.schema.field(found), column)
 
     return run
 
 
-def blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple]]:
-    """The items in blocks of at most ``limit`` text bytes (a longer item is a block of its own)."""
-    rows, held = [], 0
-    for row in benchmark.toLocalIterator():
-        size = len((row[1] or "").encode())
-        if rows and held + size > limit:
-            yield rows
-            rows, held = [], 0
-        rows.append((row[0], row[1]))
-        held += size
-    yield rows
+def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple]]:
+    """Distinct texts with their ids, in blocks of about ``limit`` bytes (a longer item is in a block as it is)."""
+    items = benchmark.where(F.length("text") > 0).groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(1, -(-total // limit))
+    if count > 1:
+        items = stored(items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(count)).cast("int")), "benchmark")
+    for k in range(count):
+        mine = items.where(F.col("block") == k) if count > 1 else items
+        yield [(sorted(r.ids), r.text) for r in mine.select("ids", "text").collect()]
 
 
-def _matched(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, window: int, block_bytes: int) -> tuple[DataFrame, str]:
+def _matched(
+    docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, window: int, block_bytes: int, with_matches: bool
+) -> tuple[DataFrame, str]:
     spark = docs.sparkSession
     found = fresh("found")
     kind = f"struct<n_words:bigint,hit:array<bigint>,items:array<bigint>,matches:{MATCHES}>"
     out = docs.withColumn(found, F.lit(None).cast(kind))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema])
-    for rows in blocks(only(benchmark, **{item_id: "item_id", item_text: "text"}), block_bytes):
-        block = spark.sparkContext.broadcast(make_block(rows, window))
-        out = out.mapInArrow(_pass(block, text, found), schema)
+    before = None
+    for rows in _blocks(only(benchmark, **{item_id: "item_id", item_text: "text"}), block_bytes):
+        if before is not None:  # hold one block at a time
+            out = stored(out, "searched")
+            before.unpersist()
+        before = spark.sparkContext.broadcast(make_block(rows, window))
+        out = out.mapInArrow(_pass(before, text, found, window, with_matches), schema)
     return out, found
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """All documents with ``n_words``, ``hit_words``, ``items`` and ``matches``.
+def find_matches(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+    matches: bool = True,
+) -> DataFrame:
+    """All documents with ``n_words``, ``hit_words``, ``items`` and, if wanted, ``matches``.
 
     ``hit_words`` are the word positions inside an occurrence of any window, ``items`` the ids of
     items with such a window, ``matches`` the longest verbatim matches of item suffixes with
     their locations (only where they do not continue a match one word earlier).
     """
-    out, found = _matched(docs, benchmark, text, item_id, item_text, window, block_bytes)
-    added = {"n_words": "n_words", "hit_words": "hit", "items": "items", "matches": "matches"}
+    out, found = _matched(docs, benchmark, text, item_id, item_text, window, block_bytes, matches)
+    added = {"n_words": "n_words", "hit_words": "hit", "items": "items"} | ({"matches": "matches"} if matches else {})
     return out.withColumns({new: F.col(f"{found}.{old}") for new, old in added.items()}).drop(found)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without any hit, with the columns they came with."""
-    out, found = _matched(docs, benchmark, text, item_id, item_text, window, block_bytes)
+    out, found = _matched(docs, benchmark, text, item_id, item_text, window, block_bytes, False)
     return out.where(F.size(f"{found}.hit") == 0).drop(found)

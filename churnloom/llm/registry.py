@@ -11,7 +11,7 @@ from churnloom.llm.store import table
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_matches(docs, table(spark, sf_dir, "benchmark"), matches=False)
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     n_hit = F.size("hit_words").cast("bigint")
     return found.select(

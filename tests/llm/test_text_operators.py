@@ -1,6 +1,7 @@
 """Decontamination, near-duplicates, quality, mixing and line dedup against brute force."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -60,7 +61,7 @@ def test_decontamination_of_odd_rows_over_many_blocks_and_shards(spark, monkeypa
     bench = spark.createDataFrame(items, ITEMS)
     docs = odd_documents(spark)
     want = contamination(ODD_TEXTS, items)
-    for block in (1, 1 << 20):
+    for block in (40, 1 << 20):
         found = decontaminate.find_matches(docs, bench, block_bytes=block)
         assert set(found.columns) == {*docs.columns, "n_words", "items", "matches", "hit_words"}
         got = sorted((str(r.doc_id), r.n_words, tuple(r.hit_words), tuple(sorted(r["items"]))) for r in found.collect())
@@ -77,14 +78,67 @@ def test_matches_are_longest_and_a_long_document_is_cut_without_loss(monkeypatch
     rng = random.Random(5)
     words = [rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(700)]
     item = words[55:80] + ["never"] + words[300:311]
-    block = decontaminate.make_block([(1, " ".join(item))], 10)
+    block = decontaminate.make_block([([1], " ".join(item))], 10)
     hashes, counts = WordHasher(NOT_LETTERS)(pa.array([" ".join(words), "a b"]))
-    hits, seen, records = decontaminate._mark(hashes, counts, block)
+    hits, seen, records = decontaminate._mark(hashes, counts, block, 10, True)
     want = contamination([(0, " ".join(words))], [(1, " ".join(item))])[0][2]
     assert hits[hits[:, 0] == 0, 1].tolist() == want
     assert {(at, n) for _, _, at, n in records.tolist()} >= {(55, 25), (300, 11)}
 
 
+def brute_matches(words, item, window):
+    """(item place, document place, length) of matches that do not continue one from the word before."""
+    out = set()
+    for k in range(len(item)):
+        for at in range(len(words)):
+            if k and at and item[k - 1] == words[at - 1]:
+                continue
+            n = 0
+            while k + n < len(item) and at + n < len(words) and item[k + n] == words[at + n]:
+                n += 1
+            if n >= window:
+                out.add((k, at, n))
+    return out
+
+
+def test_matches_longer_than_the_search_and_the_shard(monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD", 128)
+    monkeypatch.setattr(decontaminate, "DEPTH", 16)
+    monkeypatch.setattr(decontaminate, "TOGETHER", 50)
+    rng = random.Random(6)
+    words = [rng.choice("abc") * rng.randint(1, 2) for _ in range(400)]
+    item = words[20:320] + ["never"] + words[100:140]
+    block = decontaminate.make_block([([1], " ".join(item))], 10)
+    hashes, counts = WordHasher(NOT_LETTERS)(pa.array([" ".join(words)]))
+    hits, _, records = decontaminate._mark(hashes, counts, block, 10, True)
+    assert {(int(block.place[k]), at, n) for _, k, at, n in records.tolist()} == brute_matches(words, item, 10)
+    assert hits[:, 1].tolist() == list(range(20, 320))
+
+
+def test_an_item_longer_than_a_shard(spark):
+    rng = np.random.default_rng(8)
+    item = " ".join(f"w{k}" for k in rng.integers(0, 10**6, 600_000).tolist())
+    middle = " ".join(item.split(" ")[300_000:300_030])
+    bench = spark.createDataFrame([(1, item), (2, item), (3, "a b c")], ITEMS)
+    docs = spark.createDataFrame([(1, f"before {middle} after"), (2, "nothing here")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in decontaminate.find_matches(docs, bench).collect()}
+    assert list(got[1].hit_words) == list(range(1, 31)) and sorted(got[1]["items"]) == [1, 2]
+    assert {(m.item_id, m.item_pos, m.doc_pos, m.length) for m in got[1].matches} == {(1, 300_000, 1, 30), (2, 300_000, 1, 30)}
+    assert not got[2].hit_words
+
+
+def test_equal_items_cost_one(spark):
+    bench = spark.createDataFrame([(k, "spam " * 20_000) for k in range(200)], ITEMS)
+    rows = [r for r in decontaminate._blocks(bench, 1 << 24)]
+    assert [(len(ids), len(text)) for ids, text in rows[0]] == [(200, 100_000)] and len(rows) == 1
+    block = decontaminate.make_block(rows[0], 10)
+    hashes, counts = WordHasher(NOT_LETTERS)(pa.array(["spam " * 20_000]))
+    start = time.perf_counter()
+    hits, seen, records = decontaminate._mark(hashes, counts, block, 10, False)
+    assert time.perf_counter() - start < 1
+    assert len(hits) == 20_000 and len(seen) == 1 and not len(records)
+
+
 def test_near_duplicates_equal_brute_force(spark):
     got = {r.doc_id: r for r in registry.op2_near_duplicates(spark, SMALL).collect()}
     want = near_components(rows_of(spark, "documents", "doc_id", "text"))
