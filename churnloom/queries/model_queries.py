@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnloom.ml import certificates as C
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, meta_features, stack_and_score
-from churnloom.ml.stages import META_GRID, SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, preparation
-from churnloom.ml.tune import spot_check, tune, with_folds
+from churnloom.ml.stages import META_GRID, SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, classifier, param_maps, preparation
+from churnloom.ml.trees import tree_nodes
+from churnloom.ml.tune import scored, spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, TRAIN_TEST, parts, stratified_split
 from churnloom.queries.common import split_cte, sql_features, sql_features_v1, stored_features, tidy, v1_features
 from churnloom.schema import BINARY_V1, BINARY_V2, CONTINUOUS_V1, CONTINUOUS_V2, KEY
@@ -214,6 +217,39 @@ def _best_checked(run, name):
     return query
 
 
+# ---- certificates: zeros for a model that fits its training rows -------------------------------
+
+
+def _fitted(spark, sf_dir, name):
+    """Spot-check classifier, the prepared rows it was fitted on, and their scores."""
+    train = _train_test(spark, sf_dir)["train"]
+    stages = preparation().fit(train)
+    rows = cut_lineage(stages.transform(train).select(KEY, "label", "features"), "prepared")
+    (point,) = param_maps(learner := classifier(name), SPOT_CHECK[name])
+    model = learner.fit(rows, point)
+    return model, rows, scored(model.transform(rows), name)
+
+
+def _tree_certificate(name, build):
+    def query(spark, sf_dir):
+        model, rows, scores = _fitted(spark, sf_dir, name)
+        nodes, trees = tree_nodes(model), 1 if name == "dt" else model.getNumTrees
+        reached = C.reached_leaves(rows, nodes, SPOT_CHECK[name]["maxDepth"][0], trees)
+        return tidy(build(reached, nodes, model, scores))
+
+    return query
+
+
+def _lr_certificate(spark, sf_dir):
+    """Slopes of the tuned logistic regression on the rows it was refitted on, to three digits."""
+    found, _ = _tuned_v1(spark, sf_dir, "lr")
+    train = _train_test(spark, sf_dir, lambda s, d: cut_lineage(v1_features(s, d), "features"))["train"]
+    *stages, model = found.best.stages
+    rows = PipelineModel(stages).transform(train)
+    slopes = C.logistic_violations(rows, model.coefficients.toArray().tolist(), model.intercept, model.getRegParam(), model.getElasticNetParam())
+    return slopes.select("position", (F.round("violation", 3) + 0).alias("violation"))
+
+
 def _three_ways(spark, sf_dir):
     split = cut_lineage(stratified_split(stored_features(spark, sf_dir), THREE_WAY_SAMPLE), "split")
     return parts(split, list(THREE_WAY_SAMPLE))
@@ -293,6 +329,10 @@ QUERIES = {
     **{f"tuned_{name}_{kind}": _KINDS[kind](_tuned_v2, name) for name in ("mlpc", "gbt") for kind in ("best", "best_checked")},
     **{f"tuned_lr_{kind}": _KINDS[kind](_tuned_v1, "lr") for kind in ("best", "best_checked")},
     "tuned_gbt_checked": _grid_checked(_tuned_v2, "gbt"),
+    "lr_certificate": _lr_certificate,
+    "dt_certificate": _tree_certificate("dt", lambda reached, nodes, model, scores: C.leaf_recount(reached, nodes)),
+    "rf_certificate": _tree_certificate("rf", lambda reached, nodes, model, scores: C.vote_errors(reached, scores)),
+    "gbt_certificate": _tree_certificate("gbt", lambda reached, nodes, model, scores: C.residual_errors(reached, model.treeWeights)),
     "stacked_best": _tuned_best(_stacked_run, "meta"),
     "stacked_best_checked": _best_checked(_stacked_run, "meta"),
     "tuned_lr_report": _tuned_report(_tuned_v1, "lr"),
@@ -455,6 +495,14 @@ ORACLES = {
         split_cte(THREE_WAY_SAMPLE),
     ),
     "stacked_checked": sql_features(f"SELECT {_LABELS}, {_ZEROS} FROM split WHERE split = 'test' GROUP BY churn", split_cte(THREE_WAY_SAMPLE)),
+    "lr_certificate": f"SELECT CAST(position AS BIGINT) AS position, CAST(0 AS DOUBLE) AS violation FROM range(-1, {len(BINARY_V1) + len(CONTINUOUS_V1)}) g(position)",
+    "dt_certificate": sql_features(f"SELECT {_LABELS}, CAST(0 AS BIGINT) AS bad_leaves FROM split WHERE split = 'train' GROUP BY churn", split_cte(TRAIN_TEST)),
+    "rf_certificate": sql_features(f"SELECT {_LABELS}, CAST(0 AS DOUBLE) AS worst FROM split WHERE split = 'train' GROUP BY churn", split_cte(TRAIN_TEST)),
+    "gbt_certificate": sql_features(
+        f"""SELECT CAST(tree AS INTEGER) AS tree, count(*) AS n, CAST(0 AS DOUBLE) AS worst
+        FROM split, range({SPOT_CHECK["gbt"]["maxIter"][0]}) g(tree) WHERE split = 'train' GROUP BY tree""",
+        split_cte(TRAIN_TEST),
+    ),
     "tuned_lr_checked": _grid_sql(TUNE_V1_SAMPLE["lr"]),
     **{f"tuned_v1_{name}_checked": _grid_sql(axes) for name, axes in TUNE_V1_SAMPLE.items() if name != "lr"},
     **{f"tuned_{name}_checked": _grid_sql(axes) for name, axes in TUNE_V2_SAMPLE.items()},
