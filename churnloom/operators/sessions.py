@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnloom.functions.scalars import calendar_days, cohort_text, elapsed_days
+from churnloom.session import cut_lineage
 
 
 def preprocess_v2(clean: DataFrame) -> DataFrame:
@@ -50,18 +51,20 @@ def preprocess_v1(clean: DataFrame) -> DataFrame:
 def session_marks(log: DataFrame, time: str, date: str | None = None) -> DataFrame:
     """One row per (user, session) with first and last time, also those of the user over all sessions.
 
-    With ``date``, the user's number of distinct dates as well, from the same aggregation of the events.
+    With ``date``, the user's number of distinct dates as well, from the same aggregation of the events: that aggregation is
+    stored, so the log is read once for all marks. User marks and dates come from one aggregation of the stored rows.
     """
     keys = ["userId", "sessionId"]
     day = [F.to_date(date).alias("_date")] if date else []
-    base = log.groupBy(*keys, *day).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+    base = cut_lineage(log.groupBy(*keys, *day).agg(F.min(time).alias("_first"), F.max(time).alias("_last")), "sessions")
     spans = base.groupBy(*keys).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")) if date else base
-    users = spans.groupBy("userId").agg(F.min("_first").alias("_user_first"), F.max("_last").alias("_user_last"))
-    marks = spans.join(users, "userId", "left")
-    if date:
-        dates = base.select("userId", "_date").distinct().groupBy("userId").agg(F.count("_date").alias("_dates"))
-        marks = marks.join(dates, "userId", "left")
-    return marks
+    word, bit = F.expr("shiftright(unix_date(_date), 6)"), F.expr("shiftleft(1L, unix_date(_date) & 63)")
+    parts = base.groupBy("userId", *([word.alias("_word")] if date else [])).agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), *([F.bit_or(bit).alias("_bits")] if date else [])
+    )
+    dates = [F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("bigint").alias("_dates")] if date else []
+    users = parts.groupBy("userId").agg(F.min("_first").alias("_user_first"), F.max("_last").alias("_user_last"), *dates)
+    return spans.join(users, "userId", "left")
 
 
 def _marked(log: DataFrame, marks: DataFrame) -> DataFrame:

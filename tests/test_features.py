@@ -8,6 +8,7 @@ from churnloom.operators.features import features_v1, features_v2
 from churnloom.operators.sessions import preprocess_v1, preprocess_v2
 from churnloom.queries.common import V2_LOG
 from churnloom.schema import FLAGS_V2, NUMERIC_FEATURES, PAGE_COUNTERS
+from churnloom.session import cut_lineage
 from churnloom.sources.activity_log import activity_log
 from conftest import DATA
 
@@ -168,14 +169,17 @@ def test_a_missing_session_keeps_its_marks(make_log):
     assert {r.session_h for r in v1} == {0.0, 1.0} and all(r.firstevent_ts and r.active_days == 2 for r in v1)
 
 
-def test_session_marks_are_joined_once(spark):
+@pytest.mark.parametrize("build", [lambda log: preprocess_v2(clean_v2(log)), lambda log: preprocess_v1(clean_v1(log))])
+def test_session_marks_are_joined_once(spark, make_log, build):
+    log = cut_lineage(make_log(*[{"userId": str(k % 5), "itemInSession": k, "sessionId": k % 7} for k in range(50)]))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = preprocess_v2(clean_v2(activity_log(spark, f"{DATA}/sf0.01", [c for c in V2_LOG if c != "itemInSession"])))._jdf.queryExecution().executedPlan().toString()
+        plan = build(log)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "_salt" not in plan and plan.count("Exchange hashpartitioning") <= 12
+    # the log itself, and the stored sessions twice; the events are shuffled once, for the join
+    assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") <= 7
 
 
 def test_events_without_a_user_and_large_event_ids(spark, tmp_path):
@@ -198,3 +202,20 @@ def test_feature_plan_stays_hash_aggregation(spark):
     plan = features_v2(clean)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_distinct_items_over_the_whole_range(make_log):
+    items = [0, 63, 64, 65, -1, -64, -65, 2**31 + 5, 2**40, -(2**50), 63, 0, None, 2**40]
+    log = make_log(*[{"itemInSession": x, "sessionId": k % 3, "ts": 1_700_086_400_000 + k * 1000} for k, x in enumerate(items)])
+    assert features_v2(clean_v2(log)).first().n_acts == len({x for x in items if x is not None})
+    assert features_v1(clean_v1(log)).first().n_acts == len({x for x in items if x is not None})
+    nothing = make_log({"itemInSession": None}, {"itemInSession": None, "sessionId": 2})
+    assert features_v2(clean_v2(nothing), drop_missing=False).first().n_acts == 0
+
+
+@pytest.mark.parametrize("build", [lambda log: features_v2(clean_v2(log)), lambda log: features_v1(clean_v1(log))])
+def test_features_read_the_log_once(make_log, build):
+    log = cut_lineage(make_log(*[{"userId": str(k % 5), "itemInSession": k, "sessionId": k % 7} for k in range(50)]))
+    plan = build(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
