@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnloom.session import scratch_path
+from churnloom.session import run_folder, scratch_path
 
 TREE_MODELS = (DecisionTreeClassificationModel, RandomForestClassificationModel, GBTClassificationModel)
 #: impurity below which the trainer makes a node a leaf at any depth
@@ -55,7 +55,8 @@ def fully_grown(model: Model, max_depth: int) -> bool:
     """
     if isinstance(model, GBTClassificationModel) and max(t.depth for t in model.trees) < max_depth:
         return True
-    return tree_nodes(model).where((F.col("left") < 0) & (F.abs("impurity") >= PURE)).isEmpty()
+    with run_folder(SparkSession.active(), "grown"):
+        return tree_nodes(model).where((F.col("left") < 0) & (F.abs("impurity") >= PURE)).isEmpty()
 
 
 def prefix(model: GBTClassificationModel, trees: int) -> GBTClassificationModel:

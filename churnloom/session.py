@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +52,45 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: folders of the runs that this thread has open, innermost last
+_OPEN = threading.local()
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """A folder below the shared one for all tables stored inside the block; it goes when the block ends, however it ends.
+
+    What is to outlive the block (its result) must be written elsewhere before it ends: to a path taken outside of it. Blocks
+    may be nested, and hold for the thread that opens them. Tables stored outside of any block stay, since the library cannot
+    know who still reads them.
+    """
+    path = scratch_path(spark, name)
+    runs = _open_runs()
+    runs.append(path)
+    try:
+        yield path
+    finally:
+        runs.remove(path)
+        remove(spark, path)
+
+
+def _open_runs() -> list[str]:
+    if not hasattr(_OPEN, "runs"):
+        _OPEN.runs = []
+    return _OPEN.runs
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table or folder, on whatever file system it lies."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for one written table."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one written table, in the innermost open run folder or else in the shared folder."""
+    runs = _open_runs()
+    return f"{runs[-1] if runs else shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:

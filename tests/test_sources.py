@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 
 from churnloom.prepare import prepare_splits, write_train_test
 from churnloom.schema import LOG_COLUMNS
-from churnloom.session import scratch_path, shared_dir
+from churnloom.session import cut_lineage, run_folder, scratch_path, shared_dir
 from churnloom.sources.activity_log import activity_log
 from churnloom.sources.log_files import read_log, read_table, write_table
 from conftest import DATA
@@ -50,3 +52,22 @@ def test_batch_job(spark):
 def test_shared_folder_is_read_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_run_folder_is_empty_after_a_run_and_after_a_failure(spark):
+    result = scratch_path(spark, "result")
+    with run_folder(spark) as outer:
+        held = cut_lineage(spark.range(5), "kept")
+        with run_folder(spark) as inner:
+            assert inner.startswith(outer) and scratch_path(spark, "x").startswith(inner)
+            cut_lineage(held, "more").count()
+        assert not os.path.exists(inner) and len(os.listdir(outer)) == 1
+        held.write.parquet(result)
+    assert not os.path.exists(outer) and spark.read.parquet(result).count() == 5
+    with pytest.raises(ZeroDivisionError):
+        with run_folder(spark) as failed:
+            cut_lineage(spark.range(5))
+            assert os.listdir(failed)
+            1 / 0
+    assert not os.path.exists(failed)
+    assert not scratch_path(spark, "x").startswith(failed)
