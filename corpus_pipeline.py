@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 
 from churnloom.llm import decontaminate, minhash, mixing, order, quality, registry
 from churnloom.llm.store import table
-from churnloom.session import scratch_path
+from churnloom.session import remove, run_folder, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,11 +49,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; every stage is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents table; every stage is written and read again.
+
+    What a stage stores for itself goes once its result is written, and the result of the stage before it too. The last
+    stage keeps its tables: the shards are among them.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
         path = scratch_path(spark, f"stage{k}")
-        out.write.parquet(path)
+        with run_folder(spark, f"stage{k}-tables") if k < len(STAGES) - 1 else nullcontext():
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
