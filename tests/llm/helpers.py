@@ -46,7 +46,7 @@ def shingles(text, n=5):
     return {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def near_components(docs):
+def near_components(docs, percent=85):
     """[(id, text)] -> {id: (n_shingles, component)} by comparing all pairs that share a shingle."""
     sets = {d: shingles(t) for d, t in docs}
     parent = {d: d for d in sets}
@@ -68,7 +68,7 @@ def near_components(docs):
                     continue
                 seen.add((a, b))
                 both = len(sets[a] & sets[b])
-                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     low, high = sorted((find(a), find(b)))
                     parent[high] = low
     return {d: (len(s), find(d)) for d, s in sets.items()}

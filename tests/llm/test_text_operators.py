@@ -1,5 +1,6 @@
 """Decontamination, near-duplicates, quality, mixing and line dedup against brute force."""
 
+import os
 import random
 import time
 from collections import Counter, defaultdict
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from churnloom.llm import decontaminate, lines, minhash, mixing, quality, registry
 from churnloom.llm.text import NOT_LETTERS, SPACES, WordHasher
+from churnloom.session import shared_dir
 from llm.helpers import DATA, LETTERS, ODD_TEXTS, SPACED, contamination, digest, empty_documents, lower, near_components, odd_documents, targets
 
 SMALL = f"{DATA}/sf0.001"
@@ -419,8 +421,20 @@ def test_pipeline_decisions_take_effect(spark):
     one = corpus_pipeline.quality_stage(spark, docs, SMALL).collect()
     assert {r.doc_id for r in one} == {d for d, s in scores.items() if s >= quality.KEEP_FROM}
     left = [(r.doc_id, r.text) for r in one]
-    two = {d for d, (_, c) in near_components(left).items() if d == c}
+    kept = {d for d, (_, c) in near_components(left, minhash.STAGE_SIMILARITY).items() if d == c}
+    good = docs.where(F.col("doc_id").isin([d for d, _ in left]))
+    two = corpus_pipeline.near_duplicate_stage(spark, good, SMALL)
+    assert sorted(r.doc_id for r in two.collect()) == sorted(kept)
     dirty = {d for d, _, hit, _ in contamination(left, rows_of(spark, "benchmark", "item_id", "text")) if hit}
+    three = corpus_pipeline.decontamination_stage(spark, two, SMALL)
+    assert sorted(r.doc_id for r in three.collect()) == sorted(kept - dirty)
+    # every document of the mix reaches the shards
+    taken = {r.doc_id for r in corpus_pipeline.mixing_stage(spark, three, SMALL).collect()}
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder))
     last = corpus_pipeline.run(spark, SMALL).collect()
-    assert {d for r in last for d in r.doc_ids} <= two - dirty
+    assert {d for r in last for d in r.doc_ids} == taken <= kept - dirty
+    # what the first four stages stored is gone, their results too
+    left_over = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left_over <= {"stage4", "shards", "sequences"}
     assert sorted(r.slot for r in last) == list(range(len(last)))
