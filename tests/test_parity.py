@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 #: too few users at the smallest scale for three splits with both classes in each fold
-LARGER = {"stacked_checked", "stacked_grid_checked"}
+LARGER = {"stacked_checked", "stacked_grid_checked", "stacked_best_checked"}
 
 
 @pytest.fixture(scope="module")
