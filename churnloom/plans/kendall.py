@@ -1,15 +1,15 @@
 """Exact Kendall tau-b for all column pairs as Spark aggregations.
 
-Values become integer codes in value order. Write a pair of codes (x, y) in base 16. Two points
-with different x part at exactly one digit of x, and likewise at one digit of y. So every pair
-of points that differs in both meets in exactly one group
+Values become integer codes in value order. The code x of one column is written in base 16: two points with different x
+part at exactly one digit, so they meet in exactly one group
 
-    (level of x, leading digits of x, level of y, leading digits of y)
+    (level of x, leading digits of x)
 
-with different digits in both coordinates; it agrees if the digits are ordered the same way. A
-group has at most 16 x 16 distinct digit pairs, so it is counted into 16 sums per x digit and
-finished by a window of at most 16 rows. No point is ever paired with another one, and no group
-grows with the data.
+where the digit says which of them has the smaller x. Inside a group the points are counted by (y, digit), and walking up y
+with 16 running counts, one for each digit, counts the points below in y on either side in x. The walk has two steps, so
+that no task sees a whole group: inside buckets of y, cut where a quantile sketch of that column says, and across the buckets
+of a group, at most 256 rows. The column with fewer digits is x: a row stands once for each of its digits. No point is
+ever paired with another one.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnloom.plans.ordered import dense_ranks, tall
+from churnloom.plans.ordered import EVEN_CUTS, SKETCH_ACCURACY, cuts_below, dense_ranks, tall
 from churnloom.session import cut_lineage
 
 _BITS = 4
@@ -121,47 +121,70 @@ def _coded(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
 
 def _concordance(coded: DataFrame, wanted: list[tuple[int, int]], n: int) -> DataFrame:
     """Numbers of agreeing and disagreeing row pairs for each column pair (i, j)."""
-    digits = range(_DIGITS)
     levels = _levels(coded, n)
-    pairs = F.array(
-        *[F.expr(f"named_struct('i', {i}, 'j', {j}, 'ni', {levels[i]}, 'nj', {levels[j]})") for i, j in wanted]
-    )
+    pairs = []
+    for i, j in wanted:
+        x, y = sorted((i, j), key=lambda c: levels[c])
+        pairs.append(f"struct({i} AS i, {j} AS j, {x} AS cx, {y} AS cy, {levels[x]} AS levels)")
     cells = (
-        coded.select("codes", F.explode(pairs).alias("p"))
-        .selectExpr("p.*", "codes[p.i] AS x", "codes[p.j] AS y")
-        .groupBy("i", "j", "ni", "nj", "x", "y")
+        _bucketed(coded, n)
+        .selectExpr("codes", "buckets", f"inline(array({', '.join(pairs)}))")
+        .selectExpr("i", "j", "levels", "codes[cx] AS x", "codes[cy] AS y", "buckets[cy] AS b")
+        .where("x IS NOT NULL AND y IS NOT NULL")
+        .groupBy("i", "j", "levels", "x", "b", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    group = ["i", "j", "lx", "px", "ly", "py"]
+    group = ["i", "j", "level", "prefix"]
+    digits = [f"s{k}" for k in range(_DIGITS)]
     counted = (
-        cells.select("*", F.expr("explode(sequence(0, ni - 1)) AS lx"))
-        .select("*", F.expr("explode(sequence(0, nj - 1)) AS ly"))
+        cells.select("*", F.expr("explode(sequence(0, levels - 1)) AS level"))
         .selectExpr(
-            "i", "j", "n", "lx", "ly",
-            f"shiftright(x, (lx + 1) * {_BITS}) AS px", f"shiftright(x, lx * {_BITS}) & {_DIGITS - 1} AS dx",
-            f"shiftright(y, (ly + 1) * {_BITS}) AS py", f"shiftright(y, ly * {_BITS}) & {_DIGITS - 1} AS dy",
+            "i", "j", "level", "b", "y", "n",
+            # nothing stands before the first digit; a shift by 64 would be none
+            f"IF(level = levels - 1, 0L, shiftright(x, (level + 1) * {_BITS})) AS prefix",
+            f"shiftright(x, level * {_BITS}) & {_DIGITS - 1} AS digit",
         )
-        .groupBy(*group, "dx")
-        .agg(*[F.expr(f"sum(CASE WHEN dy = {k} THEN n ELSE 0 END) AS s{k}") for k in digits])
+        .groupBy(*group, "b", "y")
+        .agg(*[F.expr(f"sum(CASE WHEN digit = {k} THEN n ELSE 0L END) AS s{k}") for k in range(_DIGITS)])
     )
-    # b<k>: points of the group with a smaller x digit and y digit k
-    frame = f"(PARTITION BY {', '.join(group)} ORDER BY dx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    below = [f"coalesce(sum(s{k}) OVER {frame}, 0) AS b{k}" for k in digits]
-    smaller = counted.selectExpr("i", "j", *[f"s{k}" for k in digits], *below)
-    plus = lambda terms: " + ".join(terms)
-    # products of counts pass 2^63 long before the counts do
-    wide = lambda terms: f"CAST({plus(terms)} AS DECIMAL(19,0))"
-    product = lambda s, b: f"CAST({wide(s)} * {wide(b)} AS DECIMAL(38,0))"
-    agree = plus(product([f"s{k}"], [f"b{m}" for m in range(k)]) for k in digits[1:])
-    same_y = plus(product([f"s{k}"], [f"b{k}"]) for k in digits)
-    all_x = product([f"s{k}" for k in digits], [f"b{k}" for k in digits])
-    return (
-        smaller.selectExpr("i", "j", f"{agree} AS agree", f"{same_y} AS same_y", f"{all_x} AS all_x")
-        .groupBy("i", "j")
-        .agg(F.sum("agree").alias("agree"), F.sum(F.expr("all_x - same_y - agree")).alias("disagree"))
+    inside = _met(counted, [*group, "b"], "y").groupBy(*group, "b")
+    per_bucket = inside.agg(*[F.sum(c).alias(c) for c in digits], F.sum("agree").alias("agree_in"), F.sum("disagree").alias("disagree_in"))
+    across = _met(per_bucket, group, "b")
+    return across.groupBy("i", "j").agg(
+        F.sum(F.col("agree") + F.col("agree_in")).alias("agree"), F.sum(F.col("disagree") + F.col("disagree_in")).alias("disagree")
     )
 
 
+def _met(counted: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Add ``agree`` and ``disagree``: how the points of a row and those of the rows before it in its group stand to each other."""
+    digits = range(_DIGITS)
+    # b<k>: points of earlier rows with digit k
+    frame = f"(PARTITION BY {', '.join(group)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    walked = counted.selectExpr("*", *[f"coalesce(sum(s{k}) OVER {frame}, 0L) AS b{k}" for k in digits])
+    plus = lambda terms: " + ".join(terms)
+    total = lambda c: plus(f"{c}{k}" for k in digits)
+    # products of counts pass 2^63 long before the counts do; below 2^31 points on either side all sums of products fit
+    exact = lambda c: f"CAST({c} AS DECIMAL(19,0))"
+    product = lambda s, b: f"CAST({exact(s)} * {exact(b)} AS DECIMAL(38,0))"
+
+    def both(pairs: list[tuple[str, str]]) -> str:
+        small = plus(f"{s} * ({b})" for s, b in pairs)
+        return f"CASE WHEN small THEN CAST({small} AS DECIMAL(38,0)) ELSE {plus(product(s, b) for s, b in pairs)} END"
+
+    below = [(f"s{k}", plus(f"b{m}" for m in range(k))) for k in digits[1:]]
+    above = [(f"s{k}", plus(f"b{m}" for m in range(k + 1, _DIGITS))) for k in digits[:-1]]
+    marked = walked.selectExpr("*", f"{total('s')} < 2147483648L AND {total('b')} < 2147483648L AS small")
+    return marked.selectExpr(*counted.columns, f"{both(below)} AS agree", f"{both(above)} AS disagree")
+
+
+def _bucketed(coded: DataFrame, n: int) -> DataFrame:
+    """Add ``buckets``: for each code the bucket of its column that it lies in, of 256 with about the same number of rows."""
+    cuts = F.array(*[F.lit(c) for c in EVEN_CUTS])
+    edges = coded.agg(F.array(*[F.percentile_approx(F.col("codes")[k], cuts, F.lit(SKETCH_ACCURACY)) for k in range(n)]).alias("edges"))
+    out = coded.withColumn("_edges", edges.scalar())
+    return out.select("codes", F.array(*[cuts_below(F.col("_edges")[k], F.col("codes")[k], len(EVEN_CUTS)) for k in range(n)]).alias("buckets"))
+
+
 def _pairs(columns: Sequence[str], target: str | None) -> list[tuple[int, int]]:
     every = combinations(range(len(columns)), 2)
     return [(i, j) for i, j in every if target is None or target in (columns[i], columns[j])]

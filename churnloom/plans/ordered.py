@@ -14,37 +14,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets are about 1/4096 apart in relative size, down to 1e-12 around zero.
-_STEPS = 4096
-_FINEST = 1e12
-_LARGEST = 1e290
+#: rank error of a quantile sketch (1 / accuracy), and the cut points of a column in 256 buckets of about the same size
+SKETCH_ACCURACY = 10_000
+EVEN_CUTS = tuple(k / 256 for k in range(1, 256))
 
 
-def value_bucket(value: Column) -> Column:
-    """Monotone bucket number of a numeric value; fine everywhere, at most a few million numbers."""
-    v = value.cast("double")
-    size = F.least(F.abs(v), F.lit(_LARGEST)) * F.lit(_FINEST)
-    return F.floor(F.signum(v) * F.log1p(size) * F.lit(_STEPS)).cast("long")
+def cuts_below(edges: Column, value: Column, n: int) -> Column:
+    """How many of the ``n`` sorted ``edges`` lie below ``value``, by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)])
+    # beyond the last edge there is null, which is not below
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) < value, at + step).otherwise(at))
 
 
-#: cut points of a group's order column, and the rank error of the sketch they come from (1 / accuracy)
-_CUTS = 255
-_ACCURACY = 10_000
-
-
-def even_buckets(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Add ``_bucket``, monotone in ``order``, so that the rows of a group spread evenly over 256 buckets.
+def even_buckets(
+    df: DataFrame, keys: Sequence[str], order: str, cuts: Sequence[float] = EVEN_CUTS, rows: DataFrame | None = None
+) -> DataFrame:
+    """Add ``_bucket``, monotone in ``order``: which of a group's cut points a row lies between.
 
-    Cut points come from a quantile sketch of fixed size per group; results built on the buckets do
-    not depend on how accurate it is.
+    Cut points are the quantiles ``cuts`` of ``order`` in ``rows`` (the same columns, by default ``df`` itself), from a sketch of
+    fixed size per group; results built on the buckets do not depend on how accurate it is.
     """
-    cuts = F.array(*[F.lit((k + 1) / (_CUTS + 1)) for k in range(_CUTS)])
-    edges = df.groupBy(*keys).agg(F.percentile_approx(order, cuts, F.lit(_ACCURACY)).alias("_edges"))
-    steps = F.array(*[F.lit(1 << k) for k in range((_CUTS + 1).bit_length() - 2, -1, -1)])
-    value = F.col(order)
-    # how many cut points lie below the value, by halving
-    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_edges", at + step - 1) < value, at + step).otherwise(at))
-    return df.join(edges, list(keys)).select(*df.columns, below.alias("_bucket"))
+    places = F.array(*[F.lit(float(c)) for c in cuts])
+    edges = (df if rows is None else rows).groupBy(*keys).agg(F.percentile_approx(order, places, F.lit(SKETCH_ACCURACY)).alias("_edges"))
+    return df.join(edges, list(keys)).select(*df.columns, cuts_below(F.col("_edges"), F.col(order), len(cuts)).alias("_bucket"))
 
 
 def tall(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -105,16 +97,15 @@ def running_totals(
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Interpolated quantiles of ``value`` per ``keys``: one row per (keys, prob), column ``quantile``.
 
-    Only buckets that hold a wanted position go through the inner window; every other value is
-    just counted. Equal values are counted once, so heavy ties cost nothing.
+    A quantile sketch brackets every wanted position on both sides; values outside of the brackets are only counted, and
+    only those in a bucket that holds a wanted position are sorted. Should the sketch be off by more than it promises, the position
+    lies in another bucket and is found there. Equal values are counted once, so heavy ties cost nothing.
     """
-    counts = (
-        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", value_bucket(F.col("_v")))
-        .where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_bucket"]))
+    numbers = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
+        " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_v"]) + " AND NOT isnan(_v)"
     )
+    counts = numbers.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = even_buckets(counts, keys, "_v", _brackets(probs), numbers)
     group = Window.partitionBy(*keys)
     up_to = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = F.col("prob") * (F.col("_total") - 1)
@@ -145,6 +136,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     )
 
 
+def _brackets(probs: Sequence[float]) -> list[float]:
+    """Twice the sketch's rank error to either side of the wanted positions, and 31 even cuts for what lies between."""
+    off = 2 / SKETCH_ACCURACY
+    sides = {min(max(p + d, 0.0), 1.0) for p in probs for d in (-off, off)}
+    return sorted(sides | {k / 32 for k in range(1, 32)})
+
+
 def dense_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per ``keys`` with their 0-based rank in column ``rank``."""
     distinct = df.select(*keys, value).distinct().withColumn("_one", F.lit(1).cast("long"))

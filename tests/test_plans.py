@@ -6,8 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from churnloom.plans.kendall import kendall_matrix, kendall_pairs, ranks_with, strong_pairs, weak_features
-from churnloom.plans.ordered import dense_ranks, even_buckets, exact_quantiles, running_totals, value_bucket
+from churnloom.plans.kendall import _met, kendall_matrix, kendall_pairs, ranks_with, strong_pairs, weak_features
+from churnloom.plans.ordered import _brackets, dense_ranks, even_buckets, exact_quantiles, running_totals
 
 PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -38,9 +38,29 @@ def test_quantiles_skip_missing(spark):
 def test_buckets_are_monotone(spark):
     rng = np.random.default_rng(3)
     v = np.sort(np.concatenate([rng.normal(0, 10.0**e, 200) for e in range(-14, 15)] + [[0.0, 1e300, -1e300]]))
-    rows = spark.createDataFrame([(k, float(x)) for k, x in enumerate(v)], "k int, v double")
-    buckets = [r.b for r in rows.select("k", value_bucket(F.col("v")).alias("b")).orderBy("k").collect()]
-    assert buckets == sorted(buckets)
+    rows = spark.createDataFrame([(0, float(x)) for x in v], "k int, v double")
+    for cuts in (_brackets(PROBS), [0.5], [0.2, 0.4, 0.6, 0.8]):
+        buckets = [r._bucket for r in even_buckets(rows, ["k"], "v", cuts).orderBy("v").collect()]
+        assert buckets == sorted(buckets) and set(buckets) <= set(range(len(cuts) + 1))
+
+
+def test_quantiles_of_values_that_are_close_together(spark):
+    """A million values within 1e-4: exact, and the buckets that hold a wanted position hold under 1 % of them."""
+    df = spark.range(1_000_000).select(F.lit(0).alias("k"), (1000 + F.rand(5) * 1e-4).alias("v"))
+    got = {r.prob: r.quantile for r in exact_quantiles(df, ["k"], "v", PROBS).collect()}
+    v = df.toPandas()["v"].to_numpy()
+    assert [got[p] for p in PROBS] == pytest.approx(list(np.quantile(v, PROBS)), abs=1e-12)
+    sizes = np.bincount([r._bucket for r in even_buckets(df, ["k"], "v", _brackets(PROBS)).select("_bucket").collect()])
+    ends = np.cumsum(sizes)
+    sorted_rows = {int(np.searchsorted(ends, p * (len(v) - 1), side="right")) for p in PROBS}
+    assert max(sizes[b] for b in sorted_rows) < 0.01 * len(v)
+
+
+def test_quantiles_at_both_ends_of_the_doubles(spark):
+    values = [-1.7e308, -1e291, -5e-324, 0.0, 5e-324, 1e291, 1.1e291, 1.7e308]
+    df = spark.createDataFrame([(0, v) for v in values], "k int, v double")
+    got = {r.prob: r.quantile for r in exact_quantiles(df, ["k"], "v", [k / 7 for k in range(8)]).collect()}
+    assert [got[k / 7] for k in range(8)] == values
 
 
 def test_running_totals_both_ways(spark):
@@ -94,6 +114,31 @@ def test_kendall_equals_all_pairs(study):
         assert r.tau is None if want is None else r.tau == pytest.approx(want, abs=1e-12)
 
 
+def test_kendall_of_long_columns(spark):
+    """Several digits on both sides, many buckets, heavy ties, and codes of 63 bits, against pairs counted one by one."""
+    rng = np.random.default_rng(2)
+    n = 1500
+    a = rng.permutation(n) * 1.5
+    b = np.where(rng.random(n) < 0.7, 0, rng.integers(0, 10**6, n))
+    c = np.where(rng.random(n) < 0.5, a, rng.normal(size=n) * 1000)
+    d = np.array([0, 2**62] * (n // 2)) + rng.integers(0, 2**61, n)
+    rows = [(str(k), float(a[k]), int(b[k]), float(c[k]), int(d[k])) for k in range(n)]
+    df = spark.createDataFrame(rows, "id string, a double, b long, c double, d long")
+    ranks = {k: np.unique(v, return_inverse=True)[1].astype(float) for k, v in {"a": a, "b": b, "c": c, "d": d}.items()}
+    got = {(r.feature_a, r.feature_b): r.tau for r in kendall_pairs(df, list("abcd"), "id").collect()}
+    assert got == {k: pytest.approx(_tau(ranks[k[0]], ranks[k[1]]), abs=1e-12) for k in got} and len(got) == 6
+
+
+def test_large_counts_agree_with_small_ones(spark):
+    """The walk over counts beyond 2^31 goes through decimals, and gives the multiple."""
+    digits = [f"CAST(k * {7 * m + 3} % 11 * size AS BIGINT) AS s{m}" for m in range(16)]
+    sums = {}
+    for size in (1, 2**33):
+        df = spark.range(40).selectExpr("id % 4 AS g", "id AS k", f"{size}L AS size").selectExpr("g", "k", *digits)
+        sums[size] = _met(df, ["g"], "k").agg(F.sum("agree"), F.sum("disagree")).first()
+    assert [int(v) * 2**66 for v in sums[1]] == [int(v) for v in sums[2**33]] and min(sums[1]) > 0
+
+
 def test_kendall_matrix_and_filters(study):
     df, cols = study
     m = {(r.feature_a, r.feature_b): r.tau for r in kendall_matrix(df, ["x", "frac", "flag"], "id").collect()}
