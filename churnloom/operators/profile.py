@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnloom.functions.scalars import calendar_parts, city, datetime_text, missing, state
 
@@ -32,6 +33,18 @@ def peek(df: DataFrame, n: int = 2) -> DataFrame:
     return df.limit(n)
 
 
+def keyed_sample(df: DataFrame, n: int, seed: int = 1234) -> DataFrame:
+    """The ``n`` rows with the smallest digests: a random sample that is the same under every partitioning.
+
+    Each task keeps its ``n`` smallest, which are merged; nothing is shuffled. Samples of parts of a table, taken together and
+    sampled again, give the sample of the whole. The digest is taken of all columns but fractional ones; ties go by all columns, so
+    only equal rows are interchangeable. Null is text of its own.
+    """
+    texts = [F.coalesce(F.col(f.name).cast("string"), F.lit("~")) for f in df.schema.fields if not isinstance(f.dataType, T.FractionalType)]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *texts))
+    return df.withColumn("_digest", digest).orderBy("_digest", *df.columns).limit(n).drop("_digest")
+
+
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     """Rows per key combination."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,9 @@ from churnloom.operators import profile as P
 from churnloom.operators import relevance as R
 from churnloom.operators import split as S
 from churnloom.operators.features import without
+from churnloom.operators.sketches import rank_certificate
 from churnloom.plans import kendall as K
+from churnloom.plans.ordered import SKETCH_ACCURACY
 from churnloom.prepare import prepare_splits, write_train_test
 from churnloom.queries.common import (
     DIGEST_SQL,
@@ -62,6 +64,14 @@ def _on_train(build):
     return lambda spark, sf_dir: tidy(build(_train(stored_features(spark, sf_dir))))
 
 
+def _medians_checked(features: DataFrame) -> DataFrame:
+    """Whether the approximate class medians have the ranks that their sketch promises."""
+    medians = R.class_medians(features, NUMERIC_FEATURES, approximate=True)
+    rows = R.long_features(features, NUMERIC_FEATURES)
+    found = medians.select("feature", "churn", F.array("median").alias("quantiles"))
+    return rank_certificate(rows, "value", ["feature", "churn"], found, [0.5], 1 / SKETCH_ACCURACY).drop("prob")
+
+
 def _pairs(train: DataFrame, target: str | None = None) -> DataFrame:
     return K.kendall_pairs(train, MATRIX_COLUMNS, KEY, target)
 
@@ -110,6 +120,7 @@ QUERIES = {
     "class_histograms_full": _features(lambda f: R.class_histograms(f, HISTOGRAM_FULL, HISTOGRAM_WIDTH)),
     "class_medians": _stored(lambda f: R.class_medians(f, NUMERIC_FEATURES)),
     "class_medians_approx": _features(lambda f: R.class_medians(f, NUMERIC_FEATURES, approximate=True)),
+    "class_medians_checked": _stored(_medians_checked),
     "class_five_numbers": _stored(R.five_numbers),
     "binned_scatter": _on_train(lambda f: R.binned_scatter(f, widths=SCATTER_WIDTHS)),
     # relevance
@@ -249,6 +260,9 @@ ORACLES = {
     "class_medians": sql_features(
         "SELECT feature, churn, round(m, 6) AS median FROM med", tall(NUMERIC_FEATURES), _MEDIANS
     ),
+    "class_medians_checked": sql_features(
+        "SELECT feature, churn, count(*) AS n, true AS close FROM tall GROUP BY ALL", tall(NUMERIC_FEATURES)
+    ),
     "class_five_numbers": sql_features(
         """SELECT feature, churn, round(min(value), 6) AS minimum, round(quantile_cont(value, 0.25), 6) AS q1,
         round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnloom.operators import profile as P
+from churnloom.operators import sketches as K
 from churnloom.operators.clean import blank_users, clean_profile, clean_v1, clean_v2, cleaning_report
 from churnloom.operators.sessions import preprocess_v1, preprocess_v2
 from churnloom.queries.common import CLEAN_SQL, V1_LOG, V2_LOG, sql_log, text_time, tidy
 from churnloom.schema import LOG_COLUMNS
-from churnloom.session import scratch_path
+from churnloom.session import cut_lineage, scratch_path
 from churnloom.sources.activity_log import activity_log
 from churnloom.sources.log_files import read_log, read_table, write_table
 
@@ -32,14 +33,39 @@ def _to_digits(summary):
     return summary.withColumns({c: F.when(coarse, F.round(c, -3)).otherwise(F.col(c)) for c in ("mean", "stddev", "min", "max")})
 
 
+#: rows of the keyed sample
+SAMPLE_ROWS = 100
+
+MONTH = "date_format({}, 'yyyy-MM')"
+
+
+def _distinct_checked(log):
+    """Distinct values of all days from one stored sketch a day, held against the exact numbers."""
+    sketches = cut_lineage(K.daily_distinct(log, LOG_COLUMNS), "sketches")
+    return K.distinct_certificate(K.distinct_between(sketches), P.distinct_counts(log))
+
+
+def _length_quantiles_checked(log):
+    """Quartiles of the song length by month from one stored sketch a day, held against their real ranks."""
+    sketches = cut_lineage(K.daily_quantiles(log, "length"), "sketches")
+    quartiles = K.quantiles_between(sketches, QUARTILES, [F.expr(MONTH.format("day")).alias("month")])
+    rows = log.select("length", F.date_format(K.day_of("ts"), "yyyy-MM").alias("month"))
+    return K.rank_certificate(rows, "length", ["month"], quartiles, QUARTILES)
+
+
+QUARTILES = (0.25, 0.5, 0.75)
+
 QUERIES = {
     # size, schema, missing and distinct values
     "log_size": _on(LOG_COLUMNS, P.size),
     "log_peek": _on(LOG_COLUMNS, P.peek),
+    "log_sample": _on(LOG_COLUMNS, lambda log: P.keyed_sample(log, SAMPLE_ROWS)),
     "log_types": _on(LOG_COLUMNS, P.column_types),
     "log_missing": _on(LOG_COLUMNS, P.missing_counts),
     "log_distinct": _on(LOG_COLUMNS, P.distinct_counts),
     "log_distinct_approx": _on(LOG_COLUMNS, lambda log: P.distinct_counts(log, approximate=True)),
+    "log_distinct_checked": _on(LOG_COLUMNS, _distinct_checked),
+    "length_quantiles_checked": _on(["length", "ts"], _length_quantiles_checked),
     "log_describe": _on(list(DESCRIBED), lambda log: _to_digits(P.describe(log, list(DESCRIBED)))),
     "cleaning_report": _on(["userId"], cleaning_report),
     "user_count": _on(["userId"], lambda log: log.agg(F.countDistinct("userId").alias("n_users"))),
@@ -208,6 +234,12 @@ def _types_sql():
     )
 
 
+def _sample_sql():
+    texts = ", ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '~')" for c in LOG_COLUMNS if c != "length")
+    order = ", ".join(f'"{c}" NULLS FIRST' for c in LOG_COLUMNS)
+    return f"SELECT {_LOG} FROM log ORDER BY md5(concat_ws('|', '1234', {texts})), {order} LIMIT {SAMPLE_ROWS}"
+
+
 def _share_sql(c):
     return (
         f"SELECT {c}, count(*) AS n, round(round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM log), 2) * 100, 6) AS percentage "
@@ -223,6 +255,11 @@ ORACLES = {
     "log_distinct": _long_sql(LOG_COLUMNS, _DISTINCT, "n_distinct"),
     "log_describe": _describe_sql(),
     "log_types": _types_sql(),
+    "log_sample": _sample_sql(),
+    "log_distinct_checked": _long_sql(LOG_COLUMNS, _DISTINCT, "n_distinct, true AS close"),
+    "length_quantiles_checked": """SELECT strftime(make_timestamp((ts // 1000) * 1000000), '%Y-%m') AS month, unnest([0.25::DOUBLE, 0.5, 0.75]) AS prob,
+        n, true AS close FROM (SELECT min(ts) AS ts, count(length) AS n FROM log WHERE length IS NOT NULL
+          GROUP BY strftime(make_timestamp((ts // 1000) * 1000000), '%Y-%m'))""",
     "cleaning_report": """SELECT count(*) AS rows_before, count(*) FILTER (WHERE "userId" <> '') AS rows_after,
         count(*) - count(*) FILTER (WHERE "userId" <> '') AS rows_removed FROM log""",
     "user_count": 'SELECT count(DISTINCT "userId") AS n_users FROM log',
