@@ -10,7 +10,7 @@ product. Bounds go from coarse to fine; a candidate is dropped once its bound is
 best score found so far, survivors are computed exactly (integers, no rounding).
 
 Vectors are packed into chunks, queries into blocks; every chunk meets every block of the same
-dimension (the blocks a chunk goes to are listed, then joined by block number), each meeting
+dimension, each meeting
 returns k rows for each query at most, and the best k of these partial lists are kept.
 
 Vectors that are null, empty or hold a null or non-finite component take no part, nor do rows with a null
@@ -47,14 +47,30 @@ def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "
     return own.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("v"), F.size("e").alias("dim"))
 
 
+def _parts(df: DataFrame, size: int) -> Column:
+    """Into how many parts of ``size`` rows on average the rows are cut."""
+    return df.agg(F.greatest(F.ceil(F.count("*") / size), F.lit(1)).cast("int")).scalar()
+
+
 def _packed(df: DataFrame, size: int, key: str) -> DataFrame:
-    """Rows of one dimension in chunks of ``size`` on average: (dim, key, ids, vs)."""
-    total = df.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int")
-    dealt = df.join(total, "dim").select("dim", part.alias(key), "vec_id", "v")
+    """The rows of each dimension in parts of ``size`` at most on average: (dim, key, ids, vs)."""
+    dealt = df.withColumn("parts", _parts(df, size)).select("dim", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int").alias(key), "vec_id", "v")
     return dealt.groupBy("dim", key).agg(F.collect_list("vec_id").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
 
 
+def meetings(own: DataFrame, asked: DataFrame) -> DataFrame:
+    """(dim, chunk, block, ids, vs, q_ids, q_vs): every chunk of ``own`` with every block of ``asked`` of its dimension.
+
+    Both sides list the meetings they go to, and a meeting is the join key: the meetings of one block, or of one chunk, are dealt
+    over all tasks like any others.
+    """
+    listed = lambda df, size, key: F.explode(F.sequence(F.lit(0), _parts(df, size) - 1)).alias(key)
+    chunks = _packed(own, CHUNK, "chunk").select("*", listed(asked, BLOCK, "block"))
+    blocks = _packed(asked, BLOCK, "block").select("*", listed(own, CHUNK, "chunk"))
+    sent = blocks.select("dim", "chunk", "block", F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"))
+    return chunks.join(sent, ["dim", "chunk", "block"])
+
+
 def _bounds(q: np.ndarray, x: np.ndarray, parts: int) -> np.ndarray:
     """Lower bounds of all squared distances at one resolution."""
     total = 0.0
@@ -130,10 +146,6 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, vec_id: str = "ve
     """
     own = stored(whole_vectors(vectors, vec_id, embedding), "vectors")
     asked = own.where(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "dim")).alias("q")).select("vec_id", "q.*")
-    blocks = _packed(asked, BLOCK, "block").select("dim", "block", F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"))
-    count = blocks.groupBy("dim").agg(F.max("block").alias("last"))
-    chunks = _packed(own, CHUNK, "chunk").join(count, "dim")
-    sent = chunks.withColumn("block", F.explode(F.sequence(F.lit(0), "last"))).select("dim", "block", "ids", "vs")
-    partial = sent.join(blocks, ["dim", "block"]).mapInPandas(_meet(k), "query_id bigint, vec_id bigint, score bigint")
+    partial = meetings(own, asked).mapInPandas(_meet(k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -36,6 +36,24 @@ def test_top_k_equals_brute_force(spark, monkeypatch, chunk, block):
     assert got == brute_top(rows)
 
 
+def test_meetings_of_one_block_are_dealt_over_the_tasks(spark, monkeypatch):
+    """Forty chunks and one block of queries: no task holds them all, and each meeting takes place once."""
+    monkeypatch.setattr(topk, "CHUNK", 512)
+    rows = spark.range(20_480).select(F.col("id").alias("vec_id"), F.array(F.rand(1), F.rand(2)).alias("v")).withColumn("dim", F.size("v"))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {c: spark.conf.get(c, None) for c in names}
+    for c, v in zip(names, ("-1", "-1", "false"), strict=True):
+        spark.conf.set(c, v)
+    try:
+        met = topk.meetings(rows, rows.where("vec_id < 400")).select("chunk", "block", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    assert sorted((r.chunk, r.block) for r in met) == [(k, 0) for k in range(40)]
+    per_task = [[r.task for r in met].count(t) for t in {r.task for r in met}]
+    assert len(per_task) >= 6 and max(per_task) <= 12
+
+
 def test_top_k_of_odd_vectors(spark):
     rng = random.Random(2)
     rows = [(k, [rng.uniform(-2, 2) for _ in range(9)]) for k in range(60)]
