@@ -6,14 +6,14 @@
    smallest cap per weight).
 2. The documents of a source, in the order of (id bucket, id, ...), are one stream of words, cut
    into blocks of ``BLOCK`` words (the last one shorter). Offsets are prefix sums in two steps,
-   inside buckets of ids and over the buckets of a source.
+   inside ranges of ids, cut where a sketch of the ids says, and over the ranges of a source.
 3. A source has as many slots as its target needs; its last slot is cut, so that the words taken
    are the target exactly (rounded down). A shard has ``SHARD_SLOTS`` places (the last one fewer).
    Every place draws its source with the chances of the quotas that remain: a Feistel permutation
    deals the slots of all sources to all places. The source counts of a shard are so a
    multinomial draw given what the quotas leave to it.
 4. The places of a source, in the order of (shard, place), take its slots one after another: counts
-   in cells of ``CELL`` places, prefix sums over the cells, ranks inside them. Slot j is block P(j mod
+   in cells of ``CELL`` places, prefix sums over the cells (``CELLS`` of them first, then over those), ranks inside them. Slot j is block P(j mod
    blocks) of pass j div blocks, P being a pseudorandom permutation of the block numbers for
    each source and pass: a Feistel network on the smallest rectangle a x b that holds the
    numbers, walked on until it falls inside. So a source is read through before it repeats.
@@ -26,18 +26,25 @@ id are documents of their own.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnloom.llm.store import fresh, only, stored
+from churnloom.plans.ordered import cuts_below, running_totals
 
 WEIGHTS = (3, 1, 2)
 EPOCHS = 1.5
 MOST = 2
 BLOCK = 256
-BUCKET = 1024
+BUCKETS = 1024
 SHARD_SLOTS = 4096
 CELL = 256
+#: cells that are added up together
+CELLS = 4096
+#: words that one task of the mix handles, about
+TASK_WORDS = 1 << 24
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
@@ -75,10 +82,23 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: float = EPOCHS,
     return per.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(share).alias("target"))
 
 
+def bucketed(sizes: DataFrame) -> DataFrame:
+    """Documents with ``bucket``, monotone in the id: ``BUCKETS`` ranges of ids with about the same number of documents.
+
+    The cuts come from a quantile sketch, so that sparse or hashed ids spread like dense ones; no result depends on where they lie.
+    """
+    cuts = F.array(*[F.lit(k / BUCKETS) for k in range(1, BUCKETS)])
+    edges = sizes.agg(F.percentile_approx("doc_id", cuts, F.lit(8 * BUCKETS)).alias("edges")).scalar()
+    at = cuts_below(F.col("edges"), F.col("doc_id"), BUCKETS - 1)
+    # rows without an id come first
+    spread = -1 - F.pmod("tie", F.lit(BUCKETS))
+    bucket = F.when(F.col("doc_id").isNull(), spread).otherwise(at)
+    return sizes.withColumn("edges", edges).withColumn("bucket", bucket.cast("bigint")).drop("edges")
+
+
 def offsets(sizes: DataFrame) -> DataFrame:
     """Documents with ``start``, the words of their source before them."""
-    bucket = F.coalesce(F.floor(F.col("doc_id") / BUCKET), -1 - F.pmod("tie", F.lit(BUCKET)))
-    rows = sizes.withColumn("bucket", bucket)
+    rows = bucketed(sizes)
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
     ahead = F.sum("held").over(Window.partitionBy("source").orderBy("bucket")) - F.col("held")
     totals = totals.select(F.col("source").alias("s"), F.col("bucket").alias("b"), ahead.alias("ahead"))
@@ -108,6 +128,12 @@ def permuted(x: Column, n: Column, key: Column, back: bool = False) -> Column:
     return F.aggregate(steps, step(x), lambda v, _: F.when(v < n, v).otherwise(step(v)))
 
 
+def tasks_for(goals: DataFrame) -> int:
+    """Tasks that work on the whole mix: as many as its words ask for, and not fewer than a shuffle has."""
+    words = goals.agg(F.sum("target")).first()[0] or 0
+    return max(int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(words / TASK_WORDS))
+
+
 def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """(source, block, words, turn, shard, slot, place, places): every place of the mix and what it takes.
 
@@ -115,6 +141,8 @@ def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS)
     slot in its source.
     """
 
+    tasks = tasks_for(goals)
+
     def end_of(of_pass: Column) -> Column:
         return permuted(F.col("blocks") - 1, F.col("blocks"), F.xxhash64("source", of_pass))
 
@@ -132,14 +160,13 @@ def slots(goals: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS)
     goals = goals.withColumn("base", F.sum("own").over(by_name) - F.col("own")).withColumn("places", F.sum("own").over(Window.partitionBy()))
     # ranges of at most 4096 numbers first, so that no row unfolds into a whole source
     runs = goals.select("no", "base", "own", "places", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("own") - 1) / 4096))).alias("run"))
-    # few rows that become many: a fixed number of tasks, which their size would not ask for
-    tasks = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few rows that become many: they say how many tasks, which their size would not ask for
     every = runs.repartition(tasks, "no", "run").withColumn("j", F.explode(F.sequence(F.col("run") * 4096, F.least((F.col("run") + 1) * 4096, "own") - 1)))
     drawn = stored(every.select("no", permuted(F.col("base") + F.col("j"), F.col("places"), F.lit(SEED).cast("bigint")).alias("place")), "places")
     drawn = drawn.withColumn("cell", F.floor(F.col("place") / CELL))
     counts = drawn.groupBy("cell", "no").agg(F.count("*").alias("n"))
-    ahead = F.sum("n").over(Window.partitionBy("no").orderBy("cell")) - F.col("n")
-    counts = counts.select("cell", "no", ahead.alias("ahead")).join(goals, "no")
+    counts = running_totals(counts, ["no"], "cell", ["n"], F.floor(F.col("cell") / CELLS))
+    counts = counts.select("cell", "no", (F.col("run_n") - F.col("n")).alias("ahead")).join(goals, "no")
     rank = F.row_number().over(Window.partitionBy("cell", "no").orderBy("place")) - 1
     met = drawn.withColumn("rank", rank).join(counts, ["cell", "no"]).withColumn("turn", F.col("ahead") + F.col("rank"))
     met = met.withColumn("pass", F.floor(F.col("turn") / F.col("blocks"))).withColumn("at", F.col("turn") % F.col("blocks"))
@@ -191,9 +218,9 @@ def mixed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source
     runs of whole words with the white space after each; the parts of a document that
     a slot takes in full put together again give its text. ``n_chars`` is counted anew where the column exists.
     """
-    parts, _ = placed(stored(sized(docs, doc_id, text, source), "sizes"), **options)
+    parts, goals = placed(stored(sized(docs, doc_id, text, source), "sizes"), **options)
     key, tie, held, words, place, start, task = (fresh(x) for x in ("key", "tie", "parts", "words", "place", "start", "task"))
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks_for(goals)
     of_task = F.floor(F.col("place") * tasks / F.col("places")).cast("int")
     gathered = parts.groupBy(F.col("key").alias(key), F.col("tie").alias(tie)).agg(F.collect_list(F.struct("low", "high", "shard", "slot", "place", "start", of_task.alias("task"))).alias(held))
     own = dict(zip((key, tie), _keys(*[F.col(f"`{c}`") for c in (doc_id, text, source)]), strict=True))

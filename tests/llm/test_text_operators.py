@@ -438,3 +438,25 @@ def test_pipeline_decisions_take_effect(spark):
     left_over = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
     assert left_over <= {"stage4", "shards", "sequences"}
     assert sorted(r.slot for r in last) == list(range(len(last)))
+
+
+def test_sparse_ids_spread_over_the_buckets_of_a_mix(spark):
+    """Hashed ids of one source: bounded numbers of buckets and of rows in each, and starts in the order of the ids."""
+    docs = spark.range(20_000).selectExpr("xxhash64(id) AS doc_id", "'a' AS source", "repeat('w ', CAST(id % 7 AS INT)) AS text")
+    sizes = mixing.sized(docs.unionByName(docs.limit(0)))
+    held = [r["count"] for r in mixing.bucketed(sizes).groupBy("bucket").count().collect()]
+    assert len(held) <= mixing.BUCKETS and max(held) <= 3 * 20_000 / mixing.BUCKETS
+    rows = sorted(mixing.offsets(sizes).collect(), key=lambda r: r.doc_id)
+    at = 0
+    for r in rows:
+        assert r.start == at
+        at += r["size"]
+
+
+def test_rows_without_ids_are_mixed(spark):
+    docs = spark.createDataFrame([(None, "a", f"x{k} y") for k in range(30)] + [(k, "a", "z") for k in range(5)], "doc_id bigint, source string, text string")
+    starts = sorted((r.start, r["size"]) for r in mixing.offsets(mixing.sized(docs)).collect())
+    assert [s for s, _ in starts] == [sum(n for _, n in starts[:k]) for k in range(35)]
+    none = docs.where("text IS NULL")
+    assert mixing.taken_words(none).count() == 0
+    assert sum(r.taken for r in mixing.taken_words(docs).collect()) == 97  # 65 words, 150 percent of them
