@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,20 @@ def meta_features(base: PipelineModel, rows: DataFrame, with_gbt: bool = True, k
     return base.transform(rows).select(key, *META_PREDICTIONS, *META_PROBABILITIES, *extra, "label")
 
 
+def meta_violations(meta: DataFrame, probabilities: Sequence[str] = (*META_PROBABILITIES, "prob_gbt")) -> DataFrame:
+    """Per label: rows, predictions other than 0 and 1, probability vectors that are none, predictions of the less likely class."""
+    wrong = [F.count_if(F.col(c).isNull() | ~F.col(c).isin(0.0, 1.0)) for c in META_PREDICTIONS]
+    entries = {c: vector_to_array(F.col(c)) for c in probabilities}
+    fair = {c: F.forall(v, lambda x: x.between(0, 1)) & (F.abs(F.aggregate(v, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9) for c, v in entries.items()}
+    less = {c: F.when(F.col(c.replace("prob_", "pred_")) == 1, v[1] < v[0]).otherwise(v[1] > v[0]) for c, v in entries.items()}
+    return meta.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"),
+        reduce(add, wrong).alias("bad_predictions"),
+        reduce(add, [F.count_if(~F.coalesce(ok, F.lit(False))) for ok in fair.values()]).alias("bad_probabilities"),
+        reduce(add, [F.count_if(F.coalesce(x, F.lit(True))) for x in less.values()]).alias("contradictions"),
+    )
+
+
 def meta_preparation() -> Pipeline:
     """Predictions as they are, probability vectors standardised."""
     return Pipeline(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from churnloom.ml import certificates as C
 from churnloom.ml import metrics as M
-from churnloom.ml.stacking import base_scores, fit_base, meta_features, stack_and_score
+from churnloom.ml.stacking import base_scores, fit_base, meta_features, meta_violations, stack_and_score
 from churnloom.ml.stages import META_GRID, SHORT_NAMES, SPOT_CHECK, TUNE_V1_SAMPLE, TUNE_V2_SAMPLE, classifier, param_maps, preparation
 from churnloom.ml.trees import tree_nodes
 from churnloom.ml.tune import scored, spot_check, tune, with_folds
@@ -267,6 +267,13 @@ def _meta_features(spark, sf_dir):
     return tidy(table.select(KEY, "label", *[c for c in table.columns if c.startswith("pred_")], *[vector_to_array(c)[1].alias(c) for c in vectors]))
 
 
+def _meta_checked(spark, sf_dir):
+    """Per label: rows of the meta table, and entries that no base learner may give."""
+    made = _three_ways(spark, sf_dir)
+    table = meta_features(fit_base(made["train"]), made["validation"])
+    return tidy(meta_violations(table, [c for c in table.columns if c.startswith("prob_")]))
+
+
 @once_per_session
 def _stacked_search(spark, sf_dir, name):
     made = _three_ways(spark, sf_dir)
@@ -349,6 +356,7 @@ QUERIES = {
     "base_checked": _base_checked,
     "base_predictions": _base_predictions,
     "meta_features": _meta_features,
+    "meta_checked": _meta_checked,
     "stacked_scores": _stacked,
 }
 
@@ -494,6 +502,11 @@ ORACLES = {
         FROM split, (SELECT unnest(['lr', 'rf', 'gbt', 'mlpc', 'lsvc']) AS model) WHERE split = 'validation' GROUP BY model, churn""",
         split_cte(THREE_WAY_SAMPLE),
     ),
+    "meta_checked": sql_features(
+        f"""SELECT {_LABELS}, CAST(0 AS BIGINT) AS bad_predictions, CAST(0 AS BIGINT) AS bad_probabilities, CAST(0 AS BIGINT) AS contradictions
+        FROM split WHERE split = 'validation' GROUP BY churn""",
+        split_cte(THREE_WAY_SAMPLE),
+    ),
     "stacked_checked": sql_features(f"SELECT {_LABELS}, {_ZEROS} FROM split WHERE split = 'test' GROUP BY churn", split_cte(THREE_WAY_SAMPLE)),
     "lr_certificate": f"SELECT CAST(position AS BIGINT) AS position, CAST(0 AS DOUBLE) AS violation FROM range(-1, {len(BINARY_V1) + len(CONTINUOUS_V1)}) g(position)",
     "dt_certificate": sql_features(f"SELECT {_LABELS}, CAST(0 AS BIGINT) AS bad_leaves FROM split WHERE split = 'train' GROUP BY churn", split_cte(TRAIN_TEST)),

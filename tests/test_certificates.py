@@ -55,3 +55,19 @@ def test_forests_vote_and_boosters_average(rows):
     assert [r.tree for r in sorted(found)] == [0, 1, 2, 3] and max(r.worst for r in found) < 1e-9
     assert {r.n for r in found} == {rows.count()}
     assert max(r.worst for r in C.residual_errors(reached, [1.0, 0.5, 0.1, 0.1]).collect()) > 1e-3
+
+
+def test_meta_table_with_wrong_entries(spark):
+    """One wrong prediction, one vector that does not sum to 1, one prediction of the less likely class."""
+    from pyspark.ml.linalg import Vectors
+
+    from churnloom.ml.stacking import META_PREDICTIONS, META_PROBABILITIES, meta_violations
+
+    fair = Vectors.dense(0.3, 0.7)
+
+    def row(**other):
+        return {**dict.fromkeys(META_PREDICTIONS, 1.0), **dict.fromkeys([*META_PROBABILITIES, "prob_gbt"], fair), "label": 1.0, **other}
+
+    rows = [row(), row(pred_lsvc=2.0), row(prob_rf=Vectors.dense(0.3, 0.8)), row(prob_gbt=Vectors.dense(0.6, 0.4))]
+    got = meta_violations(spark.createDataFrame(rows)).first()
+    assert (got.n, got.bad_predictions, got.bad_probabilities, got.contradictions) == (4, 1, 1, 1)
