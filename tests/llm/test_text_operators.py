@@ -460,3 +460,87 @@ def test_rows_without_ids_are_mixed(spark):
     none = docs.where("text IS NULL")
     assert mixing.taken_words(none).count() == 0
     assert sum(r.taken for r in mixing.taken_words(docs).collect()) == 97  # 65 words, 150 percent of them
+
+
+def plain_tree(spark, docs):
+    """Recurring (doc_id, line hash) by a tree over words, one line after the other."""
+    spellings = {" ".join(w) for _, text in docs for x in (text or "").split("\n") if len(w := masked(x)) >= lines.MIN_WORDS}
+    hashed = {r.masked: r.line for r in spark.createDataFrame([(x,) for x in spellings], "masked string").selectExpr("masked", "xxhash64(masked) AS line").collect()}
+    leaves, template = defaultdict(list), {}
+    for spelling in sorted(spellings, key=hashed.get):
+        w = spelling.split(" ")
+        own = leaves[len(w), tuple(w[: lines.DEPTH])]
+        same = [sum(a == b for a, b in zip(t, w, strict=True)) for t in own]
+        best = same.index(max(same)) if same else None
+        if best is None or same[best] < lines.SIMILAR * len(w):
+            own.append(w)
+            best = len(own) - 1
+        else:
+            own[best] = [a if a == b else lines.ANY for a, b in zip(own[best], w, strict=True)]
+        template[spelling] = (len(w), *w[: lines.DEPTH], best)
+    has, stands = defaultdict(set), defaultdict(set)
+    for name, text in docs:
+        for x in (text or "").split("\n"):
+            if (t := template.get(" ".join(masked(x)))) is not None:
+                has[name].add((hashed[" ".join(masked(x))], t))
+                stands[t].add(name)
+    return {(name, line) for name, own in has.items() for line, t in own if len(stands[t]) >= lines.MIN_DOCS}
+
+
+def test_templates_equal_a_plain_tree(spark):
+    given = [r for r in rows_of(spark, "documents", "doc_id", "text") if r[1]]
+    # one leaf with many templates and lines that share some of them
+    made = [(10**6 + k, f"the log says w{chr(97 + k % 23)}a w{chr(97 + k % 7)} u{chr(97 + k % 5)} {'abcdefg'[k % 7]}x tail{'xyz'[k % 3]} end") for k in range(400)]
+    docs = [tuple(r) for r in given] + made
+    got = lines.recurring(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    want = plain_tree(spark, docs)
+    assert want and len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_looking_up_templates_changes_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    for width in (4, 5, 7, 10, 33):
+        base = rng.integers(1, 90, (300, width))
+        rows = base[rng.integers(0, 300, 1500)]
+        rows[rng.random(rows.shape) < 0.15] = 0
+        rows[:, : lines.DEPTH] = 1
+        runs = []
+        for limit in (1, 32, 10**9):
+            monkeypatch.setattr(lines, "INDEXED", limit)
+            leaf = lines.Leaf(width, lines.SIMILAR)
+            runs.append([leaf.add(k, w) for k, w in enumerate(rows.astype(np.int16))])
+        assert runs[0] == runs[1] == runs[2] and (width == 4 or len(set(runs[0])) > 32)
+
+
+def test_a_large_leaf_is_dealt_to_groups(spark):
+    """A third of all distinct lines in one leaf: its groups are bounded, its templates are whole again at the end."""
+    letters = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    logs = [(k, f"unit says that {letters[k % 20]} valve {letters[k % 20 + 20]} opened by {letters[k % 397]} for {letters[k // 2000]} now") for k in range(2000)]
+    alone = [(5000 + k, " ".join(["unit says that", *(letters[(k * 7 + j * 31 + k * j) % 400] for j in range(1, 10))])) for k in range(300)]
+    other = [(10_000 + k, f"{letters[k % 400]} {letters[k // 400]} text of its own words") for k in range(4000)]
+    docs = spark.createDataFrame(logs + alone + other, "doc_id bigint, text string")
+    whole = {tuple(r) for r in lines.recurring(docs).collect()}
+    dealt = {tuple(r) for r in lines.recurring(docs, group=64).collect()}
+    assert {d for d, _ in whole} == {d for d, _ in dealt} == {d for d, _ in logs}
+    distinct = docs.selectExpr("xxhash64(substr(text, 1, 14)) AS leaf", "xxhash64(text) AS line", "transform(split(text, ' '), w -> cast(pmod(xxhash64(w), 65535) - 32767 AS smallint)) AS codes", "1L AS n")
+    for turn in range(lines.BANDS + 1):
+        sizes = [r["count"] for r in lines._dealt(distinct, turn, 64).where("open").groupBy("group").count().collect()]
+        assert sum(sizes) == 2300 and max(sizes) < 130
+
+
+def test_templates_of_a_large_leaf_that_stay_apart_meet_by_bands(spark):
+    """More templates than a group takes: lines of a template that were dealt apart still find each other."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for t in range(300):
+        words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(8)]
+        for k in range(6):
+            rows.append((len(rows), " ".join(["all of them", *words[:-1], "".join(chr(97 + c) for c in rng.integers(0, 26, 6))])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert lines.recurring(docs, group=16).select("doc_id").distinct().count() == len(rows)
+
+
+def test_given_columns_of_line_dedup_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b c d\nx", 7, "p", "q")], "doc_id bigint, text string, n_lines int, line string, template string")
+    row = lines.drop_recurring_lines(docs).collect()[0]
+    assert (row.n_lines, row.n_dropped, row.line, row.template, row.text) == (2, 0, "p", "q", "a b c d\nx")
