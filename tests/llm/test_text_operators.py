@@ -544,3 +544,53 @@ def test_given_columns_of_line_dedup_are_replaced(spark):
     docs = spark.createDataFrame([(1, "a b c d\nx", 7, "p", "q")], "doc_id bigint, text string, n_lines int, line string, template string")
     row = lines.drop_recurring_lines(docs).collect()[0]
     assert (row.n_lines, row.n_dropped, row.line, row.template, row.text) == (2, 0, "p", "q", "a b c d\nx")
+
+
+def plain_features(text):
+    """Words, runs of punctuation and pairs of neighbours, as a unit vector of square roots of counts."""
+    import re
+
+    parts = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x00-\x08\x0E-\x1F]+", lower(text))
+    counts = Counter([*parts, *zip(parts[:-1], parts[1:], strict=True)])
+    total = sum(counts.values())
+    return {f: (n / total) ** 0.5 for f, n in counts.items()} | {None: 1.0}
+
+
+def plain_ftrl(rows):
+    """Weights after plain updates, coordinate by coordinate."""
+    from math import exp, sqrt
+
+    z, n = Counter(), Counter()
+
+    def weight(f):
+        if abs(z[f]) <= quality.L1:
+            return 0.0
+        return -(z[f] - (quality.L1 if z[f] > 0 else -quality.L1)) / ((quality.BETA + sqrt(n[f])) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for x, y in rows:
+            own = {f: weight(f) for f in x}
+            miss = 1 / (1 + exp(-sum(own[f] * v for f, v in x.items()))) - y
+            for f, v in x.items():
+                g = miss * v
+                z[f] += g - (sqrt(n[f] + g * g) - sqrt(n[f])) / quality.ALPHA * own[f]
+                n[f] += g * g
+    return {f: weight(f) for f in z}
+
+
+def test_quality_equals_plain_updates(spark):
+    from math import exp
+
+    rng = np.random.default_rng(11)
+    vocabulary = np.array(["alpha", "Beta", "gamma7", "δέλτα", "it", "!!", "--", "end.", "(x)", "omega"])
+    docs = [(k, " ".join(vocabulary[rng.integers(0, 10, rng.integers(1, 40))])) for k in range(120)] + [(200, ""), (201, None)]
+    labels = [(k, int("omega" in text and "!!" in text)) for k, text in docs[:90]]
+    assert 10 < sum(y for _, y in labels) < 80
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    weights = quality.fit(frame, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    order = np.argsort(quality.mix64(np.arange(90, dtype=np.uint64)))
+    plain = plain_ftrl([(plain_features(docs[k][1]), labels[k][1]) for k in order.tolist()])
+    assert sum(w != 0 for w in plain.values()) > 50
+    for r in quality.score(frame, weights).collect():
+        dot = sum(plain.get(f, 0.0) * v for f, v in plain_features(r.text).items())
+        assert abs(r.score - 1 / (1 + exp(-dot))) < 1e-5
