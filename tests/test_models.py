@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -7,7 +8,7 @@ from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, stack_and_score
 from churnloom.ml.stages import TUNE_V1_FULL, TUNE_V1_SAMPLE, TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
 from churnloom.ml.trees import prefix
-from churnloom.ml.tune import grid_search, prepared_folds, scored, spot_check, tune, with_folds
+from churnloom.ml.tune import fit_prepared, grid_search, prepared_folds, scored, spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, parts, stratified_split
 
 
@@ -201,3 +202,38 @@ def test_stacking(stored):
     assert 0.0 <= area <= 1.0
     models = {r.model for r in base_scores(base, made["validation"]).select("model").distinct().collect()}
     assert models == {"lr", "rf", "gbt", "mlpc", "lsvc"}
+
+
+def test_few_partitions_are_put_together_from_computed_rows(train_test):
+    many = train_test["train"].repartition(7, "nr_likes")
+    with prepared_folds(preparation(), many, 3, partitions=2) as data:
+        plan = data.kept._jdf.queryExecution().optimizedPlan().toString()
+        cached = data.kept._jdf.queryExecution().withCachedData().toString()
+        assert data.kept.rdd.getNumPartitions() == 2 and "InMemoryRelation" in cached
+        # the tasks of the kept table read rows, they neither sort nor join nor window
+        assert "Scan ExistingRDD" in plan and not any(step in plan for step in ("Window", "Sort", "Join", "Exchange"))
+        assert data.kept.count() == 105
+
+
+def test_fits_carry_no_plan_along(spark, train_test, monkeypatch):
+    seen, fit = [], DecisionTreeClassifier._fit
+    monkeypatch.setattr(DecisionTreeClassifier, "_fit", lambda self, rows: seen.append(rows) or fit(self, rows))
+    grid_search(preparation(), classifier("dt"), {"maxDepth": [2]}, train_test["train"], folds=2)
+    fit_prepared(preparation(), {"dt": classifier("dt")}, train_test["train"])
+    assert len(seen) == 4
+    for rows in seen:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" in plan and "UDF" not in plan and "Filter" not in plan and "parquet" not in plan.lower()
+    # what was checkpointed for them is gone
+    with pytest.raises(Exception):
+        seen[0].select("features").collect()
+
+
+def test_converged_perceptrons_serve_higher_limits(train_test, monkeypatch):
+    limits, fit = [], MultilayerPerceptronClassifier._fit
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "_fit", lambda self, rows: limits.append(self.getMaxIter()) or fit(self, rows))
+    easy = classifier("mlpc").setTol(0.5)
+    found = grid_search(preparation(), easy, {"maxIter": [40, 80, 160]}, train_test["train"], folds=2)
+    assert sorted(limits[:-1]) == [40, 40] and len(set(found.scores)) == 1
+    apart = grid_search(preparation(), easy, {"maxIter": [160]}, train_test["train"], folds=2)
+    assert apart.scores[0] == found.scores[2]
