@@ -594,3 +594,16 @@ def test_quality_equals_plain_updates(spark):
     for r in quality.score(frame, weights).collect():
         dot = sum(plain.get(f, 0.0) * v for f, v in plain_features(r.text).items())
         assert abs(r.score - 1 / (1 + exp(-dot))) < 1e-5
+
+
+def test_lines_are_masked_once(spark):
+    """Distinct lines and the documents that hold them are read from one stored table: no text is masked again for the second."""
+    docs = spark.createDataFrame([(k, "a b c d 1\nx\ty  z 2 w") for k in range(6)], "doc_id bigint, text string")
+    found = lines.recurring(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "regexp_replace" not in plan
+    assert found.count() == 12
+    # odd white space, variables and short lines, in a text that loses lines and in one that does not
+    docs = docs.unionByName(spark.createDataFrame([(7, "\r\n a  b\fc d 77 \n\na b c\n"), (8, " q  r 5\t\n")], docs.schema))
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in lines.drop_recurring_lines(docs).collect()}
+    assert got == {**{k: ("", 2, 2) for k in range(6)}, 7: ("\r\n\na b c\n", 5, 1), 8: (" q  r 5\t\n", 2, 0)}
