@@ -1,13 +1,13 @@
 import numpy as np
 import pytest
-from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, stack_and_score
 from churnloom.ml.stages import TUNE_V1_FULL, TUNE_V1_SAMPLE, TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
-from churnloom.ml.trees import prefix
+from churnloom.ml.trees import prefix, shallower
 from churnloom.ml.tune import fit_prepared, grid_search, prepared_folds, scored, spot_check, tune, with_folds
 from churnloom.operators.split import THREE_WAY_SAMPLE, parts, stratified_split
 
@@ -237,3 +237,35 @@ def test_converged_perceptrons_serve_higher_limits(train_test, monkeypatch):
     assert sorted(limits[:-1]) == [40, 40] and len(set(found.scores)) == 1
     apart = grid_search(preparation(), easy, {"maxIter": [160]}, train_test["train"], folds=2)
     assert apart.scores[0] == found.scores[2]
+
+
+def test_cut_forest_is_its_own_fit(spark):
+    """Labels that nothing tells apart, repeated rows, and three partitions: deep trees, impure leaves, merged siblings."""
+    rng = np.random.default_rng(4)
+    made = [(float(rng.random() < 0.4), [float(x) for x in rng.integers(0, 9, 5)]) for _ in range(500)]
+    rows = spark.createDataFrame([*made, *made[:60]], "label double, f array<double>").select("label", array_to_vector("f").alias("features")).coalesce(3).persist()
+    forest = RandomForestClassifier(seed=5, numTrees=7)
+    deep = forest.copy({forest.maxDepth: 20}).fit(rows)
+    cut = shallower(deep, [1, 4, 9, 19])
+    assert sorted(cut) == [1, 4, 9, 19]
+    body = lambda m: m.toDebugString.split("\n", 1)[1]
+    for limit, model in cut.items():
+        own = forest.copy({forest.maxDepth: limit}).fit(rows)
+        assert body(model) == body(own) and (model is deep) == (body(own) == body(deep))
+        a, b = ([tuple(r) for r in m.transform(rows).select("label", "features", "rawPrediction", "probability", "prediction").collect()] for m in (model, own))
+        assert a == b
+    # levels that the trainer may have taken in several groups draw in another order
+    small = forest.copy({forest.maxDepth: 20, forest.maxMemoryInMB: 0}).fit(rows)
+    assert shallower(small, [4, 9]) == {}
+    rows.unpersist()
+
+
+def test_forests_are_fitted_once_for_all_depths(train_test, monkeypatch):
+    depths, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, rows: depths.append(self.getMaxDepth()) or fit(self, rows))
+    axes = {"maxDepth": [1, 3, 9], "numTrees": [3, 5]}
+    found = grid_search(preparation(), classifier("rf"), axes, train_test["train"], folds=2, partitions=1)
+    assert depths[:-1] == [9] * 4 and found.fitted_params() == found.best_params
+    for depth in axes["maxDepth"]:
+        apart = grid_search(preparation(), classifier("rf"), axes | {"maxDepth": [depth]}, train_test["train"], folds=2, partitions=1)
+        assert apart.scores == [x for m, x in zip(found.maps, found.scores) if depth in m.values() and {p.name: v for p, v in m.items()}["maxDepth"] == depth]
