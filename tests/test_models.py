@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -269,3 +269,15 @@ def test_forests_are_fitted_once_for_all_depths(train_test, monkeypatch):
     for depth in axes["maxDepth"]:
         apart = grid_search(preparation(), classifier("rf"), axes | {"maxDepth": [depth]}, train_test["train"], folds=2, partitions=1)
         assert apart.scores == [x for m, x in zip(found.maps, found.scores) if depth in m.values() and {p.name: v for p, v in m.items()}["maxDepth"] == depth]
+
+
+def test_mixtures_of_no_penalty_share_a_fit(train_test, monkeypatch):
+    points, fit = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, rows: points.append((self.getRegParam(), self.getElasticNetParam())) or fit(self, rows))
+    axes = {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [3]}
+    found = grid_search(preparation(), classifier("lr"), axes, train_test["train"], folds=2, partitions=1)
+    assert sorted(points[:-1]) == sorted(2 * [(0.0, 0.5), (0.1, 0.0), (0.1, 0.5)]) and found.fitted_params() == found.best_params
+    for mixture in (0.0, 0.5):
+        apart = grid_search(preparation(), classifier("lr"), axes | {"elasticNetParam": [mixture]}, train_test["train"], folds=2, partitions=1)
+        own = [x for m, x in zip(found.maps, found.scores) if {p.name: v for p, v in m.items()}["elasticNetParam"] == mixture]
+        assert apart.scores == own
