@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from churnloom.ml import boosting
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, stack_and_score
 from churnloom.ml.stages import TUNE_V1_FULL, TUNE_V1_SAMPLE, TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
@@ -281,3 +282,34 @@ def test_mixtures_of_no_penalty_share_a_fit(train_test, monkeypatch):
         apart = grid_search(preparation(), classifier("lr"), axes | {"elasticNetParam": [mixture]}, train_test["train"], folds=2, partitions=1)
         own = [x for m, x in zip(found.maps, found.scores) if {p.name: v for p, v in m.items()}["elasticNetParam"] == mixture]
         assert apart.scores == own
+
+
+def test_boosters_are_grown_side_by_side(spark, train_test, monkeypatch):
+    """Only the chosen point is a fit of its own."""
+    depths, fit = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, rows: depths.append(self.getMaxDepth()) or fit(self, rows))
+    axes = {"maxDepth": [2, 9], "maxBins": [8, 16], "maxIter": [2, 3], "stepSize": [0.1, 0.5]}
+    found = grid_search(preparation(), classifier("gbt"), axes, train_test["train"], folds=2)
+    assert len(depths) == 1 and len(found.scores) == 16 and found.fitted_params() == found.best_params
+    monkeypatch.setattr(boosting, "plain", lambda estimator: False)
+    assert grid_search(preparation(), classifier("gbt"), axes, train_test["train"], folds=2).scores == found.scores
+
+
+@pytest.mark.parametrize(("n", "most", "digits"), [(400, 20_000, 15), (400, 60, 9), (12_000, 2_500, 9)])
+def test_boosters_side_by_side_are_their_own_fits(spark, monkeypatch, n, most, digits):
+    """With nodes above the size that one task takes, a constant input, zeros, and more rows than thresholds are drawn from."""
+    monkeypatch.setattr(boosting, "ROWS_PER_NODE", most)
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=(n, 2)), rng.exponential(size=n) * (rng.random(n) < 0.6), np.full(n, 2.0)])
+    y = (x[:, 0] + x[:, 2] + rng.normal(size=n) > 0.3).astype(float)
+    made = spark.createDataFrame([(float(b), a.tolist()) for a, b in zip(x, y)], "label double, f array<double>")
+    rows = made.select("label", array_to_vector("f").alias("features")).coalesce(1).persist()
+    learner = classifier("gbt")
+    fits = [boosting.Fit(0, depth, bins, 0.3) for depth, bins in ((1, 32), (6, 16))]
+    for steps, table in boosting.margins(learner, fits, [(rows, rows)], "label", [1, 2]):
+        for k, f in enumerate(fits):
+            own = learner.copy().setMaxDepth(f.depth).setMaxBins(f.bins).setStepSize(f.step).setMaxIter(steps).fit(rows)
+            want = sorted((r.label, round(float(r.rawPrediction[1]), digits)) for r in own.transform(rows).collect())
+            got = sorted((r.label, round(r.margin, digits)) for r in table.where(F.col("fit") == k).collect())
+            assert np.allclose(got, want, rtol=0, atol=10.0**-digits if most < n else 1e-14)
+    rows.unpersist()
