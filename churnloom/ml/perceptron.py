@@ -1,0 +1,304 @@
+"""Perceptrons of many fits side by side: every job works out loss and gradient of all fits, each at the weights it looks at next.
+
+A fit of its own runs a job for every step of its search, and starts anew for every iteration limit. Here the rows of all fits
+are packed into one kept table, and a fit notes its weights at each limit on its way to the highest. Objective, search and
+stopping rules are those of Spark's trainer (L-BFGS with ten corrections and a strong Wolfe line search), so the weights are
+the same ones but for the last digits of sums.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Generator, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
+
+#: rows that are worked on at a time
+CHUNK = 4096
+#: rows that one task works on: a job of small tasks is all scheduling
+ROWS_PER_TASK = 50_000
+CORRECTIONS, SEARCH_STEPS, VALUES_KEPT = 10, 10, 20
+SUFFICIENT_DECREASE, CURVATURE = 1e-4, 0.9
+
+
+@dataclass(frozen=True)
+class Fit:
+    """A perceptron to be fitted: the fold it learns from, its parameters, and the iterations at which its weights are noted."""
+
+    fold: int
+    estimator: MultilayerPerceptronClassifier
+    limits: tuple[int, ...]
+
+
+def plain(estimator) -> bool:
+    """Whether an estimator is a perceptron whose fits can be run side by side."""
+    return isinstance(estimator, MultilayerPerceptronClassifier) and estimator.getSolver() == "l-bfgs"
+
+
+def noted_weights(fits: Sequence[Fit], rows: Sequence[DataFrame], label: str) -> list[dict[int, np.ndarray]]:
+    """For each fit, its weights after each of its limits; ``rows`` are those to fit on of every fold."""
+    spark = rows[0].sparkSession
+    packed = reduce(DataFrame.unionByName, [_packed(k, r, fits[0].estimator.getFeaturesCol(), label) for k, r in enumerate(rows)])
+    tasks = math.ceil(sum(r.count() for r in rows) / ROWS_PER_TASK) or 1
+    chunks = packed.rdd.map(tuple).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lengths = chunks.filter(lambda c: c[1] == 0).map(lambda c: (c[0], c[2])).collect()
+        shapes = [(f.fold, tuple(f.estimator.getLayers()), f.estimator.getBlockSize()) for f in fits]
+        blocks = [np.float64(sum(-(-n // size) for fold, n in lengths if fold == at)) for at, _, size in shapes]
+        noted: list[dict[int, np.ndarray]] = [{} for _ in fits]
+        runs = [_descent(_start(spark, f.estimator), f.estimator.getTol(), f.limits, kept) for f, kept in zip(fits, noted)]
+        wanted = {k: next(run) for k, run in enumerate(runs)}
+        while wanted:
+            sums = {k: np.zeros(1 + len(w)) for k, w in wanted.items()}
+            for part in chunks.mapPartitions(_sums_of(shapes, wanted)).collect():
+                for k, found in part.items():
+                    sums[k] += found
+            with np.errstate(all="ignore"):
+                means = {k: found / blocks[k] for k, found in sums.items()}
+            wanted = {k: w for k, mean in means.items() if (w := _next(runs[k], mean)) is not None}
+        return noted
+    finally:
+        chunks.unpersist()
+
+
+def model(estimator: MultilayerPerceptronClassifier, weights: np.ndarray, label: str, spark: SparkSession) -> MultilayerPerceptronClassificationModel:
+    """The fitted model of given weights: a fit that starts from them and ends at once."""
+    row = [(Vectors.dense([0.0] * estimator.getLayers()[0]), 0.0)]
+    ended = estimator.copy().setInitialWeights(Vectors.dense(weights)).setTol(float(np.finfo(float).max))
+    made = ended.fit(spark.createDataFrame(row, [estimator.getFeaturesCol(), label]))
+    if not np.array_equal(made.weights.toArray(), weights, equal_nan=True):
+        raise ValueError("a fit that starts from given weights did not end there")
+    return made
+
+
+def _start(spark: SparkSession, estimator: MultilayerPerceptronClassifier) -> np.ndarray:
+    """The weights a fit starts from, as the trainer draws them."""
+    if estimator.isDefined("initialWeights") and estimator.getInitialWeights() is not None:
+        return estimator.getInitialWeights().toArray()
+    layers = estimator.getLayers()
+    sizes = spark.sparkContext._gateway.new_array(spark._jvm.int, len(layers))
+    for k, size in enumerate(layers):
+        sizes[k] = size
+    network = spark._jvm.org.apache.spark.ml.ann.FeedForwardTopology.multiLayerPerceptron(sizes, True)
+    return np.array(list(network.model(estimator.getSeed()).weights().toArray()))
+
+
+# ---- loss and gradient over the rows ------------------------------------------------------------
+
+
+def _packed(fold: int, rows: DataFrame, features: str, label: str) -> DataFrame:
+    """Rows of a fold, CHUNK at a time: fold, place of the first one in its partition, rows of that partition, inputs, labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xs, ys = [], []
+        for batch in batches:
+            if batch.num_rows:
+                xs.append(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+                ys.append(batch.column(1).to_numpy(zero_copy_only=False))
+        if xs:
+            x, y = np.concatenate(xs), np.concatenate(ys).astype(np.int64)
+            for at in range(0, len(y), CHUNK):
+                chunk = [[fold], [at], [len(y)], [x[at : at + CHUNK].tobytes()], [y[at : at + CHUNK].tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(chunk, types)], names=["fold", "at", "n", "x", "y"])
+
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    plain_rows = rows.select(vector_to_array(F.col(features)).alias("x"), F.col(label).cast("double").alias("y"))
+    return plain_rows.mapInArrow(run, "fold int, at long, n long, x binary, y binary")
+
+
+def _sums_of(shapes: Sequence[tuple[int, tuple[int, ...], int]], wanted: dict[int, np.ndarray]):
+    """For the chunks of a partition: of each fit, loss and gradient summed over its blocks, each block's being a mean over its rows."""
+
+    def run(chunks):
+        sums = {}
+        for fold, at, n, x, y in chunks:
+            mine = [k for k in wanted if shapes[k][0] == fold]
+            x, y = np.frombuffer(x), np.frombuffer(y, np.int64)
+            place = np.arange(at, at + len(y))
+            for k in mine:
+                _, layers, size = shapes[k]
+                last = (n - 1) // size * size
+                found = _loss_and_gradient(wanted[k], layers, x.reshape(len(y), -1), y, 1.0 / np.where(place < last, size, n - last))
+                sums[k] = sums[k] + found if k in sums else found
+        yield sums
+
+    return run
+
+
+def _loss_and_gradient(weights: np.ndarray, layers: Sequence[int], x: np.ndarray, y: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Cross entropy of the rows and its gradient, every row counted by its share: sigmoid layers, softmax on top."""
+    parts, at = [], 0
+    for n_in, n_out in zip(layers, layers[1:]):
+        end = at + n_in * n_out
+        parts.append((weights[at:end].reshape(n_in, n_out), weights[end : end + n_out]))
+        at = end + n_out
+    with np.errstate(all="ignore"):
+        outputs = [x]
+        for w, b in parts[:-1]:
+            outputs.append(1.0 / (1.0 + np.exp(-(outputs[-1] @ w + b))))
+        top = outputs[-1] @ parts[-1][0] + parts[-1][1]
+        power = np.exp(top - top.max(axis=1, keepdims=True))
+        p = power / power.sum(axis=1, keepdims=True)
+        target = np.eye(layers[-1])[y]
+        loss = -np.sum((target * np.log(p)).sum(axis=1) * share)
+        delta, grads = (p - target) * share[:, None], []
+        for k in range(len(parts) - 1, -1, -1):
+            grads[:0] = [(outputs[k].T @ delta).ravel(), delta.sum(axis=0)]
+            if k:
+                delta = (delta @ parts[k][0].T) * ((1.0 - outputs[k]) * outputs[k])
+    return np.concatenate([[loss], *grads])
+
+
+# ---- the search for the weights -----------------------------------------------------------------
+
+
+class _Failed(Exception):
+    """No step to take from here with what is remembered."""
+
+
+_Asks = Generator[np.ndarray, np.ndarray, None]
+
+
+def _next(run: _Asks, mean: np.ndarray) -> np.ndarray | None:
+    try:
+        return run.send(mean)
+    except StopIteration:
+        return None
+
+
+def _descent(x: np.ndarray, tolerance: float, limits: Sequence[int], noted: dict[int, np.ndarray]) -> _Asks:
+    """L-BFGS that gives the weights it looks at and is sent loss and gradient there; ``noted`` gets its weights at each limit."""
+    found = yield x
+    value, gradient = found[0], found[1:]
+    first, recent, steps, done, failed = value, [np.inf], [], 0, False
+    while True:
+        if done in limits:
+            noted.setdefault(done, x)
+        if done >= max(limits) or _ended(value, gradient, first, recent, tolerance):
+            break
+        try:
+            direction = _direction(gradient, steps)
+            with np.errstate(all="ignore"):
+                length = 1.0 if done else 1.0 / np.sqrt(direction @ direction)
+            moved, found = yield from _line_search(x, value, gradient, direction, length)
+        except _Failed:
+            if failed:
+                break
+            failed, steps = True, []
+            continue
+        steps = [(moved - x, found[1:] - gradient), *steps][:CORRECTIONS]
+        x, value, gradient = moved, found[0], found[1:]
+        recent, done, failed = [*recent, value][-VALUES_KEPT:], done + 1, False
+    for limit in limits:
+        noted.setdefault(limit, x)
+
+
+def _ended(value: float, gradient: np.ndarray, first: float, recent: Sequence[float], tolerance: float) -> bool:
+    """Whether the loss has not fallen over the steps kept, or the gradient has vanished."""
+    with np.errstate(all="ignore"):
+        level = len(recent) > 1 and abs(value - max(recent)) <= tolerance * first
+        return level or np.sqrt(gradient @ gradient) <= max(tolerance * value, 1e-8)
+
+
+def _direction(gradient: np.ndarray, steps: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Where to go: the gradient by the inverse curvature of the steps remembered, latest first."""
+    out, scale, back = gradient.copy(), 1.0, []
+    with np.errstate(all="ignore"):
+        if steps:
+            step, change = steps[0]
+            curved = step @ change
+            if not curved >= 0:
+                raise _Failed
+            scale = curved / (change @ change)
+        for step, change in steps:
+            curved = step @ change
+            share = (step @ out) / curved
+            if np.isnan(share):
+                raise _Failed
+            out -= share * change
+            back.append((step, change, curved, share))
+        out *= scale
+        for step, change, curved, share in reversed(back):
+            out += (share - (change @ out) / curved) * step
+    return -out
+
+
+@dataclass(frozen=True)
+class _Point:
+    """A point on the line: how far along, slope and loss there, weights, loss and gradient."""
+
+    t: float
+    slope: float
+    value: float
+    at: np.ndarray
+    found: np.ndarray
+
+
+def _line_search(x: np.ndarray, value: float, gradient: np.ndarray, direction: np.ndarray, t: float) -> Generator[np.ndarray, np.ndarray, tuple]:
+    """The weights, loss and gradient at a step along ``direction`` that meets the strong Wolfe conditions."""
+
+    def look(t):
+        at = x + direction * t
+        found = yield at
+        return _Point(t, found[1:] @ direction, found[0], at, found)
+
+    def taken(p):
+        if p.t * np.sqrt(gradient @ gradient) < 1e-10:
+            raise _Failed
+        return p.at, p.found
+
+    def high(p):
+        return p.value > value + SUFFICIENT_DECREASE * p.t * slope
+
+    def zoom(low, other):
+        for _ in range(SEARCH_STEPS):
+            c = yield from look(_between(other, low) if low.t > other.t else _between(low, other))
+            if high(c) or c.value >= low.value:
+                other = c
+                continue
+            if abs(c.slope) <= CURVATURE * abs(slope):
+                return taken(c)
+            if c.slope * (other.t - low.t) >= 0:
+                other = low
+            low = c
+        raise _Failed
+
+    with np.errstate(all="ignore"):
+        slope = gradient @ direction
+    if slope > 0:
+        raise _Failed
+    low = _Point(0.0, slope, value, x, np.append(value, gradient))
+    for k in range(SEARCH_STEPS):
+        c = yield from look(t)
+        if not np.isfinite(c.value):
+            t /= 2.0
+            continue
+        if high(c) or c.value >= low.value and k:
+            return (yield from zoom(low, c))
+        if abs(c.slope) <= CURVATURE * abs(slope):
+            return taken(c)
+        if c.slope >= 0:
+            return (yield from zoom(c, low))
+        low = c
+        t *= 1.5
+    raise _Failed
+
+
+def _between(left: _Point, right: _Point) -> float:
+    """The minimum of the cubic through two points, kept off their ends."""
+    with np.errstate(all="ignore"):
+        width = np.float64(right.t - left.t)
+        a = left.slope + right.slope - 3 * (left.value - right.value) / -width
+        b = np.sqrt(a * a - left.slope * right.slope)
+        t = right.t - width * (right.slope + b - a) / (right.slope - left.slope + 2 * b)
+        lowest, highest = left.t + 0.1 * width, left.t + 0.9 * width
+    return lowest if t < lowest else highest if t > highest else t

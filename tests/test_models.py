@@ -4,7 +4,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, Log
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from churnloom.ml import boosting
+from churnloom.ml import boosting, perceptron
 from churnloom.ml import metrics as M
 from churnloom.ml.stacking import base_scores, fit_base, stack_and_score
 from churnloom.ml.stages import TUNE_V1_FULL, TUNE_V1_SAMPLE, TUNE_V2_FULL, classifier, full_estimator, param_maps, preparation
@@ -313,3 +313,49 @@ def test_boosters_side_by_side_are_their_own_fits(spark, monkeypatch, n, most, d
             got = sorted((r.label, round(r.margin, digits)) for r in table.where(F.col("fit") == k).collect())
             assert np.allclose(got, want, rtol=0, atol=10.0**-digits if most < n else 1e-14)
     rows.unpersist()
+
+
+def test_perceptrons_side_by_side_are_their_own_fits(spark, monkeypatch):
+    """Two tables of several partitions and two block sizes, with blocks that end short and blocks that cross chunks."""
+    monkeypatch.setattr(perceptron, "CHUNK", 50)
+    monkeypatch.setattr(perceptron, "ROWS_PER_TASK", 150)
+    rng = np.random.default_rng(6)
+    made = [(float(rng.random() < 0.4), rng.normal(size=18).tolist()) for _ in range(400)]
+    rows = spark.createDataFrame(made, "label double, f array<double>").select("label", array_to_vector("f").alias("features")).coalesce(3).persist()
+    tables, limits = [rows, rows.limit(70).coalesce(1).persist()], (0, 2, 9, 25)
+    fits = [perceptron.Fit(k, classifier("mlpc").setBlockSize(size), limits) for k in (0, 1) for size in (16, 128)]
+    for fit, noted in zip(fits, perceptron.noted_weights(fits, tables, "label"), strict=True):
+        assert sorted(noted) == list(limits)
+        for limit in limits:
+            own = fit.estimator.copy().setMaxIter(limit).fit(tables[fit.fold]).weights.toArray()
+            assert np.allclose(noted[limit], own, rtol=0, atol=1e-7)
+            assert np.array_equal(perceptron.model(fit.estimator, noted[limit], "label", spark).weights.toArray(), noted[limit])
+    for table in tables:
+        table.unpersist()
+
+
+def test_perceptrons_of_all_limits_share_the_jobs_of_the_longest(train_test, monkeypatch):
+    jobs, sums_of = [], perceptron._sums_of
+    monkeypatch.setattr(perceptron, "_sums_of", lambda shapes, wanted: jobs.append(len(wanted)) or sums_of(shapes, wanted))
+    axes = {"maxIter": [3, 6], "blockSize": [16, 128], "stepSize": [0.01, 0.5]}
+    found = grid_search(preparation(), classifier("mlpc"), axes, train_test["train"], folds=2)
+    # four fits, each of which looks at few points more than it takes steps
+    assert max(jobs) == 4 and len(jobs) <= 6 + 8 and found.fitted_params() == found.best_params
+    shared = {(p["maxIter"], p["blockSize"]): x for m, x in zip(found.maps, found.scores) if (p := {q.name: v for q, v in m.items()})["stepSize"] == 0.5}
+    apart = {"maxIter": [3, 6], "blockSize": [16, 128]}
+    points = [tuple(p.values()) for m in param_maps(classifier("mlpc"), apart) for p in [{q.name: v for q, v in m.items()}]]
+    names = list(apart)
+    assert names == ["maxIter", "blockSize"]
+    assert [shared[p] for p in points] == pytest.approx(_separate_scores(train_test["train"], classifier("mlpc"), apart, 2), abs=1e-12)
+
+
+def test_a_search_that_fails_twice_keeps_its_weights():
+    noted = {}
+    run = perceptron._descent(np.array([1.0, 2.0]), 1e-6, (0, 4), noted)
+    next(run)
+    asked, answer = 0, np.array([1.0, 1.0, 1.0])
+    with pytest.raises(StopIteration):
+        while True:
+            run.send(answer)
+            asked, answer = asked + 1, np.array([np.nan, 1.0, 1.0])
+    assert asked == 20 and {k: v.tolist() for k, v in noted.items()} == {0: [1.0, 2.0], 4: [1.0, 2.0]}
