@@ -540,6 +540,51 @@ def test_templates_of_a_large_leaf_that_stay_apart_meet_by_bands(spark):
     assert lines.recurring(docs, group=16).select("doc_id").distinct().count() == len(rows)
 
 
+def test_templates_of_a_large_leaf_that_differ_in_every_band_meet(spark):
+    """Lines that share 16 of 20 words, with a word of their own in each band of places: no template is left out for that."""
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    rows = []
+    for _ in range(40):
+        words = [word(5) for _ in range(17)]
+        for k in range(12):
+            # every four places in a row are one of each band
+            at = 0 if k % 2 else 8
+            rows.append((len(rows), " ".join(["all of them", *words[:at], *(word(6) for _ in range(lines.BANDS)), *words[at + lines.BANDS :]])))
+    alone = [(10_000 + k, " ".join(["all of them", *(word(5) for _ in range(17))])) for k in range(60)]
+    docs = spark.createDataFrame(rows + alone, "doc_id bigint, text string")
+    found = {tuple(r) for r in lines.recurring(docs).collect()}
+    assert {d for d, _ in found} == {d for d, _ in rows}
+    assert {tuple(r) for r in lines.recurring(docs, group=16).collect()} == found
+
+
+def test_older_templates_are_the_nearest_of_all(spark, monkeypatch):
+    """Against a comparison of all pairs: runs that few and that many templates agree in, lines of any width, and lines that meet without runs."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for width in (4, 5, 7, 10, 21):
+        base = rng.integers(1, 40, (25, width))
+        own = base[rng.integers(0, 25, 120)]
+        own[rng.random(own.shape) < 0.2] = 0
+        own[:, : lines.DEPTH] = 1
+        # one run that very many agree in
+        own[:80, lines.DEPTH :][:, :3] = 2
+        rows += [(width, int(name), [int(c) for c in codes]) for name, codes in zip(rng.integers(-(2**62), 2**62, 120), own, strict=True)]
+    want = {}
+    for leaf, name, codes in rows:
+        older = [(-sum(a == b for a, b in zip(c, codes, strict=True)), n) for of, n, c in rows if of == leaf and n < name]
+        if older and -min(older)[0] >= lines.SIMILAR * len(codes):
+            want[leaf, name] = min(older)[1]
+    given = spark.createDataFrame(rows, "leaf bigint, line bigint, codes array<smallint>")
+    assert len(want) > 300
+    for wide, cells in ((256, 2**24), (6, 500)):
+        monkeypatch.setattr(lines, "WIDE", wide)
+        monkeypatch.setattr(lines, "CELLS", cells)
+        for limit in (8, 10_000):
+            got = lines._older(given, lines.SIMILAR, limit).collect()
+            assert len(got) == len(want) and {(r.leaf, r.line): r.near for r in got} == want
+
+
 def test_given_columns_of_line_dedup_are_replaced(spark):
     docs = spark.createDataFrame([(1, "a b c d\nx", 7, "p", "q")], "doc_id bigint, text string, n_lines int, line string, template string")
     row = lines.drop_recurring_lines(docs).collect()[0]
