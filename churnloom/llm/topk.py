@@ -10,8 +10,8 @@ product. Bounds go from coarse to fine; a candidate is dropped once its bound is
 best score found so far, survivors are computed exactly (integers, no rounding).
 
 Vectors are packed into chunks, queries into blocks; every chunk meets every block of the same
-dimension, each meeting
-returns k rows for each query at most, and the best k of these partial lists are kept.
+dimension, each meeting returns k rows for each query at most, and the best k of these partial lists
+are kept. Each meeting comes as one row of its own, of a bounded size; none is broadcast.
 
 Vectors that are null, empty or hold a null or non-finite component take no part, nor do rows with a null
 id. Vectors of another dimension than the query's are not its candidates. Ties go to the smaller
@@ -33,7 +33,13 @@ from churnloom.llm.store import only, stored
 
 SCALE = 256
 CHUNK = 4096
-BLOCK = 1024
+BLOCK = 8192
+#: queries of a block that are worked on at once
+QUERIES = 1024
+#: meetings of a task, from which on there are more tasks
+MEETINGS = 16
+#: share of candidates that survive, below which they are looked up query by query
+SPARSE = 1 / 16
 LEVELS = (1, 2, 4, 8)
 
 
@@ -47,47 +53,56 @@ def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "
     return own.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("v"), F.size("e").alias("dim"))
 
 
-def _parts(df: DataFrame, size: int) -> Column:
-    """Into how many parts of ``size`` rows on average the rows are cut."""
-    return df.agg(F.greatest(F.ceil(F.count("*") / size), F.lit(1)).cast("int")).scalar()
+def _packed(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """The rows of each dimension in so many parts: (dim, key, ids, vs). Every part is put together by a task that holds few of them."""
+    dealt = df.select("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts)).cast("int").alias(key), "vec_id", "v")
+    return dealt.repartition(parts, "dim", key).groupBy("dim", key).agg(F.collect_list("vec_id").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
 
 
-def _packed(df: DataFrame, size: int, key: str) -> DataFrame:
-    """The rows of each dimension in parts of ``size`` at most on average: (dim, key, ids, vs)."""
-    dealt = df.withColumn("parts", _parts(df, size)).select("dim", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int").alias(key), "vec_id", "v")
-    return dealt.groupBy("dim", key).agg(F.collect_list("vec_id").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
+def _parts(df: DataFrame, size: int) -> int:
+    """Into how many parts of ``size`` rows on average the rows are cut."""
+    return max(1, -(-df.count() // size))
 
 
 def meetings(own: DataFrame, asked: DataFrame) -> DataFrame:
     """(dim, chunk, block, ids, vs, q_ids, q_vs): every chunk of ``own`` with every block of ``asked`` of its dimension.
 
     Both sides list the meetings they go to, and a meeting is the join key: the meetings of one block, or of one chunk, are dealt
-    over all tasks like any others.
+    over all tasks like any others. Neither side is broadcast, and tasks are not put together by size: the listed rows are many
+    times as large as the compressed ones that Spark would judge by.
     """
-    listed = lambda df, size, key: F.explode(F.sequence(F.lit(0), _parts(df, size) - 1)).alias(key)
-    chunks = _packed(own, CHUNK, "chunk").select("*", listed(asked, BLOCK, "block"))
-    blocks = _packed(asked, BLOCK, "block").select("*", listed(own, CHUNK, "chunk"))
+    n_chunks, n_blocks = _parts(own, CHUNK), _parts(asked, BLOCK)
+    tasks = min(n_chunks * n_blocks, max(4 * own.sparkSession.sparkContext.defaultParallelism, n_chunks * n_blocks // MEETINGS))
+    listed = lambda n, key: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(key)
+    dealt = lambda df: df.repartition(max(2, tasks), "dim", "chunk", "block")
+    chunks = _packed(own, n_chunks, "chunk").select("*", listed(n_blocks, "block"))
+    blocks = _packed(asked, n_blocks, "block").select("*", listed(n_chunks, "chunk"))
     sent = blocks.select("dim", "chunk", "block", F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"))
-    return chunks.join(sent, ["dim", "chunk", "block"])
+    return dealt(chunks).join(dealt(sent).hint("merge"), ["dim", "chunk", "block"])
 
 
 def _bounds(q: np.ndarray, x: np.ndarray, parts: int) -> np.ndarray:
     """Lower bounds of all squared distances at one resolution."""
-    total = 0.0
-    for a, b in zip(np.array_split(q, parts, axis=1), np.array_split(x, parts, axis=1), strict=True):
-        n = a.shape[1]
-        m, s, u, t = a.mean(1), a.std(1), b.mean(1), b.std(1)
-        left = np.stack([m, s], 1)
-        right = np.stack([u, t], 1)
-        total = total + n * ((left**2).sum(1)[:, None] + (right**2).sum(1)[None, :] - 2 * left @ right.T)
-    return total
+    left, right = _statistics(q, parts), _statistics(x, parts)
+    return (left**2).sum(1)[:, None] + (right**2).sum(1)[None, :] - 2 * left @ right.T
+
+
+def _statistics(x: np.ndarray, parts: int) -> np.ndarray:
+    """Mean and deviation of every segment, by the root of its length."""
+    cut = np.array_split(x, parts, axis=1)
+    return np.stack([a.shape[1] ** 0.5 * f(a, axis=1) for a in cut for f in (np.mean, np.std)], 1)
+
+
+def _small(q: np.ndarray, x: np.ndarray) -> bool:
+    """Whether no sum of an inner product passes 2^53, so that doubles hold it exactly."""
+    return float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] < 2**53
 
 
 def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Integer inner products of a query with rows (Python integers where 2^53 is not enough)."""
     if len(x) == 0:
         return np.empty(0, np.int64)
-    if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * len(q) < 2**53:
+    if _small(q, x):
         return (x @ q).astype(np.int64)
     whole = [int(a) for a in q]
     return np.array([sum(a * int(b) for a, b in zip(whole, row, strict=True)) for row in x], object)
@@ -98,43 +113,53 @@ def best_in_chunk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
     norms = (q**2).sum(1)[:, None] + (x**2).sum(1)[None, :]
-    slack = 1e-9 * norms + 1e-6
-    levels = [n for n in LEVELS if n <= q.shape[1]]
-    upper = (norms - _bounds(q, x, levels[0])) / 2 + slack
-    finer: dict[int, tuple] = {}
-    out = []
-    for i, name in enumerate(q_ids):
-        alive = np.flatnonzero(ids != name)
-        if len(alive) > k:
-            first = alive[np.argpartition(-upper[i, alive], k - 1)[:k]]
-            floor = min(_exact(q[i], x[first]))
-            alive = alive[upper[i, alive] >= floor]
-            for n in levels[1:]:
-                if len(alive) <= 4 * k:
-                    break
-                if n not in finer:
-                    finer[n] = _statistics(q, n), _statistics(x, n)
-                (m, s, w), (u, t, _) = finer[n]
-                far = (w * ((u[alive] - m[i]) ** 2 + (t[alive] - s[i]) ** 2)).sum(1)
-                alive = alive[(norms[i, alive] - far) / 2 + slack[i, alive] >= floor]
-        scores = _exact(q[i], x[alive])
-        top = np.lexsort((ids[alive], -scores))[:k] if scores.dtype != object else sorted(range(len(alive)), key=lambda j: (-scores[j], ids[alive[j]]))[:k]
-        out += [(int(name), int(ids[alive[j]]), max(min(int(scores[j]), 2**63 - 1), -(2**63))) for j in top]
-    return out
-
-
-def _statistics(x: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    cut = np.array_split(x, parts, axis=1)
-    return np.stack([a.mean(1) for a in cut], 1), np.stack([a.std(1) for a in cut], 1), np.array([a.shape[1] for a in cut], float)
+    norms += 2e-9 * norms + 2e-6
+    alive, small = ids[None, :] != q_ids[:, None], _small(q, x)
+    floor = np.full(len(q), -np.inf)
+    for n in [n for n in LEVELS if n <= q.shape[1]]:
+        # queries with few candidates left need no finer bounds
+        wide = np.flatnonzero(alive.sum(1) > (k if n == LEVELS[0] else 4 * k))
+        if not len(wide):
+            break
+        every = len(wide) == len(q)
+        upper = norms - _bounds(q, x, n) if every else norms[wide] - _bounds(q[wide], x, n)
+        upper /= 2
+        still = alive if every else alive[wide]
+        upper[~still] = -np.inf
+        first = np.argpartition(upper, len(ids) - k, axis=1)[:, len(ids) - k :]
+        known = np.einsum("ij,ikj->ik", q[wide], x[first]) if small else np.array([[float(p) for p in _exact(q[i], x[f])] for i, f in zip(wide, first, strict=True)])
+        floor[wide] = np.maximum(floor[wide], known.min(1))
+        alive[wide] = still & (upper >= floor[wide, None])
+    if not small or alive.mean() < SPARSE:
+        return [row for i in range(len(q)) for row in _best(q_ids[i], q[i], ids, x, np.flatnonzero(alive[i]), k)]
+    # most survive everywhere, so all products come at once; the k-th highest of each query cuts the rest off
+    scores = np.where(alive, q @ x.T, -np.inf)
+    if len(ids) > k:
+        alive &= scores >= np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
+    query, at = np.nonzero(alive)
+    order = np.lexsort((ids[at], -scores[query, at], query))
+    query, at = query[order], at[order]
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    query, at = query[top], at[top]
+    return list(zip(q_ids[query].tolist(), ids[at].tolist(), scores[query, at].astype(np.int64).tolist(), strict=True))
+
+
+def _best(name: int, q: np.ndarray, ids: np.ndarray, x: np.ndarray, mine: np.ndarray, k: int) -> list[tuple]:
+    """The k best of some rows for one query."""
+    scores = _exact(q, x[mine])
+    top = np.lexsort((ids[mine], -scores))[:k] if scores.dtype != object else sorted(range(len(mine)), key=lambda j: (-scores[j], ids[mine[j]]))[:k]
+    return [(int(name), int(ids[mine[j]]), max(min(int(scores[j]), 2**63 - 1), -(2**63))) for j in top]
 
 
 def _meet(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                q = np.asarray(row.q_vs, float).reshape(len(row.q_ids), row.dim)
-                x = np.asarray(row.vs, float).reshape(len(row.ids), row.dim)
-                yield pd.DataFrame(best_in_chunk(np.asarray(row.q_ids), q, np.asarray(row.ids), x, k), columns=["query_id", "vec_id", "score"])
+                q_ids, q = np.asarray(row.q_ids), np.asarray(row.q_vs, float).reshape(len(row.q_ids), row.dim)
+                ids, x = np.asarray(row.ids), np.asarray(row.vs, float).reshape(len(row.ids), row.dim)
+                for low in range(0, len(q), QUERIES):
+                    found = best_in_chunk(q_ids[low : low + QUERIES], q[low : low + QUERIES], ids, x, k)
+                    yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     return run
 

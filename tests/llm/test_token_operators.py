@@ -54,6 +54,37 @@ def test_meetings_of_one_block_are_dealt_over_the_tasks(spark, monkeypatch):
     assert len(per_task) >= 6 and max(per_task) <= 12
 
 
+def test_meetings_are_neither_broadcast_nor_put_together(spark, monkeypatch):
+    """The listed rows are many times as large as the compressed ones that Spark judges by."""
+    monkeypatch.setattr(topk, "CHUNK", 512)
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rows = spark.range(4096).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("v")).withColumn("dim", F.size("v"))
+    met = topk.meetings(rows, rows.where("vec_id < 128")).select("chunk", "block", F.spark_partition_id().alias("task"))
+    met.persist()
+    try:
+        assert sorted((r.chunk, r.block) for r in met.collect()) == [(k, b) for k in range(8) for b in range(2)]
+        assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+        assert met.select("task").distinct().count() > 4
+    finally:
+        met.unpersist()
+
+
+def test_best_of_a_chunk_are_those_of_all_pairs(monkeypatch):
+    """With many and with few survivors, ties, repeated ids, few rows, and products beyond 2^53 and beyond a long."""
+    rng = np.random.default_rng(6)
+    for sparse in (0.0, 2.0):
+        monkeypatch.setattr(topk, "SPARSE", sparse)
+        for trial in range(60):
+            n, m, d, k = (int(rng.integers(1, most)) for most in (80, 30, 20, 8))
+            x = rng.integers(-3, 4, (n, d)) * (1.0, 1e8, 1e14)[trial % 3] + 20.0 * rng.integers(-3, 4, (n, 1)) * (trial % 2)
+            ids, q_ids, q = rng.integers(0, 40, n), rng.choice(60, m, replace=False), x[rng.integers(0, n, m)]
+            got, want = topk.best_in_chunk(q_ids, q, ids, x, k), []
+            for name, v in zip(q_ids.tolist(), q.tolist(), strict=True):
+                scores = [(-sum(int(a) * int(b) for a, b in zip(v, w, strict=True)), i) for i, w in zip(ids.tolist(), x.tolist(), strict=True) if i != name]
+                want += [(name, i, max(min(-s, 2**63 - 1), -(2**63))) for s, i in sorted(scores)[:k]]
+            assert got == want
+
+
 def test_top_k_of_odd_vectors(spark):
     rng = random.Random(2)
     rows = [(k, [rng.uniform(-2, 2) for _ in range(9)]) for k in range(60)]
