@@ -313,3 +313,36 @@ def test_boosters_side_by_side_are_their_own_fits(spark, monkeypatch, n, most, d
             got = sorted((r.label, round(r.margin, digits)) for r in table.where(F.col("fit") == k).collect())
             assert np.allclose(got, want, rtol=0, atol=10.0**-digits if most < n else 1e-14)
     rows.unpersist()
+
+
+def test_roots_of_some_ten_thousand_rows_are_grown_by_one_task(spark, monkeypatch):
+    """21,000 rows of a fit need no jobs level by level; with them the margins are the same."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(21_000, 2))
+    y = (x[:, 0] + rng.normal(size=len(x)) > 0.3).astype(float)
+    made = spark.createDataFrame([(float(b), a.tolist()) for a, b in zip(x, y)], "label double, f array<double>")
+    rows = made.select("label", array_to_vector("f").alias("features")).coalesce(1).persist()
+    asked, split = [], boosting._large_splits
+    monkeypatch.setattr(boosting, "_large_splits", lambda *a: asked.append(1) or split(*a))
+    found = []
+    for most in (boosting.ROWS_PER_NODE, 20_000):
+        monkeypatch.setattr(boosting, "ROWS_PER_NODE", most)
+        ((_, table),) = boosting.margins(classifier("gbt"), [boosting.Fit(0, 3, 8, 0.3)], [(rows, rows.limit(500))], "label", [1])
+        found.append(sorted(r.margin for r in table.collect()))
+        assert bool(asked) == (most == 20_000)
+    rows.unpersist()
+    assert np.allclose(*found, rtol=0, atol=1e-9)
+
+
+def test_rows_of_a_forest_note_their_node(spark, train_test, monkeypatch):
+    """In the search and in the refit; the trees are those of a fit that does not."""
+    noted, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, rows: noted.append(self.getCacheNodeIds()) or fit(self, rows))
+    axes = {"maxDepth": [3], "numTrees": [4]}
+    found = grid_search(preparation(), classifier("rf"), axes, train_test["train"], folds=2)
+    assert noted == [True] * 3
+    model = found.best.stages[-1]
+    with monkeypatch.context() as plain:
+        plain.setattr(RandomForestClassifier, "setCacheNodeIds", lambda self, value: self)
+        own = fit_prepared(preparation(), {"rf": classifier("rf").setMaxDepth(3).setNumTrees(4)}, train_test["train"]).stages[-1]
+    assert noted[-1] is False and own.toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]
