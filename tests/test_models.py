@@ -327,8 +327,8 @@ def test_roots_of_some_ten_thousand_rows_are_grown_by_one_task(spark, monkeypatc
     found = []
     for most in (boosting.ROWS_PER_NODE, 20_000):
         monkeypatch.setattr(boosting, "ROWS_PER_NODE", most)
-        ((_, table),) = boosting.margins(classifier("gbt"), [boosting.Fit(0, 3, 8, 0.3)], [(rows, rows.limit(500))], "label", [1])
-        found.append(sorted(r.margin for r in table.collect()))
+        for _, table in boosting.margins(classifier("gbt"), [boosting.Fit(0, 3, 8, 0.3)], [(rows, rows.limit(500))], "label", [1]):
+            found.append(sorted(r.margin for r in table.collect()))
         assert bool(asked) == (most == 20_000)
     rows.unpersist()
     assert np.allclose(*found, rtol=0, atol=1e-9)
